@@ -24,3 +24,21 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "tal
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; the path may be a file or a folder on any Spark file system."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once a session; a session that has it is left alone."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_tallyloom_shipped", False):
+        return
+    top = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp()) / "tallyloom.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(top.rglob("*.py")):
+            out.write(path, path.relative_to(top.parent))
+    context.addPyFile(str(target))
+    context._tallyloom_shipped = True
