@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["bpe", "mixing", "line_dedup"]
+MODULES = ["exact_dedup", "bpe", "mixing", "line_dedup"]
 
 
 def _modules():
