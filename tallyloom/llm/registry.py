@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["exact_dedup", "bpe", "mixing", "line_dedup"]
+MODULES = ["exact_dedup", "gif_media", "quality", "bpe", "mixing", "line_dedup"]
 
 
 def _modules():
