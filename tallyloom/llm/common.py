@@ -61,3 +61,30 @@ def text_of(column: str = "text"):
 def salt_count(members, per_salt: int):
     """How many salts a group of that many members gets."""
     return F.greatest(F.lit(1), F.ceil(members / F.lit(per_salt))).cast("int")
+
+
+#: Bits of the filter of may_be_among: 8 MB, whatever the input.
+FILTER_BITS = 26
+BITMAP_BITS = 32768
+
+
+def may_be(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """rows with _may: false only if the key (a 64-bit hash) is surely not among keys.
+
+    The keys set bits of a bitmap of fixed size, which is broadcast as 2,048 rows of 4 kB. With very many keys more rows
+    have a true _may than need to, so that the join behind it has more to do but finds the same.
+    """
+    bit = lambda c: F.pmod(F.col(c), F.lit(1 << FILTER_BITS))
+    held = (
+        keys.select(F.floor(bit(key) / BITMAP_BITS).cast("int").alias("_part"), (bit(key) % BITMAP_BITS).alias("_bit"))
+        .groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    )
+    at = (bit(key) % BITMAP_BITS).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_map"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = rows.join(F.broadcast(held), F.floor(bit(key) / BITMAP_BITS).cast("int") == F.col("_part"), "left")
+    return near.withColumn("_may", F.coalesce(F.getbit(byte, at % 8) == 1, F.lit(False))).drop("_part", "_map")
+
+
+def may_be_among(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """rows without most of those whose key is not among keys; none of the others is lost."""
+    return may_be(rows, key, keys).filter("_may").drop("_may")

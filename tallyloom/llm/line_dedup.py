@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import free_name, text_of
+from tallyloom.llm.common import cut, free_name, may_be_among, text_of
 from tallyloom.session import table
 
 #: Chunks of fewer lines are never removed.
@@ -61,17 +61,19 @@ def chunk_rows(docs: DataFrame, id_col: str, text_col: str, least_lines: int) ->
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_lines: int = LEAST_LINES) -> DataFrame:
     """(_place) of every chunk that an earlier place holds byte for byte."""
     rows = chunk_rows(docs, id_col, text_col, least_lines)
-    firsts = rows.groupBy("_hash").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    found = rows.join(firsts, "_hash")
+    counted = rows.groupBy("_hash").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    firsts = cut(counted.filter("_n > 1").drop("_n"), "line-firsts")
+    found = cut(may_be_among(rows, "_hash", firsts).join(firsts, "_hash"), "line-found")
     here = found.filter(F.col("_place") == F.col("_first")).select("_hash", F.col("_piece").alias("_kept")).distinct()
     later = found.filter(F.col("_place") != F.col("_first")).select("_hash", "_place", "_piece")
-    compared = later.join(here, "_hash")
-    same = compared.filter(F.col("_piece") == F.col("_kept")).select("_place")
+    same = F.col("_piece") == F.col("_kept")
+    compared = later.join(here, "_hash").select("_hash", "_place", same.alias("_same"), F.when(~same, F.col("_piece")).alias("_piece"))
+    told = cut(compared, "line-compared")
     # chunks whose hash only happens to agree with that of another chunk: these few are grouped by their bytes
-    other = compared.filter(F.col("_piece") != F.col("_kept")).select("_hash", "_place", "_piece")
+    other = told.filter("NOT _same").drop("_same")
     own = other.groupBy("_hash", "_piece").agg(F.min("_place").alias("_first"))
     again = other.join(own, ["_hash", "_piece"]).filter(F.col("_place") != F.col("_first")).select("_place")
-    return same.unionAll(again)
+    return told.filter("_same").select("_place").unionAll(again)
 
 
 def dedup_lines(
