@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["url_filter", "suffix_dedup", "exact_dedup", "gif_media", "minhash_dedup", "warc", "quality", "bpe", "mixing", "line_dedup"]
+MODULES = ["url_filter", "suffix_dedup", "exact_dedup", "gif_media", "minhash_dedup", "warc", "quality", "bpe", "mixing", "line_dedup", "pipeline_query"]
 
 
 def _modules():
