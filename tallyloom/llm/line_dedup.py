@@ -102,10 +102,12 @@ def dedup_lines(
     n = F.size("_lines")
     kept = F.aggregate("_stay", F.lit(0), lambda a, c: a + c["n"])
     text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.transform("_stay", chunk_text), "\n"))
-    return parts.select(
+    told = parts.select(
         "row", n.cast("long").alias("n_lines"), (n - kept).cast("long").alias("n_removed"),
         F.size("_chunks").cast("long").alias("n_chunks"), text.alias("kept_text"),
     )
+    # a generator keeps later filters from being pushed into the array functions, which would repeat them for each line
+    return told.select(F.inline(F.array(F.struct(*told.columns))))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
