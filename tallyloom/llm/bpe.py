@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-Texts are split into pre-tokens; every block of documents keeps its own list of distinct pre-tokens and, for each
-document, the positions as indices into that list. Only the distinct pre-tokens travel: one shuffle brings equal
-words of all blocks together, each is encoded once, its ids are joined to the token-byte table for decoding, and a
-join on the word takes ids and bytes back to the blocks, where documents are put together by position.
+Texts are split into pre-tokens. A block of documents lists its distinct pre-tokens, and for each position of each
+document the number of the pre-token in this list. The distinct words of all blocks are dealt out by a hash of the word,
+each is encoded once, its ids go back to the blocks that have it, and a join on the block puts every document together
+by position. Decoding joins the ids to the token-byte table. Words, numbers and ids travel packed and compressed,
+a row for each block and bucket of words; rows of single words took more than twice the disk.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes; rows with the same id stay separate rows;
 an empty table gives an empty result; other columns are ignored.
@@ -13,19 +14,24 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
+import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import cut, text_of
+from tallyloom.llm.common import cut_in_buckets, text_of
 from tallyloom.session import ship, table
 
 #: Bytes of text whose documents share one list of distinct words; bounds the memory of every Python step.
-BLOCK_BYTES = 8 << 20
-#: Token tables up to this many rows are broadcast (a few MB); larger ones are joined by shuffle.
-BROADCAST_TOKENS = 400_000
+BLOCK_BYTES = 16 << 20
+#: Buckets of distinct words for each shuffle partition.
+BUCKETS_A_PARTITION = 2
+#: Documents of a block that are put together at a time.
+DOCS_A_STEP = 128
 
 
 def default_ranks() -> str:
@@ -53,42 +59,77 @@ def encoder(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
 
 
-def split_blocks(docs: DataFrame, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows of two kinds for each block: its distinct words (idx, word), its documents (id, codes).
+def pack(arrays: list[np.ndarray], *texts: bytes) -> bytes:
+    """Numbers as byte planes and raw bytes, compressed together."""
+    import zstandard
 
-    codes are the positions of a document's words in the block's list, as little-endian uint32.
+    parts = []
+    for a in arrays:
+        a = np.ascontiguousarray(a, "<u4")
+        parts += [struct.pack("<q", len(a)), a.view(np.uint8).reshape(-1, 4).T.tobytes()]
+    for t in texts:
+        parts += [struct.pack("<q", len(t)), t]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+
+
+def unpack(blob: bytes, n_arrays: int) -> tuple:
+    import zstandard
+
+    raw, at, out = zstandard.ZstdDecompressor().decompress(blob), 0, []
+    while at < len(raw):
+        (n,) = struct.unpack_from("<q", raw, at)
+        at += 8
+        if len(out) < n_arrays:
+            planes = np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n)
+            out.append(np.ascontiguousarray(planes.T).view("<u4").reshape(-1))
+            at += 4 * n
+        else:
+            out.append(raw[at : at + n])
+            at += n
+    return tuple(out)
+
+
+def split_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Per block a row for each bucket of its distinct words, and one (bucket null) for its documents.
+
+    A row of words holds their numbers in the block, lengths and bytes; the row of documents holds for each document
+    (ids) its number of words, and the numbers of all these words in order of their positions.
     """
-    schema = f"block string, idx int, word string, id {docs.schema['id'].dataType.simpleString()}, codes binary"
+    id_type = docs.schema["id"].dataType.simpleString()
 
     def split(batches):
         import regex
         from pyspark import TaskContext
 
-        cuts, seq = regex.compile(pattern), 0
-        task = TaskContext.get()
-        name = f"{task.partitionId()}-{task.taskAttemptId()}"
+        cuts, seq, task = regex.compile(pattern), 0, TaskContext.get().partitionId()
         words: dict[str, int] = {}
-        ids, codes, held = [], [], 0
+        ids, codes, held, kind = [], [], 0, None
 
         def flush():
             nonlocal words, ids, codes, held, seq
-            block, n, m = f"{name}-{seq}", len(words), len(ids)
+            own = [w.encode() for w in words]
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in own), np.int64, len(own))
+            order = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            lists = np.split(order, edges[1:]) if len(order) else []
+            blobs = [pack([x, [len(own[i]) for i in x]], b"".join([own[i] for i in x])) for x in lists]
+            texts = pack([[len(c) for c in codes], np.concatenate(codes)])
+            block = (task << 24) + seq
+            n = len(blobs)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "block": pa.array([block] * (n + m), pa.string()),
-                    "idx": pa.array([*range(n), *[None] * m], pa.int32()),
-                    "word": pa.array([*words, *[None] * m], pa.string()),
-                    "id": pa.concat_arrays([pa.nulls(n, id_type), pa.array(ids, id_type)]),
-                    "codes": pa.array([*[None] * n, *codes], pa.binary()),
+                    "block": pa.array([block] * (n + 1), pa.int64()),
+                    "bucket": pa.array([*(int(bucket[x[0]]) for x in lists), None], pa.int32()),
+                    "blob": pa.array([*blobs, texts], pa.binary()),
+                    "ids": pa.array([*[None] * n, ids], pa.list_(kind)),
                 }
             )
             words, ids, codes, held, seq = {}, [], [], 0, seq + 1
 
         for batch in batches:
-            id_type = batch.schema.field("id").type
+            kind = batch.schema.field("id").type
             for key, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                get = words.setdefault
-                codes.append(np.array([get(w, len(words)) for w in cuts.findall(text)], "<u4").tobytes())
+                codes.append(np.array([words.setdefault(w, len(words)) for w in cuts.findall(text)], "<u4"))
                 ids.append(key)
                 held += len(text) + 16
                 if held >= block_bytes:
@@ -96,91 +137,115 @@ def split_blocks(docs: DataFrame, pattern: str, block_bytes: int = BLOCK_BYTES)
         if ids:
             yield from flush()
 
-    return docs.mapInArrow(split, schema)
+    return docs.mapInArrow(split, f"block bigint, bucket int, blob binary, ids array<{id_type}>")
+
 
+def encode_buckets(words: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """(block, blob): the numbers of a block's words in one bucket, how many ids each has, and the ids.
 
-def encode_words(words: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Each distinct word once: (word, ids)."""
+    All blocks' rows of a bucket come to one task, which encodes each of the bucket's distinct words once.
+    """
 
     def encode(batches):
-        own = encoder(ranks_path, pattern)
+        own, known, now = encoder(ranks_path, pattern), {}, None
         for batch in batches:
-            found = batch.column("word").to_pylist()
-            ids = [own._encode_single_piece(w) for w in found]
-            yield pa.RecordBatch.from_pydict({"word": batch.column("word"), "ids": pa.array(ids, pa.list_(pa.int32()))})
-
-    return words.select("word").distinct().mapInArrow(encode, "word string, ids array<int>")
-
-
-def token_table(spark: SparkSession, ranks_path: str) -> DataFrame:
-    """The token-byte table (token, bytes); its size is that of the vocabulary file."""
-    ranks = load_ranks(ranks_path)
-    rows = pa.table({"token": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(ranks.keys(), pa.binary())})
-    tokens = spark.createDataFrame(rows)
-    return F.broadcast(tokens) if len(ranks) <= BROADCAST_TOKENS else tokens
-
-
-def decode_ids(frame: DataFrame, key: str, tokens: DataFrame) -> DataFrame:
-    """(key, decoded): the ids of each distinct key joined to the token-byte table and put together by position."""
-    found = (
-        frame.select(key, F.posexplode("ids").alias("_at", "token"))
-        .join(tokens, "token")
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("_at", "bytes"))).alias("_parts"))
-    )
-    whole = F.aggregate("_parts", F.lit(b""), lambda done, part: F.concat(done, part["bytes"]))
-    return found.select(key, whole.alias("decoded"))
+            blobs = []
+            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+                if bucket != now:
+                    known, now = {}, bucket
+                number, size, text = unpack(blob, 2)
+                ids, at = [], 0
+                for n in size.tolist():
+                    word = text[at : at + n]
+                    at += n
+                    if (found := known.get(word)) is None:
+                        found = known[word] = own._encode_single_piece(word)
+                    ids.append(found)
+                flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64)
+                blobs.append(pack([number, [len(i) for i in ids], flat]))
+            yield pa.RecordBatch.from_pydict({"block": batch.column("block"), "blob": pa.array(blobs, pa.binary())})
+
+    dealt = words.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(encode, "block bigint, blob binary")
+
+
+def decode_documents(encoded: DataFrame, ids_col: str = "ids", out_col: str = "decoded", ranks_path: str | None = None) -> DataFrame:
+    """encoded with the bytes of its ids: every id is joined to its row of the token-byte table.
+
+    The table has a row for each token of the vocabulary file, whatever the input, and goes to the tasks as one
+    broadcast of two arrays (offsets and bytes), so that the join is a gather.
+    """
+    ranks = load_ranks(ranks_path or default_ranks())
+    pieces = [b""] * (max(ranks.values(), default=-1) + 1)
+    for piece, token in ranks.items():
+        pieces[token] = piece
+    ends = np.cumsum([len(p) for p in pieces])
+    held = encoded.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(pieces), np.uint8), ends))
+
+    def decode(batches):
+        bytes_, ends = held.value
+        starts = np.concatenate([[0], ends])[:-1]
+        for whole in batches:
+            for first in range(0, whole.num_rows, DOCS_A_STEP):
+                batch, out = whole.slice(first, DOCS_A_STEP), []
+                for ids in batch.column(ids_col):
+                    at = ids.values.to_numpy()
+                    size = ends[at] - starts[at]
+                    stop = np.cumsum(size)
+                    take = np.arange(stop[-1] if len(stop) else 0) + np.repeat(starts[at] - (stop - size), size)
+                    out.append(bytes_[take].tobytes())
+                yield batch.append_column(out_col, pa.array(out, pa.binary()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
+    return encoded.mapInArrow(decode, f"{fields}, {out_col} binary")
 
 
 def reassemble(words: DataFrame, docs: DataFrame, id_type: str) -> DataFrame:
-    """Per block: words (idx, ids, decoded) and documents (id, codes) to (id, ids, decoded)."""
+    """Per block: words (number, ids) joined to the documents' positions, to (id, ids)."""
 
     def build(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(left.column("idx").to_numpy())
-        held = left.take(pa.array(order)).combine_chunks()
-        lists = held.column("ids").combine_chunks() if held.num_rows else pa.array([], pa.list_(pa.int32()))
-        flat, starts = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]) if len(lists) else np.zeros(1, int)
-        pieces = held.column("decoded").to_pylist()
-        ids, decoded = [], []
-        for codes in right.column("codes").to_pylist():
-            at = np.frombuffer(codes, "<u4")
-            size = (starts[1:] - starts[:-1])[at] if len(at) else np.zeros(0, int)
-            ends = np.cumsum(size)
-            take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[:-1][at] - (ends - size), size) if len(at) else np.zeros(0, int)
-            ids.append(flat[take].astype(np.int32) if len(take) else np.zeros(0, np.int32))
-            decoded.append(b"".join([pieces[c] for c in at.tolist()]))
-        return pa.table(
-            {"id": right.column("id"), "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.binary())}
-        )
-
-    return (
-        words.groupBy("block").cogroup(docs.groupBy("block")).applyInArrow(build, f"id {id_type}, ids array<int>, decoded binary")
-    )
+        held = [unpack(b, 3) for b in left.column("blob").to_pylist()]
+        number, size, flat = (np.concatenate([np.zeros(0, "<u4"), *x]) for x in (zip(*held, strict=True) if held else [[], [], []]))
+        count, start = np.zeros(len(number), np.int32), np.zeros(len(number), np.int32)
+        count[number] = size
+        start[number] = np.cumsum(size, dtype=np.int32) - size.astype(np.int32)
+        flat, out = flat.astype(np.int32), []
+        for keys, blob in zip(right.column("ids"), right.column("blob").to_pylist(), strict=True):
+            n_words, codes = unpack(blob, 2)
+            ends = np.concatenate([[0], np.cumsum(n_words, dtype=np.int64)])
+            for at in range(0, len(n_words), DOCS_A_STEP):
+                own = ends[at : at + DOCS_A_STEP + 1]
+                word = codes[own[0] : own[-1]]
+                n_ids = count[word]
+                stop = np.cumsum(n_ids, dtype=np.int32)
+                take = np.arange(stop[-1] if len(stop) else 0, dtype=np.int32) + np.repeat(start[word] - (stop - n_ids), n_ids)
+                edges = np.concatenate([np.zeros(1, np.int32), stop])[own - own[0]]
+                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat[take]))
+                out.append(pa.table({"id": keys.values.slice(at, len(own) - 1), "ids": lists}))
+        return pa.concat_tables(out) if out else pa.table({"id": pa.array([], right.schema.field("ids").type.value_type), "ids": pa.array([], pa.list_(pa.int32()))})
+
+    return words.groupBy("block").cogroup(docs.groupBy("block")).applyInArrow(build, f"id {id_type}, ids array<int>")
 
 
 def encode_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
     pattern: str | None = None, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """(id_col, ids array<int>, decoded binary), one row for each row of docs."""
+    """(id_col, ids array<int>), one row for each row of docs."""
     spark = docs.sparkSession
     ship(spark)
     ranks_path, pattern = ranks_path or default_ranks(), pattern or default_pattern()
     own = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     id_type = own.schema["id"].dataType.simpleString()
-    blocks = cut(split_blocks(own, pattern, block_bytes), "bpe-blocks")
-    listed = blocks.filter("idx IS NOT NULL").select("block", "idx", "word")
-    encoded = encode_words(listed, ranks_path, pattern)
-    known = cut(
-        encoded.join(decode_ids(encoded, "word", token_table(spark, ranks_path)), "word"), "bpe-words"
-    )
-    words = listed.join(known, "word").select("block", "idx", "ids", "decoded")
-    texts = blocks.filter("codes IS NOT NULL").select(*[F.col(c).alias(c) for c in ("block", "id", "codes")])
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * BUCKETS_A_PARTITION
+    blocks = cut_in_buckets(split_blocks(own, pattern, buckets, block_bytes), "bpe_blocks", "block")
+    words = encode_buckets(blocks.filter("bucket IS NOT NULL").select("block", "bucket", "blob"), ranks_path, pattern)
+    texts = blocks.filter("bucket IS NULL").select(*[F.col(c).alias(c) for c in ("block", "ids", "blob")])
     return reassemble(words, texts, id_type).withColumnRenamed("id", id_col)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = encode_documents(table(spark, sf_dir, "documents"))
+    out = decode_documents(encode_documents(table(spark, sf_dir, "documents")))
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -35,6 +35,14 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_in_buckets(df: DataFrame, what: str, key: str) -> DataFrame:
+    """As cut, but as a table bucketed by key in the warehouse, so that a later grouping by key needs no shuffle of it."""
+    spark, name = df.sparkSession, f"tallyloom_{what}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", "zstd").bucketBy(n, key).saveAsTable(name, format="parquet")
+    return spark.table(name)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch path that no later read needs."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
