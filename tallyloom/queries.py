@@ -1,43 +1,8 @@
-"""Queries over the driver tables and their reference SQL."""
+"""All queries of the library but those of the training-data operators."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tallyloom.plans import stats_queries  # noqa: F401
+from tallyloom.registry import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tallyloom.session import table
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLE[name] = sql
-        return f
-
-    return register
-
-
-@query(
-    "video_stats",
-    """SELECT l_orderkey AS video_id, count(*) AS total_segments,
-    CAST(sum(CAST(l_quantity AS DECIMAL(18,4))) AS DECIMAL(28,4)) AS total_duration,
-    count(*) FILTER (WHERE l_returnflag='A') AS tier_a, count(*) FILTER (WHERE l_returnflag='N') AS tier_b,
-    count(*) FILTER (WHERE l_returnflag='R') AS tier_c FROM lineitem GROUP BY 1""",
-)
-def video_stats(spark, sf_dir):
-    tier = lambda t: F.count_if(F.col("l_returnflag") == t)
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("video_id"))
-        .agg(
-            F.count(F.lit(1)).alias("total_segments"),
-            F.sum(F.col("l_quantity").cast("decimal(18,4)")).alias("total_duration"),
-            tier("A").alias("tier_a"), tier("N").alias("tier_b"), tier("R").alias("tier_c"),
-        )
-    )
+__all__ = ["ORACLE", "QUERIES"]
