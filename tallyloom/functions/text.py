@@ -5,10 +5,12 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tallyloom.session import ship
+
 #: Cedilla letters and the comma-below letters that replace them.
 CEDILLAS, COMMAS = "şŞţŢ", "șȘțȚ"
 #: The marks that the statistics tokeniser strips from both ends of a word.
@@ -26,6 +28,7 @@ def nfc_udf(s: pd.Series) -> pd.Series:
 
 def normalize_diacritics(c: Column) -> Column:
     """NFC, then comma-below letters. Only texts with combining marks go through Python."""
+    ship(SparkSession.active())
     whole = F.when(c.rlike(r"\p{M}"), nfc_udf(c)).otherwise(c)
     return F.translate(whole, CEDILLAS, COMMAS)
 
