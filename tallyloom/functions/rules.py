@@ -75,11 +75,11 @@ DURATION_EDGES = (1, 3, 6, 10, 15)
 DURATION_BANDS = ("<1s", "1-3s", "3-6s", "6-10s", "10-15s", ">15s")
 
 
-def histogram_bin(value: Column, low: float, step: float, n: int) -> Column:
-    """Bin 0..n-1, the last closed; null outside. Edges are i * step so that they compare as written."""
-    out = F.when(value.isNull() | (value < low) | (value > low + n * step), F.lit(None).cast("int"))
+def histogram_bin(value: Column, low: float, high: float, n: int) -> Column:
+    """Bin 0..n-1 of n equal ones, the last closed; null outside."""
+    out = F.when(value.isNull() | (value < low) | (value > high), F.lit(None).cast("int"))
     for i in range(1, n):
-        out = out.when(value < F.lit(low + i * step), i - 1)
+        out = out.when(value < F.lit(low + i * (high - low) / n), i - 1)
     return out.otherwise(n - 1)
 
 
@@ -111,7 +111,7 @@ def drop_reason(checks: Sequence[tuple[str, Column, Column | None]]) -> Column:
     """The first failed check as code or code=value; null if none fails. checks: (code, failed, value)."""
     out = None
     for code, failed, value in checks:
-        says = F.lit(code) if value is None else F.concat(F.lit(f"{code}="), F.format_number(value, "0.00"))
+        says = F.lit(code) if value is None else F.concat(F.lit(f"{code}="), F.format_string("%.2f", value))
         out = F.when(failed, says) if out is None else out.when(failed, says)
     return out
 
@@ -127,11 +127,10 @@ def reason_struct(c: Column) -> Column:
 
 
 def reason_text(reason: Column) -> Column:
-    number = F.when(reason["decimals"] == 0, F.format_number(reason["value"], "0")).otherwise(
-        F.concat(F.floor(F.abs(reason["value"])).cast("string"), F.lit("."), F.lpad(F.round((F.abs(reason["value"]) % 1) * F.pow(F.lit(10), reason["decimals"])).cast("long").cast("string"), reason["decimals"], "0"))
-    )
-    sign = F.when(reason["value"] < 0, "-").otherwise("")
-    return F.when(reason["value"].isNull(), reason["code"]).otherwise(F.concat(reason["code"], F.lit("="), sign, number))
+    """The inverse: the value with its decimals."""
+    shown = F.array(*[F.format_string(f"%.{n}f", reason["value"]) for n in range(10)])
+    number = F.get(shown, F.coalesce(reason["decimals"], F.lit(0)))
+    return F.when(reason["value"].isNull(), reason["code"]).otherwise(F.concat(reason["code"], F.lit("="), number))
 
 
 #: Noise classes, the flatness from which and the voice ratio below which each holds.

@@ -80,8 +80,8 @@ def duration_bands(segments: DataFrame) -> DataFrame:
     return sums.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 4))
 
 
-def histogram(segments: DataFrame, column: str, low: float, step: float, n: int) -> DataFrame:
-    return segments.withColumn("bin", histogram_bin(known(F.col(column)), low, step, n)).filter("bin IS NOT NULL").groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+def histogram(segments: DataFrame, column: str, low: float, high: float, n: int) -> DataFrame:
+    return segments.withColumn("bin", histogram_bin(known(F.col(column)), low, high, n)).filter("bin IS NOT NULL").groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
 
 
 def speaker_balance(segments: DataFrame) -> DataFrame:

@@ -81,15 +81,15 @@ def duration_bands(spark, d):
     return stats.duration_bands(b.segments(spark, d))
 
 
-@query("wer_histogram", f"""{S}, x AS (SELECT (SELECT count(*) FROM range(1, 20) t(i) WHERE wer >= i * 0.05::DOUBLE) bin FROM s WHERE wer BETWEEN 0 AND 1)
+@query("wer_histogram", f"""{S}, x AS (SELECT (SELECT count(*) FROM range(1, 20) t(i) WHERE wer >= i::DOUBLE / 20) bin FROM s WHERE wer BETWEEN 0 AND 1)
     SELECT bin::INT bin, count(*) n FROM x GROUP BY 1""")
 def wer_histogram(spark, d):
-    return stats.histogram(b.segments(spark, d), "wer", 0.0, 0.05, 20)
+    return stats.histogram(b.segments(spark, d), "wer", 0.0, 1.0, 20)
 
 
 @query("duration_histogram", f"""{S} SELECT least(floor(duration) - 1, 13)::INT bin, count(*) n FROM s WHERE duration BETWEEN 1 AND 15 GROUP BY 1""")
 def duration_histogram(spark, d):
-    return stats.histogram(b.segments(spark, d), "duration", 1.0, 1.0, 14)
+    return stats.histogram(b.segments(spark, d), "duration", 1.0, 15.0, 14)
 
 
 CONF = "CASE WHEN whisper_conf_min >= 0.7 AND whisper_conf >= 0.9 THEN '3' WHEN whisper_conf_min >= 0.5 AND whisper_conf >= 0.7 THEN '2' ELSE '1' END"
