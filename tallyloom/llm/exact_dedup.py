@@ -18,7 +18,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import SPACES, cut, salt_count, scratch, text_of
+from tallyloom.llm.common import SPACES, cut, may_be_among, salt_count, scratch, text_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Members of a group for each salt that its byte comparison is dealt out by.
@@ -40,15 +40,26 @@ def keyed(rows: DataFrame, id_col: str, text_col: str, digest: Callable[[Column]
     ).withColumn("_digest", F.unhex(digest(F.col("_text"))))
 
 
+#: Stores give their local disk and memory back once their state is committed to the shared folder, and don't
+#: reserve disk ahead of use, so that many small stores cost what they hold.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
+
 @contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before) if before else spark.conf.unset(key)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def run_state(
@@ -84,7 +95,10 @@ def run_state(
 def collisions(rows: DataFrame, state: DataFrame) -> DataFrame:
     """(_digest, _place, _own, _own_n) of hits whose bytes differ from those at the locator, grouped by their bytes."""
     groups = state.filter("_n > 1")
-    members = rows.join(groups, "_digest").withColumn("_salts", salt_count(F.col("_n"), MEMBERS_A_SALT))
+    groups = cut(groups, "exact-groups")
+    near = rows.withColumn("_key", F.xxhash64("_digest"))
+    near = may_be_among(near, "_key", groups.select(F.xxhash64("_digest").alias("_key"))).drop("_key")
+    members = near.join(groups, "_digest").withColumn("_salts", salt_count(F.col("_n"), MEMBERS_A_SALT))
     kept = members.filter(F.col("_place") == F.col("_first")).select(
         "_digest", F.col("_text").alias("_kept"), F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt")
     )
