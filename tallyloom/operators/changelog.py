@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -94,3 +94,34 @@ def next_claim(states: DataFrame) -> DataFrame:
     """The oldest pending job, if none runs. Claiming it is for the caller's own store: a query can't be a lock."""
     one = states.agg(F.min(F.when(F.col("status") == "pending", F.col("job_id"))).alias("job_id"), F.count_if(F.col("status") == "running").alias("busy"))
     return one.filter("busy = 0 AND job_id IS NOT NULL").select("job_id")
+
+
+def delete_prefixes(rows: DataFrame, gone: DataFrame, key: str, prefix: str) -> DataFrame:
+    """rows without those whose key begins with one of gone's prefixes and '_'.
+
+    Every key is looked up by its own prefixes, so that this is an equi-join.
+    """
+    parts = F.split(key, "_")
+    heads = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "_"))
+    hit = rows.select(key, F.explode(heads).alias(prefix)).filter(F.col(prefix) != F.col(key)).join(gone.select(prefix), prefix, "left_semi").select(key).distinct()
+    return rows.join(hit, key, "left_anti")
+
+
+def rewrite_ids(rows: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
+    """rows whose key 'prefix_number...' begins with a mapped id (old) get the new one in its place."""
+    old = F.regexp_extract(key, r"^([A-Za-z]+_\d+)", 1)
+    both = rows.withColumn("_old", old).join(mapping.select(F.col("old").alias("_old"), F.col("new").alias("_new")), "_old", "left")
+    changed = F.concat(F.col("_new"), F.expr(f"substring(`{key}`, length(_old) + 1)"))
+    return both.withColumn(key, F.coalesce(changed, F.col(key))).drop("_old", "_new")
+
+
+def next_index(ids: DataFrame, column: str) -> DataFrame:
+    """(stem, next) of ids 'stemN': the number after the largest."""
+    p = r"^(.*?)(\d+)$"
+    return ids.groupBy(F.regexp_extract(column, p, 1).alias("stem")).agg((F.max(F.regexp_extract(column, p, 2).cast("int")) + 1).alias("next"))
+
+
+def mined_class(source: Column, extracted: Column) -> Column:
+    """(pct, class) of how much of a source was taken; null without a source. 25 and 10 percent."""
+    pct = F.when(source > 0, 100 * extracted / source)
+    return F.struct(pct.alias("pct"), F.when(pct >= 25, "green").when(pct >= 10, "cyan").otherwise("dim").alias("class"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyloom.plans import more_queries, row_queries, stats_queries  # noqa: F401
+from tallyloom.plans import media_queries, more_queries, row_queries, stats_queries  # noqa: F401
 from tallyloom.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
