@@ -32,10 +32,10 @@ REGISTERS = 128
 BANDS = 32
 #: Leaders that each node of a bucket is compared with.
 LEADERS = 4
-#: Nodes of a block of the second pass, partners each keeps for a component in a block, and how far the registers'
+#: Nodes of a block of the second pass, pairs of nodes that two components keep of a block, and how far the registers'
 #: agreement may fall below the threshold (their deviation is 0.035 there).
 BLOCK = 256
-PARTNERS = 3
+PARTNERS = 1
 SLACK = 0.1
 
 U = np.uint64
@@ -105,7 +105,7 @@ def prob_minhash(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, n: in
     times, kept = np.full(n * m, np.inf), np.zeros(n * m, np.int32)
     live, t, step = np.arange(len(owner)), np.zeros(len(owner)), 0
     while len(live):
-        u = mix(value[live] + U(step + 1) * GOLD)
+        u = mix(value[live] + np.full(1, step + 1, U) * GOLD)
         t[live] += -np.log(((u >> U(11)).astype(np.float64) + 0.5) * 2.0**-53) / weight[live]
         at = owner[live] * m + (mix(u) % U(m)).astype(np.int64)
         near = t[live] < times[at]
@@ -207,19 +207,16 @@ def _closest(a: pa.StructArray, b: pa.StructArray, least: float) -> pa.RecordBat
     node_a, node_b = (x.field("node").to_numpy() for x in (a, b))
     root_a, root_b = (x.field("root").to_numpy() for x in (a, b))
     reg_a, reg_b = (x.field("registers").flatten().to_numpy().reshape(len(x), REGISTERS) for x in (a, b))
-    found = []
-    for i in range(len(node_a)):
-        share = (reg_b == reg_a[i]).mean(1)
-        share[root_b == root_a[i]] = 0
-        near = np.flatnonzero(share >= least)
-        near = near[np.argsort(-share[near], kind="stable")]
-        seen: dict[int, int] = {}
-        for j in near.tolist():  # for each other component its closest nodes
-            if (n := seen.get(root_b[j], 0)) < PARTNERS:
-                seen[root_b[j]] = n + 1
-                found.append((max(node_a[i], node_b[j]), min(node_a[i], node_b[j])))
-    pairs = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+    share = np.stack([(reg_b == r).mean(1) for r in reg_a])
+    i, j = np.nonzero((share >= least) & (root_a[:, None] != root_b[None]))
+    low, high = np.minimum(root_a[i], root_b[j]), np.maximum(root_a[i], root_b[j])
+    order = np.lexsort((node_b[j], node_a[i], -share[i, j], high, low))
+    i, j, low, high = i[order], j[order], low[order], high[order]
+    # of each two components the closest pairs of this block
+    begin = np.flatnonzero(np.concatenate([[True], (np.diff(low) != 0) | (np.diff(high) != 0)])) if len(i) else np.zeros(0, int)
+    rank = np.arange(len(i)) - np.repeat(begin, np.diff(np.append(begin, len(i))))
+    x, y = node_a[i[rank < PARTNERS]], node_b[j[rank < PARTNERS]]
+    return pa.RecordBatch.from_pydict({"a": pa.array(np.maximum(x, y)), "b": pa.array(np.minimum(x, y))})
 
 
 def near_classes(
@@ -248,7 +245,7 @@ def near_classes(
     roots = components(links.filter("similar").select("a", "b"))
     pairs = second_pass(buckets, roots, nodes, least - SLACK).join(links.select("a", "b"), ["a", "b"], "left_anti")
     more = cut(verified(pairs, texts, least).filter("similar").select("a", "b"), "near-links")
-    found = components(more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    found = roots if more.isEmpty() else components(more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     placed = nodes.select("key", "node", "first", "copies").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = placed.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
     told = placed.select("key", "root").join(classes, "root").select("key", "class_id", "class_size")

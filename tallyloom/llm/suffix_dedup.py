@@ -9,11 +9,12 @@ most of them drop out before anything is shuffled much:
 2. What is left grows: a gram with all bytes that any of its windows can reach is a context. All windows in a context
    that occurred before did so too; only the first occurrence of each context goes on, and of these only the ones that
    share GROW bytes more on one side with another context.
-3. The windows of these go through the doubling proper: positions carry the names of the LENGTH / 2 bytes from there on,
-   pairs of the names at p and at p + LENGTH / 2 name the LENGTH bytes; Spark sorts and groups the pairs, positions whose
-   pair is unique drop out, and the first of each group stays.
+3. The windows of these go on in runs of 16, then 4, then 1, which is the doubling read from its long end: a run is
+   named by all its bytes and by those that all its windows share. Spark sorts and groups the names with the positions;
+   a run whose shared bytes are unique drops out, all windows of a run that occurred before are repeats, and what is left
+   is split. So a border of a repeated passage takes a few rows instead of one for each window.
 
-Names are 64-bit hashes; a decision to remove rests on two of them (gram and context, or both halves).
+Names are 64-bit hashes; a decision to remove rests on two of them (gram and context, or two of the run).
 
 Defined cases: a null text is an empty one; texts shorter than LENGTH stay whole; null ids come after all others, and
 of rows with equal ids the hash of the text decides which is earlier; rows equal in id and text are alike and don't
@@ -35,7 +36,6 @@ LENGTH = 100
 GRAM = 40
 SIDE = LENGTH - GRAM
 GROW = SIDE // 2
-HALF = LENGTH // 2
 #: Bytes of text that numpy works on at a time; positions in them take 24 bits.
 CHUNK = 1 << 20
 LOW = U((1 << 24) - 1)
@@ -148,32 +148,31 @@ def place(pos: str = "pos"):
     return F.struct(F.col("id").isNull().alias("no"), "id", "t", F.col(pos).alias("pos"))
 
 
-def window_names(texts: DataFrame) -> DataFrame:
-    """(id, t, pos, first, second): names of both halves of each window in the contexts listed with each text.
-
-    texts: (id, t, raw, spans), spans an array of (from, to): windows may start in from..to.
-    """
+def context_bytes(texts: DataFrame) -> DataFrame:
+    """(id, t, pos, left, right, bytes) of the contexts (pos, reach) listed with each text."""
 
     def work(batches):
         for batch in batches:
-            for i, (raw, spans) in enumerate(zip(batch.column("raw").to_pylist(), batch.column("spans").to_pylist(), strict=True)):
-                starts = np.unique(np.concatenate([np.arange(s["from"], s["to"] + 1) for s in spans]))
-                for at in range(0, len(starts), CHUNK // 4):
-                    own = starts[at : at + CHUNK // 4]
-                    for a in np.split(own, np.flatnonzero(np.diff(own) > 4096) + 1):  # names of near positions share a chunk
-                        for b in range(0, len(a), CHUNK):
-                            c = a[b : b + CHUNK]
-                            names, low = Names(np.frombuffer(raw, np.uint8)[c[0] : c[-1] + LENGTH]), c[0]
-                            n = len(c)
-                            yield pa.RecordBatch.from_pydict(
-                                {
-                                    "id": batch.column("id").take(pa.array([i] * n)), "t": batch.column("t").take(pa.array([i] * n)),
-                                    "pos": pa.array(c.astype(np.int32)), "first": _long(names(c - low, HALF)), "second": _long(names(c - low + HALF, HALF)),
-                                }
-                            )
+            raws, lists = batch.column("raw").to_pylist(), batch.column("spans").to_pylist()
+            for first in range(0, len(raws), 256):
+                who, rows = [], []
+                for i in range(first, min(first + 256, len(raws))):
+                    for s in lists[i]:
+                        pos, left, right = s["pos"], s["reach"] // 256, s["reach"] % 256
+                        who.append(i)
+                        rows.append((pos, left, right, raws[i][pos - left : pos + GRAM + right]))
+                if rows:
+                    pos, left, right, held = zip(*rows, strict=True)
+                    take = pa.array(who)
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "id": batch.column("id").take(take), "t": batch.column("t").take(take), "pos": pa.array(pos, pa.int32()),
+                            "left": pa.array(left, pa.int32()), "right": pa.array(right, pa.int32()), "bytes": pa.array(held, pa.binary()),
+                        }
+                    )
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(work, f"id {kind}, t bigint, pos int, first bigint, second bigint")
+    return texts.mapInArrow(work, f"id {kind}, t bigint, pos int, left int, right int, bytes binary")
 
 
 def joined_texts(rows: DataFrame, lists: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -185,21 +184,50 @@ def joined_texts(rows: DataFrame, lists: DataFrame) -> tuple[DataFrame, DataFram
     return met, told.filter("NOT _may")
 
 
+#: Numbers of windows in a run, from one level to the next.
+RUNS = (16, 4, 1)
+
+
+def runs_of(held: DataFrame, width: int) -> DataFrame:
+    """held (.., low, high) split into runs of width windows; a window is known by its bytes left of the gram, low..high.
+
+    core names the bytes that all windows of the whole run share, so that runs with equal windows have equal cores; one
+    and two name all bytes of those windows that the text has room for.
+    """
+    begin = F.explode(F.sequence(F.floor(F.col("low") / width).cast("int") * width, F.col("high"), F.lit(width)))
+    some = held.withColumn("run", begin)
+    some = some.withColumns({"low": F.greatest("low", "run"), "high": F.least(F.col("high"), F.col("run") + width - 1)})
+    shared = LENGTH - (F.least(F.col("run") + width - 1, F.lit(SIDE)) - F.col("run"))
+    core = F.substring("bytes", F.col("left") - F.col("run") + 1, shared)
+    whole = F.substring("bytes", F.col("left") - F.col("high") + 1, LENGTH + F.col("high") - F.col("low"))
+    return some.withColumn("start", F.col("pos") - F.col("high")).withColumns({"core": F.xxhash64("run", core), "one": F.xxhash64(whole), "two": F.xxhash64(F.lit(1), whole)})
+
+
 def doubled(rows: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(id, t, low, high) of windows of contexts (id, t, pos, reach) whose bytes start earlier too."""
-    low = F.col("pos") - F.floor(F.col("reach") / 256)
-    high = F.least(F.col("pos"), F.col("pos") + GRAM + F.col("reach") % 256 - LENGTH)
-    spans = contexts.select("id", "t", low.cast("int").alias("from"), high.cast("int").alias("to")).filter("from <= to")
-    lists = cut(spans.groupBy("id", "t").agg(F.collect_list(F.struct("from", "to")).alias("spans")), "suffix-spans")
+    """(id, t, low, high) of windows in contexts (id, t, pos, reach) whose bytes start earlier too."""
+    lists = cut(contexts.groupBy("id", "t").agg(F.collect_set(F.struct("pos", "reach")).alias("spans")), "suffix-lists")
     met, _ = joined_texts(rows, lists)
     fits = F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
-    texts = met.filter(fits).select("id", "t", "raw", "spans").distinct()
-    named = window_names(texts).withColumn("pair", F.xxhash64("first", "second"))
-    twice = cut(named.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("pair"), "suffix-pairs")
-    left = cut(may_be_among(named, "pair", twice).drop("pair"), "suffix-windows")
-    firsts = left.groupBy("first", "second").agg(F.min(place()).alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = left.join(firsts, ["first", "second"]).filter(place() != F.col("kept"))
-    return again.select("id", "t", F.col("pos").alias("low"), (F.col("pos") + LENGTH).alias("high"))
+    texts = met.filter(fits).select("id", "t", "raw", "spans").dropDuplicates(["id", "t"])
+    held = context_bytes(texts).withColumns({"low": F.greatest(SIDE - F.col("right"), F.lit(0)), "high": F.least("left", F.lit(SIDE))}).filter("low <= high")
+    held, found = cut(held, "suffix-bytes"), []
+    for width in RUNS:
+        named = runs_of(held, width)
+        cores = cut(named.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core"), "suffix-cores")
+        near = cut(may_be_among(named, "core", cores).drop("core", "run"), "suffix-runs")
+        twice = near.groupBy("one", "two").agg(F.min(place("start")).alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        twice = cut(twice, "suffix-firsts")
+        told = may_be(near, "one", twice)
+        same = told.filter("_may").drop("_may").join(twice, ["one", "two"], "left")
+        again = F.col("kept").isNotNull() & (place("start") != F.col("kept"))
+        names = ["id", "t", "pos", "left", "right", "bytes", "low", "high"]
+        span = [F.col("start").alias("low"), (F.col("pos") - F.col("low") + LENGTH).alias("high")]
+        found.append(cut(same.filter(again).select("id", "t", *span), "suffix-covered"))
+        held = told.filter("NOT _may").select(names).unionAll(same.filter(~again).select(names))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionAll(more)
+    return out
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
