@@ -165,6 +165,11 @@ def write_archives(records: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES
     return records.mapInArrow(write, "archive string, n_records bigint")
 
 
+def tasks(spark: SparkSession) -> int:
+    """The number of tasks that rows naming much larger files are dealt to; Spark would merge so few bytes into one."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def normalise(archives: DataFrame, folder: str, target: str) -> DataFrame:
     """Normalise the files of folder that archives names; (archive, offset, length, record_id, type) of all records.
 
@@ -196,8 +201,8 @@ def normalise(archives: DataFrame, folder: str, target: str) -> DataFrame:
                     if rows:
                         yield _batch(rows)
 
-    # a task for each archive: archives are large, and each is one stream
-    dealt = archives.select("archive").repartition("archive")
+    # archives are large and each is one stream; a stated number of tasks, as their names alone would be merged into one
+    dealt = archives.select("archive").repartition(tasks(archives.sparkSession), "archive")
     return dealt.mapInArrow(work, "archive string, offset bigint, length bigint, record_id string, type string")
 
 
@@ -237,7 +242,7 @@ def read_records(index: DataFrame, target: str) -> DataFrame:
             )
 
     part = F.floor(F.col("offset") / READ_BYTES)
-    near = index.repartition("archive", part).sortWithinPartitions("archive", "offset")
+    near = index.repartition(tasks(index.sparkSession), "archive", part).sortWithinPartitions("archive", "offset")
     return near.mapInArrow(read, "record_id string, type string, payload_bytes bigint, payload_digest string, refers_to string")
 
 
