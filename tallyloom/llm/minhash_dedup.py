@@ -8,7 +8,8 @@ reach the threshold.
 
 Equal texts are one node. In a bucket nodes are compared with its leaders, those that share most buckets with others,
 so that a group of thousands costs a few comparisons a node. After a first pass over components, nodes of different
-components that still share a bucket are compared by their registers in blocks, and the most similar are verified.
+components that still share a bucket are compared by their registers in blocks; of every two components the closest
+are verified, and once these have been joined, all pairs that are still in different components.
 
 Defined cases: words are runs of letters and digits of the lower-cased text; a text of fewer than five words is one
 shingle of all of them; null, empty and wordless texts are equal; rows with a null id fall in with equal texts only;
@@ -32,8 +33,8 @@ REGISTERS = 128
 BANDS = 32
 #: Leaders that each node of a bucket is compared with.
 LEADERS = 4
-#: Nodes of a block of the second pass, pairs of nodes that two components keep of a block, and how far the registers'
-#: agreement may fall below the threshold (their deviation is 0.035 there).
+#: Nodes of a block of the later passes, pairs of nodes that two components keep of a block in the second pass (the last
+#: keeps all), and how far the registers' agreement may fall below the threshold (their deviation is 0.035 there).
 BLOCK = 256
 PARTNERS = 1
 SLACK = 0.1
@@ -182,8 +183,11 @@ def first_pass(buckets: DataFrame) -> DataFrame:
     return met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
 
 
-def second_pass(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and agree in enough registers, the closest of each."""
+def cross_pass(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, least: float, partners: int | None = None) -> DataFrame:
+    """Pairs (a, b) of different components that share a bucket and agree in enough registers.
+
+    With partners only the closest so many of every two components and blocks, without it all.
+    """
     known = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = known.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n"))
     mixed = mixed.filter("r0 <> r1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).select("band", "blocks")
@@ -198,24 +202,25 @@ def second_pass(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, least: f
     def work(batches):
         for batch in batches:
             for a, b in zip(batch.column("held"), batch.column("held2"), strict=True):
-                yield _closest(a.values, b.values, least)
+                yield _crossing(a.values, b.values, least, partners)
 
     return met.mapInArrow(work, "a bigint, b bigint").distinct()
 
 
-def _closest(a: pa.StructArray, b: pa.StructArray, least: float) -> pa.RecordBatch:
+def _crossing(a: pa.StructArray, b: pa.StructArray, least: float, partners: int | None) -> pa.RecordBatch:
     node_a, node_b = (x.field("node").to_numpy() for x in (a, b))
     root_a, root_b = (x.field("root").to_numpy() for x in (a, b))
     reg_a, reg_b = (x.field("registers").flatten().to_numpy().reshape(len(x), REGISTERS) for x in (a, b))
     share = np.stack([(reg_b == r).mean(1) for r in reg_a])
     i, j = np.nonzero((share >= least) & (root_a[:, None] != root_b[None]))
-    low, high = np.minimum(root_a[i], root_b[j]), np.maximum(root_a[i], root_b[j])
-    order = np.lexsort((node_b[j], node_a[i], -share[i, j], high, low))
-    i, j, low, high = i[order], j[order], low[order], high[order]
-    # of each two components the closest pairs of this block
-    begin = np.flatnonzero(np.concatenate([[True], (np.diff(low) != 0) | (np.diff(high) != 0)])) if len(i) else np.zeros(0, int)
-    rank = np.arange(len(i)) - np.repeat(begin, np.diff(np.append(begin, len(i))))
-    x, y = node_a[i[rank < PARTNERS]], node_b[j[rank < PARTNERS]]
+    if partners is not None:  # of each two components the closest pairs of this block
+        low, high = np.minimum(root_a[i], root_b[j]), np.maximum(root_a[i], root_b[j])
+        order = np.lexsort((node_b[j], node_a[i], -share[i, j], high, low))
+        i, j, low, high = i[order], j[order], low[order], high[order]
+        begin = np.flatnonzero(np.concatenate([[True], (np.diff(low) != 0) | (np.diff(high) != 0)])) if len(i) else np.zeros(0, int)
+        rank = np.arange(len(i)) - np.repeat(begin, np.diff(np.append(begin, len(i))))
+        i, j = i[rank < partners], j[rank < partners]
+    x, y = node_a[i], node_b[j]
     return pa.RecordBatch.from_pydict({"a": pa.array(np.maximum(x, y)), "b": pa.array(np.minimum(x, y))})
 
 
@@ -243,10 +248,14 @@ def near_classes(
     texts = cut(texts, "near-texts")
     links = cut(verified(first_pass(buckets), texts, least), "near-links")
     roots = components(links.filter("similar").select("a", "b"))
-    pairs = second_pass(buckets, roots, nodes, least - SLACK).join(links.select("a", "b"), ["a", "b"], "left_anti")
-    more = cut(verified(pairs, texts, least).filter("similar").select("a", "b"), "near-links")
-    found = roots if more.isEmpty() else components(more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    placed = nodes.select("key", "node", "first", "copies").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # the second pass joins what it can by few comparisons; the last leaves no candidate of two components unverified
+    for partners in (PARTNERS, None):
+        pairs = cross_pass(buckets, roots, nodes, least - SLACK, partners).join(links.select("a", "b"), ["a", "b"], "left_anti")
+        told = cut(verified(pairs, texts, least), "near-links")
+        more, links = told.filter("similar").select("a", "b"), links.unionAll(told)
+        if not more.isEmpty():
+            roots = components(more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    placed = nodes.select("key", "node", "first", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = placed.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
     told = placed.select("key", "root").join(classes, "root").select("key", "class_id", "class_size")
     return sketches.select("id", "key").join(told, "key").select("id", "class_id", "class_size")

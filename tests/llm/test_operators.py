@@ -241,6 +241,29 @@ def test_minhash_group_of_near_copies(spark):
     assert got == classes(dict(rows))
 
 
+def families(r, n, size, edits):
+    """n families of size documents, each a text of 150 to 400 words with so many words changed."""
+    rows = []
+    for _ in range(n):
+        base = [r.choice(WORDS) + r.choice(WORDS) for _ in range(r.randint(150, 400))]
+        for _ in range(size):
+            words = list(base)
+            for at in r.sample(range(len(words)), round(len(words) / 90 * edits)):
+                words[at] = r.choice(WORDS) + "z"
+            rows.append((len(rows), " ".join(words)))
+    return rows
+
+
+def test_minhash_borderline_families(spark):
+    r = random.Random(21)
+    rows = families(r, 24, 40, 1.3)
+    want = {}
+    for f in range(24):
+        want |= classes(dict(rows[40 * f : 40 * f + 40]))
+    got = {x.id: x.class_id for x in minhash_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert 24 < len(set(want.values())) < len(rows) and got == want
+
+
 def test_probability_jaccard():
     a, b = {i: 1 + i % 3 for i in range(60)}, {i: 1 + i % 2 for i in range(20, 80)}
     owner = np.array([0] * 60 + [1] * 60)
