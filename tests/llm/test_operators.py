@@ -264,6 +264,22 @@ def test_minhash_borderline_families(spark):
     assert 24 < len(set(want.values())) < len(rows) and got == want
 
 
+def test_minhash_repeated_lines(spark):
+    r = random.Random(31)
+    rows, want = [], {}
+    for f in range(0, 160, 2):
+        lines = [[r.choice(WORDS) + r.choice(WORDS) for _ in range(25)] for _ in range(20)]
+        text = lambda n, own: "\n".join(" ".join(x) for i, x in enumerate(own) for _ in range(n if i < 6 else 1))
+        changed = [list(x) for x in lines]
+        for at in r.sample(range(150, 500), 10):
+            changed[at // 25][at % 25] = "changed"
+        pair = {f: text(100, lines), f + 1: text(2, changed)}
+        want |= classes(pair)
+        rows += pair.items()
+    got = {x.id: x.class_id for x in minhash_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(set(want.values())) == 80 and got == want
+
+
 def test_probability_jaccard():
     a, b = {i: 1 + i % 3 for i in range(60)}, {i: 1 + i % 2 for i in range(20, 80)}
     owner = np.array([0] * 60 + [1] * 60)
