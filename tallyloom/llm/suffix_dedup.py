@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by distributed prefix doubling.
+"""Removal of repeated byte strings by content-chosen grams and shrinking runs of windows, in place of prefix doubling.
 
 Every string of LENGTH bytes that also starts earlier is covered and removed. All positions of all texts take part, but
 most of them drop out before anything is shuffled much:
@@ -9,7 +9,7 @@ most of them drop out before anything is shuffled much:
 2. What is left grows: a gram with all bytes that any of its windows can reach is a context. All windows in a context
    that occurred before did so too; only the first occurrence of each context goes on, and of these only the ones that
    share GROW bytes more on one side with another context.
-3. The windows of these go on in runs of 16, then 4, then 1, which is the doubling read from its long end: a run is
+3. The windows of these go on in runs of 16, then 4, then 1: a run is
    named by all its bytes and by those that all its windows share. Spark sorts and groups the names with the positions;
    a run whose shared bytes are unique drops out, all windows of a run that occurred before are repeats, and what is left
    is split. So a border of a repeated passage takes a few rows instead of one for each window.
