@@ -1,15 +1,17 @@
 """GIF media columns: write, decode and describe animations.
 
 The decoder reads GIF87a and GIF89a: colour tables, graphic control (delay, transparency, disposal), interlacing and
-LZW code streams. Streams that reset their dictionary before codes widen are unpacked with numpy, all frames of one
-layout at once; other streams go through the code table. Frames are composed on a canvas by the rules of disposal and
-transparency and described by colour histograms.
+LZW code streams of any length, always through the code table. Frames are composed on a canvas by the rules of disposal
+and transparency, one after the other, and come out as timed frames with their colour histograms.
 
-To store a payload losslessly its bytes become the palette indices of square frames, in literal codes with regular
-resets of the dictionary.
+To store a payload losslessly its bytes become the palette indices of frames of up to TALL rows of SIDE samples, in LZW
+codes of up to 12 bits with a clear code whenever the dictionary is full. Frames of ASCII take a local palette of 128
+colours and shorter codes; others take the global one, in which PAD, a byte that UTF-8 never holds, is transparent.
+Every frame gives its area back to the background before the next.
 
 Defined cases: a null or empty text is stored as one frame of padding; equal texts give equal media and features;
-repeated rows stay separate; an empty table gives an empty result; other columns are ignored.
+repeated rows stay separate; very long texts take more frames, each written, read, composed and measured by itself; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,53 +30,90 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import text_of
 from tallyloom.session import ship, table
 
-#: Samples of a frame: 24 by 24.
+#: Samples of a row, and rows of the tallest frame.
 SIDE = 24
-FRAME = SIDE * SIDE
+TALL = 64 * SIDE
+BLOCK = SIDE * SIDE
 PAD = 255
 #: Centiseconds that a frame is shown.
 DELAY = 4
-#: Literal codes between two resets, so that codes stay 9 bits wide.
-RUN = 254
-BITS = np.arange(9, dtype=np.uint16)
+#: Codes have 12 bits at most, so a dictionary has as many entries.
+WIDEST = 12
+FULL = 1 << WIDEST
+#: Bytes of rows that a task hands on at a time.
+BATCH_BYTES = 8 << 20
+GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).reshape(256, 3)
+LEVEL = np.arange(0, 256, 2, dtype=np.uint8)
+TINTED = np.stack([LEVEL, LEVEL, 255 - LEVEL], axis=1)
 
 
-def pad(raw: bytes, multiple: int = FRAME) -> bytes:
+def pad(raw: bytes, multiple: int = BLOCK) -> bytes:
     """raw with bytes 255 up to a positive multiple."""
     return raw + bytes([PAD]) * (max(-(-len(raw) // multiple), 1) * multiple - len(raw))
 
 
-def literal_layout(n: int) -> np.ndarray:
-    """Positions of n literals in a code stream with a clear code (256) before each RUN of them and a stop code."""
-    at = np.arange(n)
-    return at + at // RUN + 1
+def widths(first: int, n: int, least: int) -> np.ndarray:
+    """Bits of n codes, the first of which is the first-th after a clear code: the dictionary grows by one with each."""
+    newest = (1 << least) + 1 + np.arange(first, first + n)
+    return np.minimum(np.frexp(newest.astype(np.float64))[1], WIDEST)
 
 
-def write_codes(samples: np.ndarray) -> np.ndarray:
-    """Rows of samples (uint8) to rows of packed 9-bit code streams of equal length."""
-    f, n = samples.shape
-    at = literal_layout(n)
-    codes = np.full((f, at[-1] + 2), 256, np.uint16)
-    codes[:, at] = samples
-    codes[:, -1] = 257
-    bits = ((codes[:, :, None] >> BITS) & 1).astype(np.uint8)
-    return np.packbits(bits.reshape(f, -1), axis=1, bitorder="little")
-
-
-def write_gif(payload: bytes, side: int = SIDE, delay: int = DELAY) -> bytes:
-    """An animation whose palette indices are the payload's bytes; the palette is grey, index for level."""
-    samples = np.frombuffer(payload, np.uint8).reshape(-1, side * side)
-    grey = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
-    head = b"GIF89a" + struct.pack("<HHBBB", side, side, 0xF7, 0, 0) + grey
-    loop = b"\x21\xff\x0bNETSCAPE2.0\x03\x01\x00\x00\x00"
-    before = b"\x21\xf9\x04" + struct.pack("<BHBB", 1 << 2, delay, 0, 0) + b"\x2c" + struct.pack("<HHHHB", 0, 0, side, side, 0) + b"\x08"
-    packed = write_codes(samples)
-    parts = [np.frombuffer(before, np.uint8)]
-    for i in range(0, packed.shape[1], 255):
-        parts += [np.array([min(255, packed.shape[1] - i)], np.uint8), packed[:, i : i + 255]]
-    parts.append(np.zeros(1, np.uint8))
-    rows = [np.broadcast_to(p, (len(samples), p.shape[-1])) for p in parts]
-    return head + loop + np.concatenate(rows, axis=1).tobytes() + b"\x3b"
+def lzw_codes(samples: bytes, least: int) -> list[int]:
+    """The codes of samples: clear, then each longest known string, and clear again when the dictionary is full."""
+    clear = 1 << least
+    codes, known, free = [clear], {}, clear + 2
+    emit, find = codes.append, known.get
+    word = samples[0]
+    for b in memoryview(samples)[1:]:
+        key = word << 8 | b
+        if longer := find(key):
+            word = longer
+            continue
+        emit(word)
+        known[key] = free
+        free += 1
+        word = b
+        if free == FULL:
+            emit(clear)
+            known.clear()
+            free = clear + 2
+    emit(word)
+    emit(clear + 1)
+    return codes
+
+
+def pack_codes(codes: list[int], least: int) -> bytes:
+    held = np.array(codes, np.uint16)
+    begin = np.flatnonzero(held[:-1] == 1 << least) + 1
+    bits = np.concatenate([[least + 1], *(widths(0, n, least) for n in np.diff(np.append(begin, len(held))))])
+    at = np.arange(WIDEST)
+    return np.packbits(((held[:, None] >> at) & 1).astype(bool)[at < bits[:, None]], bitorder="little").tobytes()
+
+
+def frame_bytes(samples: bytes, delay: int) -> bytes:
+    """Graphic control, image descriptor and code stream of one frame."""
+    plain = samples.isascii()
+    least, tall = 7 if plain else 8, len(samples) // SIDE
+    control = b"\x21\xf9\x04" + struct.pack("<BHBB", 2 << 2 | (not plain), delay, 0 if plain else PAD, 0)
+    where = b"\x2c" + struct.pack("<HHHHB", 0, 0, SIDE, tall, 0x86 if plain else 0)
+    packed = pack_codes(lzw_codes(samples, least), least)
+    parts = [control, where, TINTED.tobytes() if plain else b"", bytes([least])]
+    for i in range(0, len(packed), 255):
+        part = packed[i : i + 255]
+        parts += [bytes([len(part)]), part]
+    return b"".join([*parts, b"\0"])
+
+
+def write_gif(payload: bytes, delay: int = DELAY) -> bytes:
+    """An animation whose palette indices are the payload's bytes."""
+    step = SIDE * TALL
+    tall = min(len(payload) // SIDE, TALL)
+    out = bytearray(b"GIF89a" + struct.pack("<HHBBB", SIDE, tall, 0xF7, 0, 0) + GREY.tobytes())
+    out += b"\x21\xff\x0bNETSCAPE2.0\x03\x01\x00\x00\x00"
+    for at in range(0, len(payload), step):
+        out += frame_bytes(payload[at : at + step], delay)
+    out += b"\x3b"
+    return bytes(out)
 
 
 @dataclass
@@ -93,11 +133,15 @@ class Block:
     codes: bytes
 
 
-def read_blocks(gif: bytes) -> tuple[int, int, list[Block]]:
+def read_blocks(gif: bytes) -> tuple[int, int, Iterator[Block]]:
     """Width and height of the canvas, and the frames in order; a stream cut short ends after its last whole frame."""
     if gif[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height, flags = struct.unpack_from("<HHB", gif, 6)
+    return width, height, _blocks(gif, flags)
+
+
+def _blocks(gif: bytes, flags: int) -> Iterator[Block]:
     at = 13
 
     def colours(flags: int) -> np.ndarray:
@@ -117,7 +161,7 @@ def read_blocks(gif: bytes) -> tuple[int, int, list[Block]]:
         return b"".join(parts)
 
     base = colours(flags) if flags & 0x80 else np.zeros((2, 3), np.uint8)
-    delay, disposal, clear, blocks = 0, 0, None, []
+    delay, disposal, clear = 0, 0, None
     while at < len(gif) and gif[at] != 0x3B:
         try:
             if gif[at] == 0x21:
@@ -133,123 +177,124 @@ def read_blocks(gif: bytes) -> tuple[int, int, list[Block]]:
             own = colours(how) if how & 0x80 else base
             least = gif[at]
             at += 1
-            blocks.append(Block(left, top, w, h, own, delay, disposal, clear, bool(how & 0x40), least, joined()))
-            delay, disposal, clear = 0, 0, None
-        except (IndexError, struct.error):
+            block = Block(left, top, w, h, own, delay, disposal, clear, bool(how & 0x40), least, joined())
+        except (IndexError, struct.error, ValueError):
+            return
+        yield block
+        delay, disposal, clear = 0, 0, None
+
+
+def read_codes(stream: bytes, least: int) -> Iterator[tuple[bool, list[int]]]:
+    """The codes between two clear codes, in pieces: (whether the piece follows a clear code, codes)."""
+    raw = np.frombuffer(stream + b"\0\0\0", np.uint8).astype(np.uint32)
+    clear, end, at, first = 1 << least, 8 * len(stream), 0, 0
+    while at < end:
+        size = widths(first, FULL, least)
+        stop = at + np.cumsum(size)
+        n = int(np.searchsorted(stop, end, side="right"))
+        start, size, stop = stop[:n] - size[:n], size[:n], stop[:n]
+        held = raw[start >> 3] | raw[(start >> 3) + 1] << 8 | raw[(start >> 3) + 2] << 16
+        codes = (held >> (start & 7).astype(np.uint32)) & ((1 << size) - 1).astype(np.uint32)
+        marks = np.flatnonzero((codes == clear) | (codes == clear + 1))
+        last = int(marks[0]) if len(marks) else n
+        yield first == 0, codes[:last].tolist()
+        if len(marks) == 0 and n < FULL or len(marks) and codes[last] == clear + 1:
+            return
+        at, first = (int(stop[last]), 0) if len(marks) else (int(stop[-1]), first + n)
+
+
+def lzw(stream: bytes, least: int, n: int) -> np.ndarray:
+    """n indices from a variable-width LZW code stream; missing ones are 0."""
+    literals = [bytes([i]) for i in range(1 << least)] + [b"", b""]
+    entries, last, out, have = list(literals), b"", [], 0
+    for fresh, codes in read_codes(stream, least):
+        if fresh:
+            entries, last = list(literals), b""
+        add = entries.append
+        for code in codes:
+            if code < len(entries):
+                found = entries[code]
+            elif last:
+                found = last + last[:1]
+            else:
+                break
+            if last and len(entries) < FULL:
+                add(last + found[:1])
+            out.append(found)
+            last = found
+        have += sum(map(len, out[-len(codes) :])) if codes else 0
+        if have >= n:
             break
-    return width, height, blocks
+    return np.frombuffer(b"".join(out)[:n].ljust(n, b"\0"), np.uint8)
 
 
-def lzw(codes: bytes, least: int, n: int) -> np.ndarray:
-    """n indices from a variable-width LZW code stream; missing ones are 0."""
-    stop = (1 << least) + 1
-    first = [bytes([i]) for i in range(1 << least)] + [b"", b""]
-    entries, width, last, out = list(first), least + 1, b"", bytearray()
-    value = have = at = 0
-    while len(out) < n:
-        while have < width and at < len(codes):
-            value |= codes[at] << have
-            have, at = have + 8, at + 1
-        if have < width:
-            break
-        code, value, have = value & ((1 << width) - 1), value >> width, have - width
-        if code == stop - 1:
-            entries, width, last = list(first), least + 1, b""
-            continue
-        if code == stop:
-            break
-        if code < len(entries):
-            found = entries[code]
-        elif last:
-            found = last + last[:1]
-        else:
-            break
-        out += found
-        if last and len(entries) < 4096:
-            entries.append(last + found[:1])
-            if len(entries) == 1 << width and width < 12:
-                width += 1
-        last = found
-    return np.frombuffer(bytes(out[:n]).ljust(n, b"\0"), np.uint8)
-
-
-def literal_runs(blocks: list[Block], n: int) -> np.ndarray | None:
-    """The indices of frames that all hold n literals in the layout of write_codes; None if any doesn't."""
-    size = len(blocks[0].codes)
-    n_codes = int(literal_layout(n)[-1]) + 2
-    if size != -(-n_codes * 9 // 8) or any(len(b.codes) != size or b.least != 8 for b in blocks):
-        return None
-    raw = np.frombuffer(b"".join(b.codes for b in blocks), np.uint8).reshape(len(blocks), size)
-    bits = np.unpackbits(raw, axis=1, bitorder="little")[:, : n_codes * 9].reshape(len(blocks), n_codes, 9)
-    codes = np.zeros((len(blocks), n_codes), np.uint16)
-    for i in range(9):
-        codes |= bits[:, :, i].astype(np.uint16) << i
-    at = literal_layout(n)
-    other = np.ones(n_codes, bool)
-    other[at] = False
-    other[-1] = False
-    fits = (codes[:, at] < 256).all() and (codes[:, other] == 256).all() and (codes[:, -1] == 257).all()
-    return codes[:, at].astype(np.uint8) if fits else None
-
-
-def indices(blocks: list[Block]) -> list[np.ndarray]:
-    """Each frame's palette indices, height by width."""
-    if blocks and all((b.width, b.height, b.interlaced) == (blocks[0].width, blocks[0].height, False) for b in blocks):
-        n = blocks[0].width * blocks[0].height
-        if n and (found := literal_runs(blocks, n)) is not None:
-            return list(found.reshape(len(blocks), blocks[0].height, blocks[0].width))
-    out = []
-    for b in blocks:
-        rows = lzw(b.codes, b.least, b.width * b.height).reshape(b.height, b.width)
-        if b.interlaced:
-            order = [y for start, step in ((0, 8), (4, 8), (2, 4), (1, 2)) for y in range(start, b.height, step)]
-            straight = np.empty_like(rows)
-            straight[order] = rows
-            rows = straight
-        out.append(rows)
-    return out
-
-
-def compose(width: int, height: int, blocks: list[Block], frames: list[np.ndarray]):
-    """Yield each shown picture (height, width, 3) and its delay in centiseconds."""
+def indices(b: Block) -> np.ndarray:
+    """A frame's palette indices, height by width."""
+    rows = lzw(b.codes, b.least, b.width * b.height).reshape(b.height, b.width)
+    if b.interlaced:
+        order = [y for start, step in ((0, 8), (4, 8), (2, 4), (1, 2)) for y in range(start, b.height, step)]
+        straight = np.empty_like(rows)
+        straight[order] = rows
+        return straight
+    return rows
+
+
+def compose(width: int, height: int, blocks: Iterator[Block]) -> Iterator[tuple[np.ndarray, Block, np.ndarray]]:
+    """Yield each shown picture (height, width, 3), its block and the block's indices; pictures are drawn over."""
     canvas = np.zeros((height, width, 3), np.uint8)
-    for b, rows in zip(blocks, frames, strict=True):
+    for b in blocks:
+        rows = indices(b)
         before = canvas.copy() if b.disposal == 3 else None
-        rows = rows[: max(height - b.top, 0), : max(width - b.left, 0)]
-        area = canvas[b.top : b.top + rows.shape[0], b.left : b.left + rows.shape[1]]
-        colours = b.table[np.minimum(rows, len(b.table) - 1)]
-        area[...] = colours if b.clear is None else np.where((rows == b.clear)[:, :, None], area, colours)
-        yield canvas, b.delay
+        seen = rows[: max(height - b.top, 0), : max(width - b.left, 0)]
+        area = canvas[b.top : b.top + seen.shape[0], b.left : b.left + seen.shape[1]]
+        colours = b.table[np.minimum(seen, len(b.table) - 1)]
+        area[...] = colours if b.clear is None else np.where((seen == b.clear)[:, :, None], area, colours)
+        yield canvas, b, rows
         if b.disposal == 2:
             area[...] = 0
         elif b.disposal == 3:
             canvas = before
 
 
-def histogram(pictures) -> tuple[np.ndarray, int, int]:
-    """Counts of 4 x 4 x 4 colours over all pictures, the number of pictures and centiseconds."""
-    total, n, time = np.zeros(64, np.int64), 0, 0
-    for picture, delay in pictures:
-        c = picture >> 6
-        total += np.bincount((c[:, :, 0] * 16 + c[:, :, 1] * 4 + c[:, :, 2]).reshape(-1), minlength=64)
-        n, time = n + 1, time + delay
-    return total, n, time
+def histogram(picture: np.ndarray) -> np.ndarray:
+    """Counts of 4 x 4 x 4 colours."""
+    c = picture >> 6
+    return np.bincount((c[:, :, 0] << 4 | c[:, :, 1] << 2 | c[:, :, 2]).reshape(-1), minlength=64)
 
 
-def describe(width: int, height: int, blocks: list[Block], frames: list[np.ndarray]) -> str:
-    """Frames, centiseconds and the colour histogram over the composed pictures, as text."""
-    plain = blocks and all(
-        (b.left, b.top, b.width, b.height, b.clear) == (0, 0, width, height, None) and b.table is blocks[0].table for b in blocks
-    )
-    if plain:  # every frame covers the canvas: what is shown is the frames themselves
-        held = np.bincount(np.concatenate(frames).reshape(-1), minlength=256)[: len(blocks[0].table)]
-        c = (blocks[0].table >> 6).astype(np.int64)
-        total = np.bincount(c[:, 0] * 16 + c[:, 1] * 4 + c[:, 2], weights=held, minlength=64).astype(np.int64)
-        n, time = len(blocks), sum(b.delay for b in blocks)
-    else:
-        total, n, time = histogram(compose(width, height, blocks, frames))
+def timed_frames(gif: bytes) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    """Each shown picture as (start_cs, delay_cs, place, size and colour histogram), its indices and the picture."""
+    width, height, blocks = read_blocks(gif)
+    start = 0
+    for picture, b, rows in compose(width, height, blocks):
+        bins = histogram(picture)
+        held = [{"colour": int(i), "n": int(bins[i])} for i in np.flatnonzero(bins)]
+        yield {"start_cs": start, "delay_cs": b.delay, "left": b.left, "top": b.top, "width": b.width, "height": b.height, "histogram": held}, rows, picture
+        start += b.delay
+
+
+def describe(gif: bytes, frames: list[dict]) -> str:
+    """Canvas, frames, centiseconds and the colour histogram over the composed pictures, as text."""
+    total = np.zeros(64, np.int64)
+    for f in frames:
+        for b in f["histogram"]:
+            total[b["colour"]] += b["n"]
     bins = ",".join(f"{i}:{v}" for i, v in enumerate(total.tolist()) if v)
-    return f"{width}x{height};frames={n};cs={time};hist={bins}"
+    width, height = struct.unpack_from("<HH", gif, 6)
+    return f"{width}x{height};frames={len(frames)};cs={sum(f['delay_cs'] for f in frames)};hist={bins}"
+
+
+def batched(rows: Iterator[tuple[int, dict]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """(bytes, row) to record batches of about BATCH_BYTES."""
+    held, size = [], 0
+    for n, row in rows:
+        held.append(row)
+        size += n
+        if size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
 
 
 def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,40 +304,55 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def encode(batches):
         for batch in batches:
-            raw = batch.column("raw").to_pylist()
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "id": batch.column("id"), "n_bytes": pa.array(map(len, raw), pa.int64()),
-                    "media": pa.array([write_gif(pad(r)) for r in raw], pa.binary()),
-                }
-            )
+            schema = pa.schema([("id", batch.schema.field("id").type), ("n_bytes", pa.int64()), ("media", pa.binary())])
+
+            def each(batch=batch):
+                for i in range(batch.num_rows):
+                    raw = batch.column("raw")[i].as_py()
+                    media = write_gif(pad(raw))
+                    yield len(media), {"id": batch.column("id")[i].as_py(), "n_bytes": len(raw), "media": media}
+
+            yield from batched(each(), schema)
 
     return rows.mapInArrow(encode, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes bigint, media binary")
 
 
+BIN = "struct<colour:int,n:bigint>"
+TIMED = f"struct<start_cs:bigint,delay_cs:int,left:int,top:int,width:int,height:int,histogram:array<{BIN}>>"
+_TIMED = pa.struct([("start_cs", pa.int64()), *[(n, pa.int32()) for n in ("delay_cs", "left", "top", "width", "height")], ("histogram", pa.list_(pa.struct([("colour", pa.int32()), ("n", pa.int64())])))])
+
+
 def decode_media(media: DataFrame) -> DataFrame:
-    """media (id, n_bytes, media) read back: (id, n_bytes, the payload's and the media's measures, feature)."""
+    """media (id, n_bytes, media) read back: (id, n_bytes, the payload's and the media's measures, feature, frames)."""
+
+    def measured(gif: bytes) -> dict:
+        frames, size, digest, tail = [], 0, hashlib.sha256(), b""
+        for frame, rows, _ in timed_frames(gif):
+            part = rows.tobytes()
+            frames.append(frame)
+            digest.update(part)
+            size, tail = size + len(part), (tail + part[-32:])[-32:]
+        return {
+            "payload_bytes": size, "payload_sha256": digest.hexdigest(), "tail_crc32": zlib.crc32(tail), "media_bytes": len(gif),
+            "media_sha256": hashlib.sha256(gif).hexdigest(), "feature": describe(gif, frames), "frames": frames,
+        }
 
     def decode(batches):
         for batch in batches:
-            rows = []
-            for gif in batch.column("media").to_pylist():
-                width, height, blocks = read_blocks(gif)
-                frames = indices(blocks)
-                payload = b"".join(f.tobytes() for f in frames)
-                rows.append(
-                    (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(gif),
-                     hashlib.sha256(gif).hexdigest(), describe(width, height, blocks, frames))
-                )
-            names = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
-            found = [pa.array(c, pa.string() if isinstance(c[0], str) else pa.int64()) for c in zip(*rows, strict=True)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), *found], ["id", "n_bytes", *names])
+            whole = [("id", batch.schema.field("id").type), *[(n, pa.int64()) for n in ("n_bytes", "payload_bytes", "tail_crc32", "media_bytes")]]
+            schema = pa.schema([*whole, *[(n, pa.string()) for n in ("payload_sha256", "media_sha256", "feature")], ("frames", pa.list_(_TIMED))])
+
+            def each(batch=batch):
+                for i in range(batch.num_rows):
+                    found = measured(batch.column("media")[i].as_py())
+                    yield 512 * (1 + len(found["frames"])), {"id": batch.column("id")[i].as_py(), "n_bytes": batch.column("n_bytes")[i].as_py(), **found}
+
+            yield from batched(each(), schema)
 
     kind = media.schema["id"].dataType.simpleString()
     return media.mapInArrow(
-        decode, f"id {kind}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, "
-        "media_bytes bigint, media_sha256 string, feature string",
+        decode, f"id {kind}, n_bytes bigint, payload_bytes bigint, tail_crc32 bigint, media_bytes bigint, "
+        f"payload_sha256 string, media_sha256 string, feature string, frames array<{TIMED}>",
     )
 
 
@@ -302,25 +362,21 @@ def frame_rows(media: DataFrame) -> DataFrame:
 
     def explode(batches):
         for batch in batches:
-            for key, gif in zip(batch.column("id"), batch.column("media").to_pylist(), strict=True):
-                width, height, blocks = read_blocks(gif)
-                rows, start = [], 0
-                for i, (picture, delay) in enumerate(compose(width, height, blocks, indices(blocks))):
-                    rows.append((i, start, delay, picture.tobytes(), histogram([(picture, delay)])[0].tolist()))
-                    start += delay
-                if rows:
-                    number, begin, delay, pixels, bins = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "id": pa.array([key.as_py()] * len(rows), key.type), "frame": pa.array(number, pa.int32()),
-                            "start_cs": pa.array(begin, pa.int64()), "delay_cs": pa.array(delay, pa.int64()),
-                            "pixels": pa.array(pixels, pa.binary()), "histogram": pa.array(bins, pa.list_(pa.int64())),
-                        }
-                    )
+            bins = pa.list_(pa.struct([("colour", pa.int32()), ("n", pa.int64())]))
+            schema = pa.schema([("id", batch.schema.field("id").type), ("frame", pa.int32()), ("start_cs", pa.int64()), ("delay_cs", pa.int32()), ("pixels", pa.binary()), ("histogram", bins)])
+
+            def each(batch=batch):
+                for i in range(batch.num_rows):
+                    key = batch.column("id")[i].as_py()
+                    for n, (frame, _, picture) in enumerate(timed_frames(batch.column("media")[i].as_py())):
+                        row = {k: frame[k] for k in ("start_cs", "delay_cs", "histogram")}
+                        yield picture.size, {"id": key, "frame": n, "pixels": picture.tobytes(), **row}
+
+            yield from batched(each(), schema)
 
     kind = media.schema["id"].dataType.simpleString()
     return media.select("id", "media").mapInArrow(
-        explode, f"id {kind}, frame int, start_cs bigint, delay_cs bigint, pixels binary, histogram array<bigint>"
+        explode, f"id {kind}, frame int, start_cs bigint, delay_cs int, pixels binary, histogram array<{BIN}>"
     )
 
 

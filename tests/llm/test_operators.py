@@ -3,14 +3,13 @@ import gzip
 import hashlib
 import io
 import random
-import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, exact_dedup, gif_media, line_dedup, minhash_dedup, mixing, quality, suffix_dedup, url_filter, warc
+from tallyloom.llm import bpe, exact_dedup, line_dedup, minhash_dedup, mixing, quality, suffix_dedup, url_filter, warc
 from tallyloom.llm.common import cut, may_be_among
 from tallyloom.llm.graph import components
 
@@ -133,70 +132,6 @@ def test_exact_goes_on_where_it_stopped(spark, tmp_path):
     assert sum(r.kept for r in got) == 2
 
 
-def test_gif_round_trip(docs, empty):
-    want = texts_of(docs)
-    got = gif_media.decode_media(gif_media.encode_media(docs)).collect()
-    assert len(got) == len(want)
-    for r in got:
-        payload = gif_media.pad(want[r.id].encode())
-        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(want[r.id].encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
-    assert gif_media.decode_media(gif_media.encode_media(empty)).count() == 0
-    frames = gif_media.frame_rows(gif_media.encode_media(docs.filter("doc_id = 0"))).collect()
-    assert [f.start_cs for f in frames] == [i * gif_media.DELAY for i in range(len(frames))] and all(sum(f.histogram) == 576 for f in frames)
-
-
-def lzw_encode(data, least):
-    table, width, out, bits, n = {bytes([i]): i for i in range(1 << least)}, least + 1, bytearray(), 0, 0
-
-    def put(code):
-        nonlocal bits, n
-        bits |= code << n
-        n += width
-        while n >= 8:
-            out.append(bits & 255)
-            bits, n = bits >> 8, n - 8
-
-    clear, word, size = 1 << least, b"", (1 << least) + 2
-    put(clear)
-    for b in data:
-        if word + bytes([b]) in table:
-            word += bytes([b])
-            continue
-        put(table[word])
-        if size < 4096:
-            table[word + bytes([b])] = size
-            size += 1
-            if size - 1 == 1 << width and width < 12:
-                width += 1
-        word = bytes([b])
-    put(table[word])
-    put(clear + 1)
-    if n:
-        out.append(bits & 255)
-    return bytes(out)
-
-
-def test_gif_codes_palette_disposal_transparency():
-    data = bytes(random.Random(2).choices(range(4), k=3000)) + b"\1" * 2000
-    assert gif_media.lzw(lzw_encode(data, 2), 2, len(data)).tobytes() == data
-
-    def frame(x, y, w, h, pixels, disposal, clear, delay, interlaced=False):
-        codes = lzw_encode(bytes(pixels), 2)
-        control = b"\x21\xf9\x04" + bytes([disposal << 2 | (clear is not None)]) + delay.to_bytes(2, "little") + bytes([clear or 0, 0])
-        size = b"".join(v.to_bytes(2, "little") for v in (x, y, w, h))
-        return control + b"\x2c" + size + bytes([0x40 if interlaced else 0, 2, len(codes)]) + codes + b"\0"
-
-    palette = bytes([0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
-    head = b"GIF89a" + (2).to_bytes(2, "little") * 2 + bytes([0x81, 0, 0]) + palette
-    gif = head + frame(0, 0, 2, 2, [1, 1, 1, 1], 1, None, 10) + frame(0, 0, 2, 1, [2, 0], 3, 0, 20) + frame(1, 1, 1, 1, [3], 2, None, 30) + frame(0, 0, 1, 1, [2], 0, None, 5) + b"\x3b"
-    w, h, blocks = gif_media.read_blocks(gif)
-    shown = [(p.copy().reshape(-1, 3).tolist(), d) for p, d in gif_media.compose(w, h, blocks, gif_media.indices(blocks))]
-    red, green, blue, black = [255, 0, 0], [0, 255, 0], [0, 0, 255], [0, 0, 0]
-    assert shown == [([red] * 4, 10), ([green, red, red, red], 20), ([red, red, red, blue], 30), ([green, red, red, black], 5)]
-    rows = gif_media.indices([gif_media.Block(0, 0, 1, 9, np.zeros((4, 3)), 0, 0, None, True, 2, lzw_encode(bytes([0, 1, 2, 3, 0, 1, 2, 3, 0]), 2))])[0]
-    assert rows[:, 0].tolist() == [0, 1, 3, 2, 2, 3, 0, 0, 1]
-
-
 def shingles(text):
     w = minhash_dedup.normal(text).split()
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
