@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,14 +19,31 @@ def shared_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file:///tmp/tallyloom-checkpoints"
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='tallyloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+#: Scratch paths and tables that this driver has made and not yet removed.
+_MADE: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession, what: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tallyloom/{what}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tallyloom/{what}-{uuid.uuid4().hex}"
+    _MADE[path] = "path"
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove all scratch tables and paths made so far, once the results that read them have been written."""
+    n = len(_MADE)
+    for name, kind in list(_MADE.items()):
+        spark.sql(f"DROP TABLE IF EXISTS {name}") if kind == "table" else remove(spark, name)
+        _MADE.pop(name, None)
+    return n
 
 
 def cut(df: DataFrame, what: str) -> DataFrame:
@@ -38,6 +56,7 @@ def cut(df: DataFrame, what: str) -> DataFrame:
 def cut_in_buckets(df: DataFrame, what: str, key: str) -> DataFrame:
     """As cut, but as a table bucketed by key in the warehouse, so that a later grouping by key needs no shuffle of it."""
     spark, name = df.sparkSession, f"tallyloom_{what}_{uuid.uuid4().hex}"
+    _MADE[name] = "table"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.option("compression", "zstd").bucketBy(n, key).saveAsTable(name, format="parquet")
     return spark.table(name)
@@ -71,6 +90,27 @@ def salt_count(members, per_salt: int):
     return F.greatest(F.lit(1), F.ceil(members / F.lit(per_salt))).cast("int")
 
 
+#: A key with more than one of so many rows is heavy; there are fewer heavy keys than that, whatever the input.
+HEAVY = 4096
+
+
+def dealt_join(rows: DataFrame, keyed: DataFrame, key: str, count: str, spread: list[str], how: str = "inner") -> DataFrame:
+    """rows joined to keyed (unique in key; count: its rows), with the rows of heavy keys dealt out by salts.
+
+    Only the names of heavy keys and their numbers of salts are broadcast, fewer than HEAVY rows of two numbers; there
+    are fewer than 2 * HEAVY salts in all. spread: columns that tell the rows of a key apart. The count doesn't return.
+    """
+    total = keyed.agg(F.coalesce(F.sum(count), F.lit(0)).alias("t")).first()["t"]
+    share = max(total / HEAVY, 1.0)
+    salts = F.ceil(F.col(count) / share).cast("int")
+    heavy = keyed.filter(F.col(count) > share).select(F.col(key).alias("_heavy"), salts.alias("_salts"))
+    left = rows.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left")
+    left = left.withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), F.col("_salts"))).cast("int"))
+    copies = F.when(F.col(count) > share, salts).otherwise(1)
+    right = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop(count)
+    return left.drop("_heavy", "_salts").join(right, [key, "_salt"], how).drop("_salt")
+
+
 #: Bits of the filter of may_be_among: 8 MB, whatever the input.
 FILTER_BITS = 26
 BITMAP_BITS = 32768

@@ -7,7 +7,8 @@ been seen is a hit; the bytes of every hit are compared with those at the locato
 to agree are grouped by their bytes instead.
 
 Defined cases: a null text equals an empty one; of equal rows with equal ids the one with the smaller locator stays;
-null ids come after all others; an empty table gives an empty result; other columns are ignored.
+null ids come after all others; an empty table gives an empty result; very long texts are compared like others; other
+columns are ignored, also one called _metadata. A digest that a third of all rows bear is dealt out over many tasks.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import SPACES, cut, may_be_among, salt_count, scratch, text_of
+from tallyloom.llm.common import SPACES, cut, dealt_join, may_be_among, salt_count, scratch, text_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Members of a group for each salt that its byte comparison is dealt out by.
@@ -31,9 +32,9 @@ def sha256(text: Column) -> Column:
 
 def keyed(rows: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
     """(_place, _text, _digest): _place sorts in order of precedence and locates the content."""
+    source = rows.metadataColumn("_metadata")  # also where the table has a column of that name
     place = F.struct(
-        F.col(id_col).isNull().alias("no"), F.col(id_col).alias("id"),
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
+        F.col(id_col).isNull().alias("no"), F.col(id_col).alias("id"), source["file_path"].alias("file"), source["row_index"].alias("row")
     )
     return rows.select(
         place.alias("_place"), F.regexp_replace(text_of(text_col), F.lit(f"{SPACES}+"), F.lit(" ")).alias("_text")
@@ -94,11 +95,11 @@ def run_state(
 
 def collisions(rows: DataFrame, state: DataFrame) -> DataFrame:
     """(_digest, _place, _own, _own_n) of hits whose bytes differ from those at the locator, grouped by their bytes."""
-    groups = state.filter("_n > 1")
-    groups = cut(groups, "exact-groups")
+    groups = cut(state.filter("_n > 1"), "exact-groups")
     near = rows.withColumn("_key", F.xxhash64("_digest"))
     near = may_be_among(near, "_key", groups.select(F.xxhash64("_digest").alias("_key"))).drop("_key")
-    members = near.join(groups, "_digest").withColumn("_salts", salt_count(F.col("_n"), MEMBERS_A_SALT))
+    members = dealt_join(near, groups.withColumn("_rows", F.col("_n")), "_digest", "_rows", ["_place"])
+    members = members.withColumn("_salts", salt_count(F.col("_n"), MEMBERS_A_SALT))
     kept = members.filter(F.col("_place") == F.col("_first")).select(
         "_digest", F.col("_text").alias("_kept"), F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt")
     )
@@ -118,12 +119,13 @@ def exact_groups(
 ) -> DataFrame:
     """(id, file, row, keep_id, group_size, kept, text_sha256) of every row at path."""
     state_dir, seen_dir = state_dir or scratch(spark, "exact-state"), seen_dir or scratch(spark, "exact-seen")
-    state = run_state(spark, path, state_dir, seen_dir, id_col, text_col, digest, max_files)
+    state = cut(run_state(spark, path, state_dir, seen_dir, id_col, text_col, digest, max_files), "exact-firsts")
     rows = keyed(spark.read.parquet(path), id_col, text_col, digest)
     apart = collisions(rows, state)
     fewer = apart.groupBy("_digest").agg(F.count(F.lit(1)).alias("_fewer"))
-    whole = rows.select("_digest", "_place", sha256(F.col("_text")).alias("text_sha256")).join(state, "_digest")
-    told = whole.join(fewer, "_digest", "left").join(apart.drop("_digest"), "_place", "left")
+    known = state.join(fewer, "_digest", "left").withColumn("_rows", F.col("_n"))
+    whole = rows.select("_digest", "_place", sha256(F.col("_text")).alias("text_sha256"))
+    told = dealt_join(whole, known, "_digest", "_rows", ["_place"]).join(apart.drop("_digest"), "_place", "left")
     first = F.coalesce("_own", "_first")
     size = F.coalesce(F.col("_own_n"), F.col("_n") - F.coalesce("_fewer", F.lit(0)))
     return told.select(

@@ -9,8 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe, exact_dedup, line_dedup, minhash_dedup, mixing, quality, suffix_dedup, url_filter, warc
-from tallyloom.llm.common import cut, may_be_among
+from tallyloom.llm import bpe, exact_dedup, minhash_dedup, mixing, quality, suffix_dedup, url_filter, warc
+from tallyloom.llm.common import cut, dealt_join, may_be_among
 from tallyloom.llm.graph import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -121,6 +121,28 @@ def test_exact(docs, spark, tmp_path, weak):
         assert (r.keep_id, r.group_size, r.kept, r.text_sha256) == (min(own), len(own), r.id == min(own), hashlib.sha256(text[r.id].encode()).hexdigest())
 
 
+def test_exact_empty_long_hot_and_clashing(spark, tmp_path):
+    path = str(tmp_path / "in.parquet")
+    schema = "doc_id long, text string, _metadata string, _digest int, _place int, _text string"
+    rows = [(i, "same  text" if i % 3 == 0 else "z" * 300_000 if i % 50 == 1 else f"t {i}", "m", 1, 2, "x") for i in range(9000)]
+    spark.createDataFrame(rows, schema).write.parquet(path)
+    got = {r.id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(spark, path).collect()}
+    assert len(got) == 9000 and all(got[i] == (0, 3000, i == 0) for i in range(0, 9000, 3)) and got[4][1] == 1
+    long = [i for i in range(9000) if i % 50 == 1 and i % 3]
+    assert all(got[i] == (min(long), len(long), i == min(long)) for i in long)
+    spark.createDataFrame([], schema).write.parquet(f"{path}2")
+    assert exact_dedup.exact_groups(spark, f"{path}2").count() == 0
+
+
+def test_dealt_join_keeps_all(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("k"), "id")
+    keyed = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.col("k") * 2)
+    got = dealt_join(rows, keyed, "k", "n", ["id"])
+    assert got.columns == ["k", "id", "v"] and got.filter("v = 2 * k").distinct().count() == 30_000 == got.count()
+    left = dealt_join(rows, keyed.filter("k < 250"), "k", "n", ["id"], "left")
+    assert left.count() == 30_000 and left.filter("v IS NULL").count() == rows.filter("k >= 250").count()
+
+
 def test_exact_goes_on_where_it_stopped(spark, tmp_path):
     path, state, seen = (str(tmp_path / n) for n in ("in.parquet", "state", "seen"))
     write = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.mode("append").parquet(path)
@@ -293,33 +315,6 @@ def test_mixing(docs, empty, spark):
     assert mixing.mix(empty).count() == 0 and mixing.mix(docs.filter("text IS NULL")).agg(F.sum("taken")).first()[0] == 0
 
 
-def test_lines(docs, empty, spark):
-    got = {r.row.doc_id: r for r in line_dedup.dedup_lines(docs, carry=["doc_id"]).collect()}
-    text = texts_of(docs)
-    seen, gone = set(), set()
-    for key in sorted(text):
-        lines = text[key].split("\n")
-        h = [hashlib.md5(((lines[i - 1] if i else "") + "\n" + lines[i]).encode()).hexdigest() for i in range(len(lines))]
-        kept, piece = [], []
-        for i, line in enumerate(lines):
-            piece.append(line)
-            if i == len(lines) - 1 or (i > 0 and h[i] < h[i - 1] and h[i] <= h[i + 1]):
-                if len(piece) > 1 and "\n".join(piece) in seen:
-                    gone.add(key)
-                else:
-                    kept += piece
-                if len(piece) > 1:
-                    seen.add("\n".join(piece))
-                piece = []
-        assert got[key].kept_text == "\n".join(kept) and got[key].n_removed == len(lines) - len(kept)
-    assert gone
-    left = line_dedup.deduplicated(docs)
-    assert left.columns == docs.columns and left.filter("n_chars <> length(text)").count() == 0
-    assert line_dedup.deduplicated(empty).count() == 0
-    twice = spark.createDataFrame([(1, "a\nb\nc"), (1, "a\nb\nc"), (None, "a\nb\nc")], "doc_id long, text string")
-    assert line_dedup.dedup_lines(twice).count() == 3
-
-
 def test_filter_loses_nothing(spark):
     rows = spark.range(2000).select(F.xxhash64("id").alias("k"), "id")
     keys = rows.filter("id % 97 = 0").select("k")
