@@ -94,21 +94,25 @@ def salt_count(members, per_salt: int):
 HEAVY = 4096
 
 
-def dealt_join(rows: DataFrame, keyed: DataFrame, key: str, count: str, spread: list[str], how: str = "inner") -> DataFrame:
-    """rows joined to keyed (unique in key; count: its rows), with the rows of heavy keys dealt out by salts.
-
-    Only the names of heavy keys and their numbers of salts are broadcast, fewer than HEAVY rows of two numbers; there
-    are fewer than 2 * HEAVY salts in all. spread: columns that tell the rows of a key apart. The count doesn't return.
+def dealt_join(
+    rows: DataFrame, keyed: DataFrame, key: str, sizes: DataFrame, spread: list[str], how: str = "inner", total: int | None = None
+) -> DataFrame:
+    """rows joined to keyed (unique in key), with the rows of heavy keys dealt out by salts.
+
+    sizes: (key, n), how many rows each key has; total: their sum, if it is known. Only the names of heavy keys and their
+    numbers of salts are broadcast, fewer than HEAVY rows of two numbers, with fewer than 2 * HEAVY salts in all.
+    spread: columns that tell the rows of a key apart.
     """
-    total = keyed.agg(F.coalesce(F.sum(count), F.lit(0)).alias("t")).first()["t"]
+    if total is None:
+        total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t")).first()["t"]
     share = max(total / HEAVY, 1.0)
-    salts = F.ceil(F.col(count) / share).cast("int")
-    heavy = keyed.filter(F.col(count) > share).select(F.col(key).alias("_heavy"), salts.alias("_salts"))
-    left = rows.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left")
+    heavy = sizes.filter(F.col("n") > share).select(F.col(key).alias("_heavy"), F.ceil(F.col("n") / share).cast("int").alias("_salts"))
+    heavy = F.broadcast(heavy)
+    left = rows.join(heavy, F.col(key) == F.col("_heavy"), "left")
     left = left.withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), F.col("_salts"))).cast("int"))
-    copies = F.when(F.col(count) > share, salts).otherwise(1)
-    right = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop(count)
-    return left.drop("_heavy", "_salts").join(right, [key, "_salt"], how).drop("_salt")
+    right = keyed.join(heavy, F.col(key) == F.col("_heavy"), "left")
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+    return left.drop("_heavy", "_salts").join(right.drop("_heavy", "_salts"), [key, "_salt"], how).drop("_salt")
 
 
 #: Bits of the filter of may_be_among: 8 MB, whatever the input.

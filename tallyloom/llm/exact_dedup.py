@@ -98,7 +98,7 @@ def collisions(rows: DataFrame, state: DataFrame) -> DataFrame:
     groups = cut(state.filter("_n > 1"), "exact-groups")
     near = rows.withColumn("_key", F.xxhash64("_digest"))
     near = may_be_among(near, "_key", groups.select(F.xxhash64("_digest").alias("_key"))).drop("_key")
-    members = dealt_join(near, groups.withColumn("_rows", F.col("_n")), "_digest", "_rows", ["_place"])
+    members = dealt_join(near, groups, "_digest", groups.select("_digest", F.col("_n").alias("n")), ["_place"])
     members = members.withColumn("_salts", salt_count(F.col("_n"), MEMBERS_A_SALT))
     kept = members.filter(F.col("_place") == F.col("_first")).select(
         "_digest", F.col("_text").alias("_kept"), F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt")
@@ -123,9 +123,9 @@ def exact_groups(
     rows = keyed(spark.read.parquet(path), id_col, text_col, digest)
     apart = collisions(rows, state)
     fewer = apart.groupBy("_digest").agg(F.count(F.lit(1)).alias("_fewer"))
-    known = state.join(fewer, "_digest", "left").withColumn("_rows", F.col("_n"))
+    known, sizes = state.join(fewer, "_digest", "left"), state.select("_digest", F.col("_n").alias("n"))
     whole = rows.select("_digest", "_place", sha256(F.col("_text")).alias("text_sha256"))
-    told = dealt_join(whole, known, "_digest", "_rows", ["_place"]).join(apart.drop("_digest"), "_place", "left")
+    told = dealt_join(whole, known, "_digest", sizes, ["_place"]).join(apart.drop("_digest"), "_place", "left")
     first = F.coalesce("_own", "_first")
     size = F.coalesce(F.col("_own_n"), F.col("_n") - F.coalesce("_fewer", F.lit(0)))
     return told.select(

@@ -89,11 +89,12 @@ def repeated_chunks(
     counted = rows.groupBy("_hash").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
     firsts = cut(counted.filter("_n > 1"), "line-firsts")
     near = may_be_among(rows, "_hash", firsts)
-    found = cut(dealt_join(near, firsts.withColumn("_rows", F.col("_n")), "_hash", "_rows", ["_place"]), "line-found")
-    here = found.filter(F.col("_place") == F.col("_first")).select("_hash", F.col("_piece").alias("_kept"), "_n").dropDuplicates(["_hash"])
+    sizes = firsts.select("_hash", F.col("_n").alias("n"))
+    found = cut(dealt_join(near, firsts.drop("_n"), "_hash", sizes, ["_place"]), "line-found")
+    here = found.filter(F.col("_place") == F.col("_first")).select("_hash", F.col("_piece").alias("_kept")).dropDuplicates(["_hash"])
     later = found.filter(F.col("_place") != F.col("_first")).select("_hash", "_place", "_n_lines", "_piece")
     same = F.col("_piece") == F.col("_kept")
-    compared = dealt_join(later, here, "_hash", "_n", ["_place"]).select("_hash", "_place", "_n_lines", same.alias("_same"), F.when(~same, F.col("_piece")).alias("_piece"))
+    compared = dealt_join(later, here, "_hash", sizes, ["_place"]).select("_hash", "_place", "_n_lines", same.alias("_same"), F.when(~same, F.col("_piece")).alias("_piece"))
     told = cut(compared, "line-compared")
     # pieces whose hash only happens to agree with that of another piece: these few are grouped by their bytes
     other = told.filter("NOT _same").drop("_same")

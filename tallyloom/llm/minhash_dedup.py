@@ -8,23 +8,29 @@ none with a probability of (1 - 0.8 ** 4) ** 32, i.e. 5e-8. Candidates are verif
 texts: the shingle sets' Jaccard similarity must reach the threshold.
 
 Equal texts are one node. In a bucket nodes are compared with its leaders, those that share most buckets with others,
-so that a group of thousands costs a few comparisons a node. After a first pass over components, nodes of different
-components that still share a bucket are compared by their registers in blocks; of every two components the closest
-are verified, and once these have been joined, all pairs that are still in different components.
+so that a group of thousands costs a few comparisons a node. After a first pass over components, nodes outside a
+bucket's largest component are compared by their registers, in blocks, with the bucket's nodes of other components; of
+every two components the closest are verified, and once these have been joined, all pairs of different components, so
+that no candidate pair of two classes is left unverified. Heavy buckets, hubs and groups of copies are dealt out.
 
 Defined cases: words are runs of letters and digits of the lower-cased text; a text of fewer than five words is one
-shingle of all of them; null, empty and wordless texts are equal; rows with a null id fall in with equal texts only;
-rows that share an id are taken to share a text; an empty table gives an empty result; other columns are carried along.
+shingle of all of them; null, empty and wordless texts are equal; rows may repeat, share an id or have none: each row is
+known by id and text together, and null ids come after all others; very long texts are sketched and verified in batches
+of bounded bytes; an empty table gives an empty result; other columns are carried along.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import cut, free_name, may_be_among, text_of
+from tallyloom.llm.common import cut, dealt_join, free_name, may_be_among, text_of
 from tallyloom.llm.graph import components
 from tallyloom.session import ship, table
 
@@ -41,6 +47,11 @@ BLOCK = 256
 PARTNERS = 1
 SLACK = 0.25
 
+#: Bytes of text that a task sketches or compares at a time, unless a single text or pair has more.
+BATCH_BYTES = 4 << 20
+#: What is neither ASCII nor a letter, digit or mark.
+_OTHER = re.compile(r"[^\x00-\x7f\w\u0300-\u036f]")
+
 U = np.uint64
 GOLD = U(0x9E3779B97F4A7C15)
 ODD = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], U)
@@ -62,9 +73,15 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=U)
 
 
+def plain(text: str) -> bytes:
+    """The lower-cased text in UTF-8, where every byte from 128 on belongs to a letter or digit."""
+    low = text.lower()
+    return (low if low.isascii() else _OTHER.sub(" ", low)).encode()
+
+
 def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all words: text number, hash, and start and end in the joined lower-cased bytes."""
-    parts = [t.lower().encode() + b" " for t in texts]
+    parts = [plain(t) + b" " for t in texts]
     raw = np.frombuffer(b"".join(parts), np.uint8)
     if not len(raw):
         return (np.zeros(0, np.int64), np.zeros(0, U), *[np.zeros(0, np.int64)] * 2)
@@ -121,24 +138,40 @@ def prob_minhash(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, n: in
     return kept.reshape(n, m)
 
 
+def by_bytes(sizes: list[int], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs (from, to) of rows of at most that many bytes together, or of one row."""
+    begin = held = 0
+    for i, n in enumerate(sizes):
+        if held + n > most and i > begin:
+            yield begin, i
+            begin, held = i, 0
+        held += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def _sizes(*columns: pa.Array) -> list[int]:
+    return np.sum([np.nan_to_num(pc.binary_length(c).to_numpy(zero_copy_only=False)) for c in columns], axis=0).tolist()
+
+
 def sketch(docs: DataFrame) -> DataFrame:
-    """(id, key, registers): key tells equal word sequences."""
+    """(id, t, key, registers) of docs (id, t, text): key tells equal word sequences."""
     ship(docs.sparkSession)
 
     def work(batches):
         import xxhash
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for begin, end in by_bytes(_sizes(batch.column("text"))):
+                part = batch.slice(begin, end - begin)
                 texts = part.column("text").to_pylist()
                 owner, value, _ = shingles_of(texts)
                 found = prob_minhash(owner, value, np.ones(len(value)), len(texts))
                 keys = [xxhash.xxh3_128_hexdigest(normal(t)) for t in texts]
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(found.reshape(-1)), REGISTERS).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_pydict({"id": part.column("id"), "key": pa.array(keys), "registers": lists})
+                yield pa.RecordBatch.from_pydict({"id": part.column("id"), "t": part.column("t"), "key": pa.array(keys), "registers": lists})
 
-    return docs.mapInArrow(work, f"id {docs.schema['id'].dataType.simpleString()}, key string, registers array<int>")
+    return docs.mapInArrow(work, f"id {docs.schema['id'].dataType.simpleString()}, t bigint, key string, registers array<int>")
 
 
 _NORMAL = bytes(b if _WORD[b] else 32 for b in range(256))
@@ -146,19 +179,23 @@ _NORMAL = bytes(b if _WORD[b] else 32 for b in range(256))
 
 def normal(text: str) -> bytes:
     """The word sequence as bytes."""
-    return b" ".join(text.lower().encode().translate(_NORMAL).split())
+    return b" ".join(plain(text).translate(_NORMAL).split())
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """pairs (a, b) with similar: whether the shingle sets of both texts are that similar."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    pairs = cut(pairs, "near-pairs")
+
+    def met(rows: DataFrame, end: str, name: str) -> DataFrame:
+        sizes = cut(pairs.groupBy(end).agg(F.count(F.lit(1)).alias("n")), "near-sizes")
+        return dealt_join(rows, texts.select(F.col("node").alias(end), F.col("text").alias(name)), end, sizes, ["a", "b"])
+
+    both = met(met(pairs, "a", "left"), "b", "right").select("a", "b", "left", "right")
 
     def work(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for begin, end in by_bytes(_sizes(batch.column("left"), batch.column("right"))):
+                part = batch.slice(begin, end - begin)
                 n = part.num_rows
                 whose, value, _ = shingles_of([*part.column("left").to_pylist(), *part.column("right").to_pylist()])
                 sizes = np.bincount(whose, minlength=2 * n)
@@ -176,28 +213,37 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 def first_pass(buckets: DataFrame) -> DataFrame:
     """Pairs (a, b) of buckets (band, node): each node with the leaders of its buckets."""
-    n = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
-    shared = buckets.join(n, "band").groupBy("node").agg(F.sum("n").alias("reach"))
-    known = buckets.join(shared, "node")
+    n = cut(buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "near-bands")
+    told = dealt_join(buckets, n.withColumn("mates", F.col("n")).drop("n"), "band", n, ["node"])
+    shared = told.groupBy("node").agg(F.sum("mates").alias("reach"))
     rank = F.row_number().over(Window.partitionBy("band").orderBy(F.desc("reach"), "node"))
-    leaders = known.withColumn("rank", rank).filter(F.col("rank") <= LEADERS).select("band", F.col("node").alias("leader"))
-    met = buckets.join(leaders, "band").filter("node <> leader")
+    ranked = buckets.join(shared, "node").withColumn("rank", rank).filter(F.col("rank") <= LEADERS)
+    leaders = cut(ranked.groupBy("band").agg(F.collect_list("node").alias("leaders")), "near-leaders")
+    met = dealt_join(buckets, leaders, "band", n, ["node"]).select("node", F.explode("leaders").alias("leader")).filter("node <> leader")
     return met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
 
 
 def cross_pass(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, least: float, partners: int | None = None) -> DataFrame:
     """Pairs (a, b) of different components that share a bucket and agree in enough registers.
 
-    With partners only the closest so many of every two components and blocks, without it all.
+    With partners only the closest so many of every two components and blocks, without it all. A bucket's largest
+    component lies in main blocks, its other nodes in rest blocks; each rest block meets the main and the later rest ones.
     """
-    known = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = known.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("n"))
-    mixed = mixed.filter("r0 <> r1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).select("band", "blocks")
-    rows = known.join(mixed, "band").join(nodes.select("node", "registers"), "node")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    packed = rows.groupBy("band", "blocks", "block").agg(F.collect_list(F.struct("node", "root", "registers")).alias("held"))
-    # a block (of about BLOCK nodes) meets each later block of its bucket
-    left = packed.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)))
+    known = cut(buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "near-known")
+    held = known.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"))
+    mixed = held.groupBy("band").agg(
+        F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("n"), F.max("c").alias("most"), F.count(F.lit(1)).alias("kinds")
+    )
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    mixed = mixed.filter("kinds > 1").select("band", "n", "main", blocks(F.col("most")).alias("mains"), blocks(F.col("n") - F.col("most")).alias("rests"))
+    mixed = cut(mixed, "near-mixed")
+    rows = dealt_join(known, mixed.drop("n"), "band", mixed.select("band", "n"), ["node"]).join(nodes.select("node", "registers"), "node")
+    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    rows = rows.withColumn("block", F.when(F.col("root") == F.col("main"), part("mains")).otherwise(F.col("mains") + part("rests")))
+    packed = rows.groupBy("band", "mains", "rests", "block").agg(F.collect_list(F.struct("node", "root", "registers")).alias("held"))
+    # a block has about BLOCK nodes
+    others = F.concat(F.sequence(F.lit(0), F.col("mains") - 1), F.sequence(F.col("block"), F.col("mains") + F.col("rests") - 1))
+    left = packed.filter("block >= mains").withColumn("other", F.explode(others))
     right = packed.select("band", F.col("block").alias("other"), F.col("held").alias("held2"))
     met = left.join(right, ["band", "other"]).select("held", "held2")
 
@@ -226,28 +272,26 @@ def _crossing(a: pa.StructArray, b: pa.StructArray, least: float, partners: int
     return pa.RecordBatch.from_pydict({"a": pa.array(np.maximum(x, y)), "b": pa.array(np.minimum(x, y))})
 
 
-def near_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY
-) -> DataFrame:
-    """(id, class_id, class_size), one row for each row of docs; class_id: the smallest id of the class."""
+def placed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """(id, t, first, class_size), one row for each row of docs; t: the text's hash, first: (no, id, t) of the class's first row."""
     spark = docs.sparkSession
     ship(spark)
-    own = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    sketches = cut(sketch(own), "near-sketches")
-    nodes = sketches.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("registers").alias("registers"))
+    own = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("t", F.xxhash64("text"))
+    sketches = cut(sketch(own.select("id", "t", "text")), "near-sketches")
+    place = F.struct(F.col("id").isNull().alias("no"), "id", "t")
+    nodes = sketches.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("registers").alias("registers"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     rows = REGISTERS // BANDS
     band = lambda i: F.xxhash64(i, F.slice("registers", i * rows + 1, F.lit(rows)))
-    full = nodes.filter(F.exists("registers", lambda r: r != 0) & F.col("first").isNotNull())
+    full = nodes.filter(F.exists("registers", lambda r: r != 0))
     banded = full.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("band"))
-    many = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
-    buckets = cut(banded.join(many, "band"), "near-buckets")
-    wanted = cut(
-        nodes.join(buckets.select("node").distinct(), "node").select("node", "first", F.xxhash64("first").alias("_key")), "near-wanted"
-    )
-    near = may_be_among(own.withColumn("_key", F.xxhash64("id")), "_key", wanted).drop("_key")
-    texts = near.join(wanted.drop("_key"), F.col("id") == F.col("first")).groupBy("node").agg(F.min("text").alias("text"))
-    texts = cut(texts, "near-texts")
+    many = cut(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-many")
+    buckets = cut(dealt_join(banded, many.select("band"), "band", many, ["node"]), "near-buckets")
+    wanted = nodes.join(buckets.select("node").distinct(), "node").select("node", F.col("first.id").alias("_id"), F.col("first.t").alias("_t"))
+    wanted = cut(wanted.withColumn("_key", F.xxhash64("_id", "_t")), "near-wanted")
+    near = may_be_among(own.withColumn("_key", F.xxhash64("id", "t")), "_key", wanted).drop("_key")
+    fits = F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
+    texts = cut(near.join(wanted.drop("_key"), fits).groupBy("node").agg(F.min("text").alias("text")), "near-texts")
     links = cut(verified(first_pass(buckets), texts, least), "near-links")
     roots = components(links.filter("similar").select("a", "b"))
     # the second pass joins what it can by few comparisons; the last leaves no candidate of two components unverified
@@ -258,16 +302,34 @@ def near_classes(
         if not more.isEmpty():
             roots = components(more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     placed = nodes.select("key", "node", "first", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = placed.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size"))
-    told = placed.select("key", "root").join(classes, "root").select("key", "class_id", "class_size")
-    return sketches.select("id", "key").join(told, "key").select("id", "class_id", "class_size")
+    placed = cut(placed, "near-placed")
+    classes = placed.groupBy("root").agg(F.min("first").alias("class_first"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("n"))
+    classes = cut(classes, "near-classes")
+    told = dealt_join(placed.select("key", "root"), classes.drop("n"), "root", classes.select("root", "n"), ["key"])
+    sizes = placed.select("key", F.col("copies").alias("n"))
+    out = dealt_join(sketches.select("id", "t", "key"), told.select("key", "class_first", "class_size"), "key", sizes, ["id", "t"])
+    return out.select("id", "t", F.col("class_first").alias("first"), "class_size")
+
+
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """(id, class_id, class_size), one row for each row of docs; class_id: the smallest id of the class."""
+    return placed_rows(docs, id_col, text_col, least).select("id", F.col("first.id").alias("class_id"), "class_size")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without near-duplicates: of each class the row with the smallest id stays; rows without an id stay."""
-    gone = near_classes(docs, id_col, text_col).filter(F.col("id") != F.col("class_id")).select("id").distinct()
-    name = free_name(docs.columns, "gone_id")
-    return docs.join(gone.withColumnRenamed("id", name), F.col(id_col) == F.col(name), "left_anti").select(docs.columns)
+    """docs without near-duplicates: of each class one row stays, that with the smallest id (then hash of the text)."""
+    placed = cut(placed_rows(docs, id_col, text_col), "near-rows")
+    own = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("t") == F.col("first.t"))
+    told = placed.groupBy("id", "t").agg(F.max(own).alias("stays"), F.count(F.lit(1)).alias("n"))
+    names = {c: free_name(docs.columns, f"near_{c}") for c in ("id", "t", "n", "own")}
+    kept = cut(told.filter("stays"), "near-kept").select(F.col("id").alias(names["id"]), F.col("t").alias(names["t"]), F.col("n").alias(names["n"]))
+    rows = docs.withColumn(names["own"], F.xxhash64(text_of(text_col)))
+    fits = F.col(id_col).eqNullSafe(F.col(names["id"])) & (F.col(names["own"]) == F.col(names["t"]))
+    out = rows.join(kept, fits)
+    if not kept.filter(F.col(names["n"]) > 1).isEmpty():  # rows that repeat in id and text: one of them stays
+        once, many = out.filter(F.col(names["n"]) == 1), out.filter(F.col(names["n"]) > 1)
+        out = once.unionAll(many.dropDuplicates([id_col, names["own"]]))
+    return out.select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,9 +137,9 @@ def test_exact_empty_long_hot_and_clashing(spark, tmp_path):
 def test_dealt_join_keeps_all(spark):
     rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("k"), "id")
     keyed = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.col("k") * 2)
-    got = dealt_join(rows, keyed, "k", "n", ["id"])
+    got = dealt_join(rows, keyed.drop("n"), "k", keyed.select("k", "n"), ["id"])
     assert got.columns == ["k", "id", "v"] and got.filter("v = 2 * k").distinct().count() == 30_000 == got.count()
-    left = dealt_join(rows, keyed.filter("k < 250"), "k", "n", ["id"], "left")
+    left = dealt_join(rows, keyed.filter("k < 250").drop("n"), "k", keyed.select("k", "n"), ["id"], "left")
     assert left.count() == 30_000 and left.filter("v IS NULL").count() == rows.filter("k >= 250").count()
 
 
@@ -154,89 +154,6 @@ def test_exact_goes_on_where_it_stopped(spark, tmp_path):
     assert sum(r.kept for r in got) == 2
 
 
-def shingles(text):
-    w = minhash_dedup.normal(text).split()
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
-
-def classes(texts, least=0.8):
-    root = {k: k for k in texts}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    sets = {k: shingles(t) for k, t in texts.items()}
-    for a in texts:
-        for b in texts:
-            if a < b and (sets[a] == sets[b] == set() or sets[a] | sets[b] and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])):
-                root[max(find(a), find(b))] = min(find(a), find(b))
-    return {k: find(k) for k in texts}
-
-
-def test_minhash(docs, empty):
-    got = {r.id: (r.class_id, r.class_size) for r in minhash_dedup.near_classes(docs).collect()}
-    want = classes(texts_of(docs))
-    assert {k: v[0] for k, v in got.items()} == want
-    assert all(v[1] == sum(w == v[0] for w in want.values()) for v in got.values())
-    assert minhash_dedup.near_classes(empty).count() == 0
-    left = minhash_dedup.one_of_each(docs)
-    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == set(want.values())
-
-
-def test_minhash_group_of_near_copies(spark):
-    r = random.Random(8)
-    base = prose(150, r).split()
-    rows = []
-    for i in range(400):
-        words = list(base)
-        for _ in range(r.randint(0, 12)):
-            words[r.randrange(len(words))] = r.choice(WORDS) + "z"
-        rows.append((i, " ".join(words)))
-    got = {x.id: x.class_id for x in minhash_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == classes(dict(rows))
-
-
-def families(r, n, size, edits):
-    """n families of size documents, each a text of 150 to 400 words with so many words changed."""
-    rows = []
-    for _ in range(n):
-        base = [r.choice(WORDS) + r.choice(WORDS) for _ in range(r.randint(150, 400))]
-        for _ in range(size):
-            words = list(base)
-            for at in r.sample(range(len(words)), round(len(words) / 90 * edits)):
-                words[at] = r.choice(WORDS) + "z"
-            rows.append((len(rows), " ".join(words)))
-    return rows
-
-
-def test_minhash_borderline_families(spark):
-    r = random.Random(21)
-    rows = families(r, 24, 40, 1.3)
-    want = {}
-    for f in range(24):
-        want |= classes(dict(rows[40 * f : 40 * f + 40]))
-    got = {x.id: x.class_id for x in minhash_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert 24 < len(set(want.values())) < len(rows) and got == want
-
-
-def test_minhash_repeated_lines(spark):
-    r = random.Random(31)
-    rows, want = [], {}
-    for f in range(0, 160, 2):
-        lines = [[r.choice(WORDS) + r.choice(WORDS) for _ in range(25)] for _ in range(20)]
-        text = lambda n, own: "\n".join(" ".join(x) for i, x in enumerate(own) for _ in range(n if i < 6 else 1))
-        changed = [list(x) for x in lines]
-        for at in r.sample(range(150, 500), 10):
-            changed[at // 25][at % 25] = "changed"
-        pair = {f: text(100, lines), f + 1: text(2, changed)}
-        want |= classes(pair)
-        rows += pair.items()
-    got = {x.id: x.class_id for x in minhash_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert len(set(want.values())) == 80 and got == want
-
-
 def test_probability_jaccard():
     a, b = {i: 1 + i % 3 for i in range(60)}, {i: 1 + i % 2 for i in range(20, 80)}
     owner = np.array([0] * 60 + [1] * 60)
