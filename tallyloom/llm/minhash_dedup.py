@@ -8,10 +8,11 @@ none with a probability of (1 - 0.8 ** 4) ** 32, i.e. 5e-8. Candidates are verif
 texts: the shingle sets' Jaccard similarity must reach the threshold.
 
 Equal texts are one node. In a bucket nodes are compared with its leaders, those that share most buckets with others,
-so that a group of thousands costs a few comparisons a node. After a first pass over components, nodes outside a
-bucket's largest component are compared by their registers, in blocks, with the bucket's nodes of other components; of
-every two components the closest are verified, and once these have been joined, all pairs of different components, so
-that no candidate pair of two classes is left unverified. Heavy buckets, hubs and groups of copies are dealt out.
+so that a group of thousands costs a few comparisons a node. After components of these links, the nodes outside a
+bucket's largest component meet all its nodes of other components, in blocks that carry the texts: pairs whose registers
+agree enough are verified there and then unless they have been joined in the block already, each in the first bucket
+that both share. So no candidate pair of two classes is left unverified, and what comes out of a block is a forest, not
+its pairs. Heavy buckets, hubs and groups of copies are dealt out.
 
 Defined cases: words are runs of letters and digits of the lower-cased text; a text of fewer than five words is one
 shingle of all of them; null, empty and wordless texts are equal; rows may repeat, share an id or have none: each row is
@@ -40,13 +41,11 @@ REGISTERS = 128
 BANDS = 32
 #: Leaders that each node of a bucket is compared with.
 LEADERS = 4
-#: Nodes of a block of the later passes, pairs of nodes that two components keep of a block in the second pass (the last
-#: keeps all), and how far the registers' agreement may fall below the threshold (their deviation is 0.035 there, and a
-#: pair at 0.8 agrees in fewer than 0.55 with a probability below 2e-9).
-BLOCK = 256
-PARTNERS = 1
-SLACK = 0.25
-
+#: Nodes and bytes of text of a block of the second pass, and how far the registers' agreement may fall below the threshold
+#: there (their deviation is 0.035, and a pair at 0.8 agrees in fewer than 0.6 with a probability below 1e-7).
+BLOCK = 512
+BLOCK_BYTES = 8 << 20
+SLACK = 0.2
 #: Bytes of text that a task sketches or compares at a time, unless a single text or pair has more.
 BATCH_BYTES = 4 << 20
 #: What is neither ASCII nor a letter, digit or mark.
@@ -155,7 +154,7 @@ def _sizes(*columns: pa.Array) -> list[int]:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(id, t, key, registers) of docs (id, t, text): key tells equal word sequences."""
+    """(id, t, key, size, registers) of docs (id, t, text): key tells equal word sequences."""
     ship(docs.sparkSession)
 
     def work(batches):
@@ -169,9 +168,10 @@ def sketch(docs: DataFrame) -> DataFrame:
                 found = prob_minhash(owner, value, np.ones(len(value)), len(texts))
                 keys = [xxhash.xxh3_128_hexdigest(normal(t)) for t in texts]
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(found.reshape(-1)), REGISTERS).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_pydict({"id": part.column("id"), "t": part.column("t"), "key": pa.array(keys), "registers": lists})
+                size = pa.array([len(t) for t in texts], pa.int64())
+                yield pa.RecordBatch.from_pydict({"id": part.column("id"), "t": part.column("t"), "key": pa.array(keys), "size": size, "registers": lists})
 
-    return docs.mapInArrow(work, f"id {docs.schema['id'].dataType.simpleString()}, t bigint, key string, registers array<int>")
+    return docs.mapInArrow(work, f"id {docs.schema['id'].dataType.simpleString()}, t bigint, key string, size bigint, registers array<int>")
 
 
 _NORMAL = bytes(b if _WORD[b] else 32 for b in range(256))
@@ -223,53 +223,80 @@ def first_pass(buckets: DataFrame) -> DataFrame:
     return met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
 
 
-def cross_pass(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, least: float, partners: int | None = None) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and agree in enough registers.
+def cross_links(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Similar pairs (a, b) that join the different components (roots) of nodes that share a bucket.
 
-    With partners only the closest so many of every two components and blocks, without it all. A bucket's largest
-    component lies in main blocks, its other nodes in rest blocks; each rest block meets the main and the later rest ones.
+    buckets: (k, band, node, size). A bucket's largest component lies in main blocks, its other nodes in rest blocks;
+    each rest block meets the main blocks and the rest blocks from itself on. Of buckets with the same nodes one counts.
     """
     known = cut(buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "near-known")
-    held = known.groupBy("band", "root").agg(F.count(F.lit(1)).alias("c"))
-    mixed = held.groupBy("band").agg(
-        F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("n"), F.max("c").alias("most"), F.count(F.lit(1)).alias("kinds")
+    sign = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"x{i}") for i in (0, 1)]
+    held = known.groupBy("k", "band", "root").agg(F.count(F.lit(1)).alias("c"), F.sum("size").alias("s"), *sign)
+    each = held.groupBy("k", "band").agg(
+        F.max_by(F.struct("root", "c", "s"), F.struct("c", "root")).alias("main"), F.sum("c").alias("n"), F.sum("s").alias("bytes"), F.count(F.lit(1)).alias("kinds"),
+        F.bit_xor("x0").alias("x0"), F.bit_xor("x1").alias("x1"),
+    )
+    blocks = lambda n, size: F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
+    mixed = each.filter("kinds > 1").select(
+        "k", "band", "n", "x0", "x1", F.col("main.root").alias("main"), blocks(F.col("main.c"), F.col("main.s")).alias("mains"),
+        blocks(F.col("n") - F.col("main.c"), F.col("bytes") - F.col("main.s")).alias("rests"),
     )
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    mixed = mixed.filter("kinds > 1").select("band", "n", "main", blocks(F.col("most")).alias("mains"), blocks(F.col("n") - F.col("most")).alias("rests"))
-    mixed = cut(mixed, "near-mixed")
-    rows = dealt_join(known, mixed.drop("n"), "band", mixed.select("band", "n"), ["node"]).join(nodes.select("node", "registers"), "node")
+    one = mixed.groupBy("n", "x0", "x1").agg(F.min(F.struct("k", "band", "main", "mains", "rests")).alias("m"))
+    mixed = cut(one.select("n", "m.*"), "near-mixed")
+    rows = dealt_join(known.drop("k", "size"), mixed.drop("n"), "band", mixed.select("band", "n"), ["node"])
+    rows = rows.join(nodes.select("node", "registers"), "node").join(texts, "node")
     part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     rows = rows.withColumn("block", F.when(F.col("root") == F.col("main"), part("mains")).otherwise(F.col("mains") + part("rests")))
-    packed = rows.groupBy("band", "mains", "rests", "block").agg(F.collect_list(F.struct("node", "root", "registers")).alias("held"))
-    # a block has about BLOCK nodes
+    packed = rows.groupBy("k", "band", "mains", "rests", "block").agg(F.collect_list(F.struct("node", "root", "registers", "text")).alias("held"))
     others = F.concat(F.sequence(F.lit(0), F.col("mains") - 1), F.sequence(F.col("block"), F.col("mains") + F.col("rests") - 1))
-    left = packed.filter("block >= mains").withColumn("other", F.explode(others))
-    right = packed.select("band", F.col("block").alias("other"), F.col("held").alias("held2"))
-    met = left.join(right, ["band", "other"]).select("held", "held2")
+    left = packed.filter("block >= mains").withColumn("other", F.explode(others)).select("k", "band", "other", "held")
+    met = left.join(packed.select("band", F.col("block").alias("other"), F.col("held").alias("held2")), ["band", "other"])
 
     def work(batches):
         for batch in batches:
-            for a, b in zip(batch.column("held"), batch.column("held2"), strict=True):
-                yield _crossing(a.values, b.values, least, partners)
+            for k, a, b in zip(batch.column("k").to_pylist(), batch.column("held"), batch.column("held2"), strict=True):
+                pairs = crossing(k, a.values, b.values, least)
+                yield pa.RecordBatch.from_pydict({"a": pa.array([max(p) for p in pairs], pa.int64()), "b": pa.array([min(p) for p in pairs], pa.int64())})
 
-    return met.mapInArrow(work, "a bigint, b bigint").distinct()
+    return met.select("k", "held", "held2").mapInArrow(work, "a bigint, b bigint").distinct()
 
 
-def _crossing(a: pa.StructArray, b: pa.StructArray, least: float, partners: int | None) -> pa.RecordBatch:
-    node_a, node_b = (x.field("node").to_numpy() for x in (a, b))
+def crossing(k: int, a: pa.StructArray, b: pa.StructArray, least: float, slack: float = SLACK) -> list[tuple[int, int]]:
+    """A forest of the similar pairs of nodes (node, root, registers, text) of a and b that first meet in bucket k."""
+    node_a, node_b = (x.field("node").to_pylist() for x in (a, b))
     root_a, root_b = (x.field("root").to_numpy() for x in (a, b))
     reg_a, reg_b = (x.field("registers").flatten().to_numpy().reshape(len(x), REGISTERS) for x in (a, b))
-    share = np.stack([(reg_b == r).mean(1) for r in reg_a])
-    i, j = np.nonzero((share >= least) & (root_a[:, None] != root_b[None]))
-    if partners is not None:  # of each two components the closest pairs of this block
-        low, high = np.minimum(root_a[i], root_b[j]), np.maximum(root_a[i], root_b[j])
-        order = np.lexsort((node_b[j], node_a[i], -share[i, j], high, low))
-        i, j, low, high = i[order], j[order], low[order], high[order]
-        begin = np.flatnonzero(np.concatenate([[True], (np.diff(low) != 0) | (np.diff(high) != 0)])) if len(i) else np.zeros(0, int)
-        rank = np.arange(len(i)) - np.repeat(begin, np.diff(np.append(begin, len(i))))
-        i, j = i[rank < partners], j[rank < partners]
-    x, y = node_a[i], node_b[j]
-    return pa.RecordBatch.from_pydict({"a": pa.array(np.maximum(x, y)), "b": pa.array(np.minimum(x, y))})
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in above:
+            above[x] = x = above.get(above[x], above[x])
+        return x
+
+    sets: dict[tuple, np.ndarray] = {}
+
+    def shingles(side: str, texts: pa.Array, i: int) -> np.ndarray:
+        if (side, i) not in sets:
+            sets[side, i] = np.sort(shingles_of([texts[i].as_py()])[1])
+        return sets[side, i]
+
+    found, text_a, text_b = [], a.field("text"), b.field("text")
+    for i, (row, root) in enumerate(zip(reg_a, root_a.tolist(), strict=True)):
+        equal = reg_b == row
+        share = equal.mean(1)
+        near = np.flatnonzero((share >= least - slack) & (root_b != root))
+        first = equal[near].reshape(len(near), BANDS, REGISTERS // BANDS).all(2).argmax(1)
+        near = near[first == k]
+        for j in near[np.argsort(-share[near], kind="stable")].tolist():
+            x, y = top(root), top(int(root_b[j]))
+            if x == y:
+                continue
+            p, q = shingles("a", text_a, i), shingles("b", text_b, j)
+            common = int(np.count_nonzero(q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p)) if len(q) else 0
+            if common >= least * max(len(p) + len(q) - common, 1) - 1e-9:
+                above[max(x, y)] = min(x, y)
+                found.append((node_a[i], node_b[j]))
+    return found
 
 
 def placed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -279,12 +306,12 @@ def placed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("t", F.xxhash64("text"))
     sketches = cut(sketch(own.select("id", "t", "text")), "near-sketches")
     place = F.struct(F.col("id").isNull().alias("no"), "id", "t")
-    nodes = sketches.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("registers").alias("registers"))
+    nodes = sketches.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("size").alias("size"), F.any_value("registers").alias("registers"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     rows = REGISTERS // BANDS
     band = lambda i: F.xxhash64(i, F.slice("registers", i * rows + 1, F.lit(rows)))
     full = nodes.filter(F.exists("registers", lambda r: r != 0))
-    banded = full.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("band"))
+    banded = full.select("node", "size", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)).alias("k", "band"))
     many = cut(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-many")
     buckets = cut(dealt_join(banded, many.select("band"), "band", many, ["node"]), "near-buckets")
     wanted = nodes.join(buckets.select("node").distinct(), "node").select("node", F.col("first.id").alias("_id"), F.col("first.t").alias("_t"))
@@ -292,15 +319,11 @@ def placed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = may_be_among(own.withColumn("_key", F.xxhash64("id", "t")), "_key", wanted).drop("_key")
     fits = F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
     texts = cut(near.join(wanted.drop("_key"), fits).groupBy("node").agg(F.min("text").alias("text")), "near-texts")
-    links = cut(verified(first_pass(buckets), texts, least), "near-links")
-    roots = components(links.filter("similar").select("a", "b"))
-    # the second pass joins what it can by few comparisons; the last leaves no candidate of two components unverified
-    for partners in (PARTNERS, None):
-        pairs = cross_pass(buckets, roots, nodes, least - SLACK, partners).join(links.select("a", "b"), ["a", "b"], "left_anti")
-        told = cut(verified(pairs, texts, least), "near-links")
-        more, links = told.filter("similar").select("a", "b"), links.unionAll(told)
-        if not more.isEmpty():
-            roots = components(more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    links = verified(first_pass(buckets.select("band", "node")), texts, least).filter("similar").select("a", "b")
+    roots = cut(components(links), "near-roots")
+    more = cut(cross_links(buckets, roots, nodes, texts, least), "near-links")
+    if not more.isEmpty():
+        roots = components(more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     placed = nodes.select("key", "node", "first", "copies").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = cut(placed, "near-placed")
     classes = placed.groupBy("root").agg(F.min("first").alias("class_first"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("n"))
