@@ -115,18 +115,24 @@ def dealt_join(
     return left.drop("_heavy", "_salts").join(right.drop("_heavy", "_salts"), [key, "_salt"], how).drop("_salt")
 
 
-#: Bits of the filter of may_be_among: 8 MB, whatever the input.
-FILTER_BITS = 26
+#: The filter of may_be has FILTER_SHARE bits a key, and 2 ** MOST_BITS (32 MB) at most; BITMAP_BITS of them are a row.
+FILTER_SHARE = 16
+LEAST_BITS, MOST_BITS = 18, 28
 BITMAP_BITS = 32768
 
 
 def may_be(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """rows with _may: false only if the key (a 64-bit hash) is surely not among keys.
 
-    The keys set bits of a bitmap of fixed size, which is broadcast as 2,048 rows of 4 kB. With very many keys more rows
-    have a true _may than need to, so that the join behind it has more to do but finds the same.
+    The keys set bits of a bitmap, sized by their number up to a fixed bound, which is broadcast in rows of 4 kB. With
+    more keys than half of the bound's bits it would tell little and is left out: all rows then have a true _may, so that
+    the join behind it has more to do but finds the same.
     """
-    bit = lambda c: F.pmod(F.col(c), F.lit(1 << FILTER_BITS))
+    n = keys.count()
+    bits = min(max((FILTER_SHARE * n).bit_length(), LEAST_BITS), MOST_BITS)
+    if n > 1 << (MOST_BITS - 1):
+        return rows.withColumn("_may", F.lit(True))
+    bit = lambda c: F.pmod(F.col(c), F.lit(1 << bits))
     held = (
         keys.select(F.floor(bit(key) / BITMAP_BITS).cast("int").alias("_part"), (bit(key) % BITMAP_BITS).alias("_bit"))
         .groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_map"))

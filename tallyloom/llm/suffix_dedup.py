@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import cut, may_be, may_be_among, text_of
+from tallyloom.llm.common import cut, dealt_join, may_be, may_be_among, text_of
 from tallyloom.llm.minhash_dedup import BASE, GOLD, U, _powers, mix
 from tallyloom.session import ship, table
 
@@ -176,12 +176,30 @@ def context_bytes(texts: DataFrame) -> DataFrame:
 
 
 def joined_texts(rows: DataFrame, lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """rows (id, t, raw) split into those in lists (id, t, ...), joined to it, and those surely not in it."""
+    """rows (id, t, raw) split into those that may be in lists (id, t, ...), left-joined to it, and those surely not in it."""
     key = F.xxhash64("id", "t")
     told = may_be(rows.withColumn("_key", key), "_key", lists.select(key.alias("_key")))
-    right = lists.select(key.alias("_key"), F.col("id").alias("_id"), F.col("t").alias("_t"), *[c for c in lists.columns if c not in ("id", "t")])
-    met = told.filter("_may").join(right, "_key", "left")
-    return met, told.filter("NOT _may")
+    right = lists.withColumnsRenamed({"id": "_id", "t": "_t"})
+    fits = F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
+    told = told.drop("_key")
+    return told.filter("_may").drop("_may").join(right, fits, "left").drop("_id", "_t"), told.filter("NOT _may").drop("_may")
+
+
+def whole_copies(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows (id, t, raw) split into first or only bearers of their text, and later ones.
+
+    Equal digests (SHA-256) are equal texts. Only texts whose digest may repeat are shuffled.
+    """
+    digest = F.unhex(F.sha2("raw", 256))
+    own = rows.withColumn("digest", digest)
+    order = F.struct(F.col("id").isNull().alias("no"), "id", "t")
+    groups = own.select("id", "t", "digest").groupBy("digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    groups = cut(groups.filter("n > 1"), "suffix-copies")
+    told = may_be(own.withColumn("_key", F.xxhash64("digest")), "_key", groups.select(F.xxhash64("digest").alias("_key"))).drop("_key")
+    near = dealt_join(told.filter("_may").drop("_may"), groups.drop("n"), "digest", groups.select("digest", "n"), ["id", "t"], "left")
+    near = cut(near.withColumn("later", F.coalesce(order != F.col("first"), F.lit(False))).drop("digest", "first"), "suffix-bearers")
+    firsts = told.filter("NOT _may").drop("_may", "digest").unionAll(near.filter("NOT later").drop("later"))
+    return firsts, near.filter("later").drop("later")
 
 
 #: Numbers of windows in a run, from one level to the next.
@@ -207,8 +225,7 @@ def doubled(rows: DataFrame, contexts: DataFrame) -> DataFrame:
     """(id, t, low, high) of windows in contexts (id, t, pos, reach) whose bytes start earlier too."""
     lists = cut(contexts.groupBy("id", "t").agg(F.collect_set(F.struct("pos", "reach")).alias("spans")), "suffix-lists")
     met, _ = joined_texts(rows, lists)
-    fits = F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
-    texts = met.filter(fits).select("id", "t", "raw", "spans").dropDuplicates(["id", "t"])
+    texts = met.filter("spans IS NOT NULL").dropDuplicates(["id", "t"])
     held = context_bytes(texts).withColumns({"low": F.greatest(SIDE - F.col("right"), F.lit(0)), "high": F.least("left", F.lit(SIDE))}).filter("low <= high")
     held, found = cut(held, "suffix-bytes"), []
     for width in RUNS:
@@ -255,12 +272,14 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept bytes), one row for each row of docs."""
     ship(docs.sparkSession)
-    rows = keyed(docs, id_col, text_col)
+    rows, copies = whole_copies(keyed(docs, id_col, text_col))
     spans = repeated_spans(rows).groupBy("id", "t").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     met, alone = joined_texts(rows, cut(spans, "suffix-removed"))
-    fits = F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t"))
-    found = met.select("id", "raw", F.when(fits, F.col("spans")).alias("spans"))
-    none = alone.select("id", "raw", F.lit(None).cast(found.schema["spans"].dataType).alias("spans"))
+    found = met.select("id", "raw", "spans")
+    whole = F.array(F.struct(F.lit(0).alias("low"), F.length("raw").alias("high")))
+    none = F.lit(None).cast(found.schema["spans"].dataType)
+    found = found.unionAll(alone.select("id", "raw", none.alias("spans")))
+    found = found.unionAll(copies.select("id", "raw", F.when(F.length("raw") >= LENGTH, whole).otherwise(none).alias("spans")))
 
     def work(batches):
         for batch in batches:
@@ -285,7 +304,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return found.unionAll(none).mapInArrow(work, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return found.mapInArrow(work, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
