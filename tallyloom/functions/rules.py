@@ -107,6 +107,31 @@ def wer_label(wer: Column) -> Column:
     return out.otherwise("grave")
 
 
+@dataclass(frozen=True)
+class ClipGates:
+    """Limits that a clip must keep."""
+
+    visibility: float = 0.7
+    confidence: float = 0.2
+    asd: float = 0.5
+    overlap: float = 0.3
+
+
+def clip_gates(limits: ClipGates = ClipGates(), c=F.col) -> list[tuple[str, Column, Column | None]]:
+    """The checks of a clip, in order, for drop_reason; a measure that was never taken is null and fails no limit.
+
+    Fixed values: the codes.
+    """
+    no = lambda x: F.coalesce(x, F.lit(False))
+    return [
+        ("processing_error", no(c("failed")), None), ("no_face_track", no(c("tracks") == 0), None), ("face_visibility", no(c("visibility") < limits.visibility), c("visibility")),
+        ("whisper_error", no(c("whisper_failed")), None), ("no_transcription", no(c("transcripts") == 0), None), ("empty_transcription", F.coalesce(F.trim(c("text")), F.lit("")) == "", None),
+        ("unknown_confidence", no(F.isnan(c("confidence"))), None), ("low_confidence", no(c("confidence") < limits.confidence), c("confidence")), ("no_track_overlaps_speech", no(~c("overlaps")), None),
+        ("low_asd_score", no(c("asd") < limits.asd), c("asd")), ("track_too_short", no(c("track_overlap") < limits.overlap), c("track_overlap")), ("no_words_in_track_range", no(c("words_left") == 0), None),
+        ("export_failed", no(~c("exported")), None),
+    ]
+
+
 def drop_reason(checks: Sequence[tuple[str, Column, Column | None]]) -> Column:
     """The first failed check as code or code=value; null if none fails. checks: (code, failed, value)."""
     out = None

@@ -16,7 +16,7 @@ CEDILLAS, COMMAS = "şŞţŢ", "șȘțȚ"
 #: The marks that the statistics tokeniser strips from both ends of a word.
 STRIPPED = ".,;:!?\"'()[]"
 #: Marks that may follow the end of a sentence, and those that end one.
-CLOSING, SENTENCE_ENDS = "\"'”’»)]", (".", "?", "!", "…")
+CLOSING, SENTENCE_ENDS = "\"'”„»’)]}", (".", "?", "!", "…")
 #: Python's white space, which words are split at.
 SPACE = r"[\s\x1c-\x1f\x85\xa0  -     　]+"
 
@@ -27,19 +27,19 @@ def nfc_udf(s: pd.Series) -> pd.Series:
 
 
 def normalize_diacritics(c: Column) -> Column:
-    """NFC, then comma-below letters. Only texts with combining marks go through Python."""
+    """NFC, then comma-below letters. Only texts with combining marks are handed to Python; for others it gets a null."""
     ship(SparkSession.active())
-    whole = F.when(c.rlike(r"\p{M}"), nfc_udf(c)).otherwise(c)
+    whole = F.coalesce(nfc_udf(F.when(c.rlike(r"\p{M}"), c)), c)
     return F.translate(whole, CEDILLAS, COMMAS)
 
 
 def clean_word(c: Column) -> Column:
-    """Upper-cased, without marks at both ends; inner ones stay."""
-    return F.regexp_replace(F.upper(F.translate(F.trim(c), CEDILLAS, COMMAS)), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
+    """Normalised, upper-cased, without marks at both ends; inner ones stay."""
+    return F.regexp_replace(F.upper(normalize_diacritics(c)), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
 
 
 def ends_sentence(c: Column, ends: tuple[str, ...] = SENTENCE_ENDS) -> Column:
-    bare = F.rtrim(F.trim(c), F.lit(CLOSING))
+    bare = F.rtrim(F.regexp_replace(c, r"\s+$", ""), F.lit(CLOSING))
     return F.coalesce(F.right(bare, F.lit(1)).isin(*ends) & (F.length(bare) > 0), F.lit(False))
 
 
@@ -56,6 +56,15 @@ def stat_tokens(c: Column) -> Column:
     return F.filter(F.transform(words(c), stat_token), lambda w: w != "")
 
 
+#: A word that the statistics tokeniser keeps: some of it is neither white space nor stripped.
+KEPT_WORD = f"""[^{SPACE[1:-2]}.,;:!?"'()\\[\\]][^{SPACE[1:-2]}]*"""
+
+
+def stat_token_count(c: Column) -> Column:
+    """size(stat_tokens(c)), by one pass of a pattern."""
+    return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(KEPT_WORD))
+
+
 def digit_share(c: Column) -> Column:
     """Share of words with a digit; null without words."""
     w = words(c)
@@ -86,6 +95,15 @@ def frame_rate(c: Column, default: float = 25.0) -> Column:
     return F.coalesce(F.when(F.size(F.split(c, "/")) == 2, F.try_divide(part(0), part(1))), F.lit(default))
 
 
+def best_resolution(formats: Column) -> Column:
+    """(resolution, fps) of the highest (first of equals) of formats (vcodec, width, height, fps) that has a picture; 'unknown' and 25 without one."""
+    seen = F.filter(formats, lambda f: ~f["vcodec"].eqNullSafe("none") & (F.coalesce(f["height"], F.lit(0)) > 0))
+    best = F.element_at(F.array_sort(F.transform(seen, lambda f, i: F.struct(f["height"].alias("height"), (-i).alias("i"), f["width"].alias("width"), f["fps"].alias("fps")))), -1)
+    size = F.concat(F.coalesce(best["width"].cast("string"), F.lit("?")), F.lit("x"), best["height"].cast("string"))
+    some = F.size(seen) > 0
+    return F.struct(F.when(some, size).otherwise("unknown").alias("resolution"), F.when(some & (best["fps"] > 0), best["fps"].cast("double")).otherwise(25.0).alias("fps"))
+
+
 #: Signs of an open licence.
 OPEN_LICENCE = ("creative commons", "cc-by", "cc by", "creativecommons.org")
 
@@ -140,6 +158,11 @@ def log_kind(msg: Column) -> Column:
     return out.otherwise("info")
 
 
+def cell(c: Column) -> Column:
+    """A cell as text: '' where it is missing."""
+    return F.coalesce(c.cast("string"), F.lit(""))
+
+
 def number_or_null(c: Column) -> Column:
     """NaN and the text 'nan' are missing."""
     return F.nanvl(F.nullif(F.lower(c.cast("string")), F.lit("nan")).try_cast("double"), F.lit(None).cast("double"))

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from tallyloom.functions.text import stat_tokens
 from tallyloom.session import ship
@@ -16,8 +16,10 @@ def distance(a: list[str], b: list[str]) -> int:
     """Edits (insert, delete, substitute: 1) from a to b. A row of the table at a time: the running minimum over
     insertions is a minimum of (value - position)."""
     row, at = np.arange(len(b) + 1), np.arange(len(b) + 1)
-    right = np.array(b, dtype=object)
-    for i, word in enumerate(a, 1):
+    numbers: dict[str, int] = {}
+    number = lambda words: [numbers.setdefault(w, len(numbers)) for w in words]
+    right = np.array(number(b), dtype=np.int64)
+    for i, word in enumerate(number(a), 1):
         step = np.minimum(row[1:] + 1, row[:-1] + (right != word)) if len(b) else np.zeros(0, int)
         row = np.minimum.accumulate(np.concatenate([[i], step]) - at) + at
     return int(row[-1])
@@ -33,7 +35,8 @@ def wer(reference: Column, hypothesis: Column) -> Column:
     ship(SparkSession.active())
     r, h = stat_tokens(reference), stat_tokens(hypothesis)
     blank = F.coalesce(F.trim(reference), F.lit("")) == ""
-    rate = F.when(F.size(r) == 0, 0.0).otherwise(distance_udf(r, h) / F.size(r))
+    far = F.coalesce(distance_udf(F.when(r != h, r), h), F.lit(0))  # equal texts aren't handed to Python
+    rate = F.when(F.size(r) == 0, 0.0).otherwise(far / F.size(r))
     return F.when(~blank, F.round(rate, 4))
 
 
@@ -53,6 +56,21 @@ def wer_native(reference: Column, hypothesis: Column) -> Column:
     return F.element_at(F.aggregate(r, first, row), -1)
 
 
+DIFF = ArrayType(StructType().add("word", StringType()).add("type", StringType()))
+
+
+@F.pandas_udf(DIFF)
+def word_diff_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    told = lambda x, y: [{"word": w, "type": t} for w, t in word_diff(x or "", y or "")]
+    return pd.Series([told(x, y) for x, y in zip(a, b, strict=True)], dtype=object)
+
+
+def word_changes(current: Column, suggested: Column) -> Column:
+    """The words of the suggestion, each with type 'same' or 'changed' against the current text."""
+    ship(SparkSession.active())
+    return word_diff_udf(current, suggested)
+
+
 def word_diff(a: str, b: str) -> list[tuple[str, str]]:
     """Words of b, in order, as (word, 'same' or 'changed') by a longest common subsequence, case aside."""
     left, right = a.lower().split(), b.lower().split()

@@ -77,6 +77,83 @@ def pull_and_push(current: DataFrame, incoming: DataFrame, key: str, array: str,
     return both.withColumn(array, F.array_sort(F.concat(kept, "_new"))).drop("_new")
 
 
+def drop_rows(videos: DataFrame, key: str = "video_id", drops: str = "dropped_clips") -> DataFrame:
+    """The embedded rejections as rows, with their parent's id, by clip."""
+    return videos.select(key, F.explode(drops).alias("d")).select(key, "d.*").orderBy(key, "clip_id")
+
+
+def record_drops(videos: DataFrame, drops: DataFrame, key: str = "video_id", array: str = "dropped_clips") -> DataFrame:
+    """videos with the rejections (key, clip_id, ...) embedded; one of the same clip is replaced, an unknown parent is added."""
+    parents = videos.unionByName(drops.select(key).distinct().join(videos, key, "left_anti"), allowMissingColumns=True)
+    item = videos.schema[array].dataType.elementType
+    entry = drops.select(key, F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in item]).alias(array))
+    return pull_and_push(parents.withColumn(array, F.coalesce(array, F.array().cast(videos.schema[array].dataType))), entry, key, array, "clip_id")
+
+
+def with_stubs(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """parents and a bare row for each key that only children have."""
+    return parents.unionByName(children.select(key).distinct().join(parents, key, "left_anti"), allowMissingColumns=True)
+
+
+def recovered(index: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """index and the rows that were found on disk but aren't in it; what a side lacks is null."""
+    return index.unionByName(found.join(index.select(key), key, "left_anti"), allowMissingColumns=True)
+
+
+def replace_array(rows: DataFrame, incoming: DataFrame, key: str, array: str) -> DataFrame:
+    """rows whose array is replaced where incoming has the key; an empty one is taken off."""
+    new = incoming.select(key, F.col(array).alias("_new"), F.lit(True).alias("_hit"))
+    value = F.when(F.col("_hit"), F.when(F.size("_new") > 0, F.col("_new"))).otherwise(F.col(array))
+    return rows.join(new, key, "left").withColumn(array, value).drop("_new", "_hit")
+
+
+def editable_upsert(current: DataFrame, incoming: DataFrame, key: str, editable: Sequence[str]) -> DataFrame:
+    """upsert of the editable columns alone; all others stay, and new rows have none."""
+    own = incoming.select(key, *editable)
+    old = set_columns(current, own, key)
+    return old.unionByName(own.join(current, key, "left_anti"), allowMissingColumns=True)
+
+
+def segment_rows(results: DataFrame) -> DataFrame:
+    """Rows of the catalog from what a clip's analysis gives (segment_id, video_id, speaker_id, text, confidence, ...)."""
+    blank = F.coalesce("speaker_id", F.lit("")) == ""
+    nan = lambda c: F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c)
+    return results.select(
+        "segment_id", "video_id", F.regexp_replace("segment_id", r"_[^_]*$", "").alias("clip_id"), F.when(blank, F.concat("video_id", F.lit("_spk_unknown"))).otherwise(F.col("speaker_id")).alias("speaker_id"),
+        "text", F.col("text").alias("original_text"), "num_words", F.coalesce(F.length("text"), F.lit(0)).alias("num_chars"), nan("conf_min"), F.round("visibility", 4).alias("visibility"),
+        F.col("mismatch").cast("int").alias("mismatch"), F.lit(0.0).alias("wer"), F.col("num_words").alias("wer_words"),
+    )
+
+
+def finished_videos(videos: DataFrame, results: DataFrame, status: str, day, key: str = "video_id") -> DataFrame:
+    """videos with what their finished segments (duration, asd_score) add up to; means stay where there are none."""
+    sums = results.groupBy(key).agg(F.count("duration").alias("_n"), F.sum(F.col("duration").cast("decimal(20,6)")).cast("double").alias("_s"), (F.sum(F.col("asd_score").cast("decimal(20,6)")).cast("double") / F.count("asd_score")).alias("_a"))
+    both, done = videos.join(sums, key, "left"), F.col("_n").isNotNull()
+    new = {"status": F.lit(status), "processed_date": F.lit(day), "total_segments": F.col("_n"), "total_duration": F.col("_s"), "avg_asd": F.coalesce("_a", "avg_asd")}
+    return both.withColumns({c: F.when(done, v).otherwise(F.col(c)) for c, v in new.items()}).drop("_n", "_s", "_a")
+
+
+def synced_videos(videos: DataFrame, live: DataFrame, files: DataFrame, key: str = "video_id") -> DataFrame:
+    """(key, total_segments, total_duration, avg_asd) of videos without totals that have files: live statistics, else the files'.
+
+    live and files: (key, n, duration, asd).
+    """
+    own = videos.filter(F.coalesce("total_segments", F.lit(0)) == 0).select(key)
+    told = lambda rows, p: rows.select(key, *[F.col(c).alias(f"{p}_{c}") for c in ("n", "duration", "asd")])
+    both = own.join(told(files, "f"), key).join(told(live, "l"), key, "left")
+    has = F.col("l_n").isNotNull()
+    pick = lambda c: F.when(has, F.col(f"l_{c}")).otherwise(F.col(f"f_{c}"))
+    return both.select(key, pick("n").alias("total_segments"), F.round(F.coalesce(pick("duration"), F.lit(0.0)), 2).alias("total_duration"), F.round(pick("asd"), 3).alias("avg_asd"))
+
+
+def corrections(proposals: DataFrame, pairs: DataFrame, key: str, column: str, allowed: Sequence[str], text: str = "value") -> tuple[DataFrame, DataFrame]:
+    """proposals with the column set by lines 'id:value' of an allowed value, and the ids that no row has."""
+    parts = pairs.filter(F.col(text).contains(":")).select(F.trim(F.substring_index(text, ":", 1)).alias(key), F.lower(F.trim(F.expr(f"substring(`{text}`, instr(`{text}`, ':') + 1)"))).alias("_new"))
+    own = parts.filter(F.col("_new").isin(*allowed)).dropDuplicates([key])
+    done = proposals.join(own, key, "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
+    return done, own.select(key).join(proposals, key, "left_anti")
+
+
 def newest_backups(files: DataFrame, name: str, keep: int = 5) -> DataFrame:
     """files with expired: true beyond the newest `keep` names."""
     newest = files.select(name).orderBy(F.desc(name)).limit(keep)

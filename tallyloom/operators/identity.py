@@ -9,18 +9,11 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.rules import age_group
 from tallyloom.operators.joins import cosine_links, nearest_known, unit
+from tallyloom.session import saved
 
 MOST_ROUNDS = 30
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the session's checkpoint folder; its own is set only where there is none."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir("file:///tmp/tallyloom-checkpoints")
-    return df.checkpoint()
-
-
 def components(nodes: DataFrame, links: DataFrame, key: str) -> DataFrame:
     """(key, id, root) of nodes (key, id): the smallest id of the component that links (key, a, b) give.
 
@@ -63,6 +56,13 @@ def clusters(vectors: DataFrame, key: str, least: float = 0.60, min_members: int
     return nodes.join(found.select(key, "id", number.alias("cluster")), [key, "id"], "left")
 
 
+def outlier_labels(clustered: DataFrame, key: str) -> DataFrame:
+    """(key, id, label) of clusters: key_spk and the cluster, or key_spkOUT_ and the last six signs of an id without one."""
+    alone = F.concat(F.col(key).cast("string"), F.lit("_spkOUT_"), F.right(F.col("id").cast("string"), F.lit(6)))
+    named = F.concat(F.col(key).cast("string"), F.lit("_spk"), F.col("cluster").cast("string"))
+    return clustered.select(key, "id", F.when(F.col("cluster").isNull(), alone).otherwise(named).alias("label"))
+
+
 def centroids(vectors: DataFrame, keys: Sequence[str], vec: str = "vec") -> DataFrame:
     """(keys, centroid): the mean of unit vectors, scaled to unit length; sums are exact decimals of 12 digits."""
     each = vectors.select(*keys, F.posexplode(unit(F.col(vec))).alias("i", "v")).groupBy(*keys, "i").agg((F.sum(F.col("v").cast("decimal(20,12)")).cast("double") / F.count(F.lit(1))).alias("v"))
@@ -70,6 +70,12 @@ def centroids(vectors: DataFrame, keys: Sequence[str], vec: str = "vec") -> Data
     return whole.select(*keys, unit(F.col("c")).alias("centroid"))
 
 
+def evidence(rows: DataFrame, vec: str = "vec", ages: str | None = None) -> DataFrame:
+    """rows with vectors to four decimals and ages to one, as a checkpoint keeps them."""
+    out = rows.withColumn(vec, F.transform(vec, lambda x: F.round(x.cast("double"), 4)))
+    return out if ages is None else out.withColumn(ages, F.transform(ages, lambda x: F.round(x.cast("double"), 1)))
+
+
 def rematched(known: DataFrame, found: DataFrame) -> DataFrame:
     """known (id, centroid) moved half-way to found (id, centroid) and rescaled; new ids are taken as they are."""
     both = known.join(found.withColumnRenamed("centroid", "_new"), "id", "full")

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.session import saved, ship
+
 
 def overlap(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
     return F.least(a_end, b_end) - F.greatest(a_start, b_start)
@@ -71,38 +76,105 @@ def unit(a: Column) -> Column:
     return F.when(n > 0, F.transform(a, lambda x: x.cast("double") / n)).otherwise(F.transform(a, lambda x: x.cast("double")))
 
 
-#: Known vectors up to this many are broadcast to the queries; more are dealt out in blocks.
-BROADCAST_KNOWN = 20_000
-BLOCK = 2_000
+#: Known vectors of up to so many bytes are broadcast to the queries; more are dealt out in blocks of vectors.
+BROADCAST_BYTES = 64 << 20
+BLOCK = 1024
+
+
+def matrix(vectors: pa.ListArray) -> np.ndarray:
+    """Vectors of one length as rows of unit length; those of length zero stay zero."""
+    rows = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1 if len(vectors) else 0)
+    size = np.sqrt((rows * rows).sum(1, keepdims=True))
+    return np.divide(rows, size, out=np.zeros_like(rows), where=size > 0)
+
+
+def _best(ids: pa.Array, rows: np.ndarray, known_ids: pa.Array, known_rows: np.ndarray, least: float) -> pa.RecordBatch:
+    """(id, k_id, cosine): for each row the known one (sorted by id) of highest cosine, null below least."""
+    if len(known_ids) and len(ids):
+        cosine = np.round(rows @ known_rows.T, 12)
+        at = cosine.argmax(1)
+        best = cosine[np.arange(len(at)), at]
+        none = best < least
+        names = known_ids.take(pa.array(at, mask=none))
+        return pa.RecordBatch.from_arrays([ids, names, pa.array(best, mask=none)], ["id", "k_id", "cosine"])
+    return pa.RecordBatch.from_arrays([ids, pa.nulls(len(ids), known_ids.type), pa.nulls(len(ids), pa.float64())], ["id", "k_id", "cosine"])
+
+
+def packed(rows: DataFrame, keys: Sequence[str], blocks: Column, *columns: str) -> DataFrame:
+    """(keys, block, held): the rows of each key dealt to so many blocks, a list of structs each."""
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64(columns[0]), blocks).cast("int"))
+    return dealt.groupBy(*keys, "block").agg(F.collect_list(F.struct(*columns)).alias("held"))
 
 
 def nearest_known(queries: DataFrame, known: DataFrame, least: float) -> DataFrame:
     """queries (id, vec) with the known (k_id, k_vec) of highest cosine, if it reaches least; smallest k_id of equals.
 
-    Every query meets every known vector, as exact search must: the known are broadcast if few, else both sides are
-    joined block by block and each query's best of each block is kept before they are compared.
+    Every query meets every known vector, as exact search must: known vectors of up to BROADCAST_BYTES go to all tasks,
+    more are joined block by block and each query's best of each block is kept before they are compared.
     """
-    own = known.select("k_id", unit(F.col("k_vec")).alias("k_vec"))
-    asked = queries.select("id", unit(F.col("vec")).alias("vec"))
-    n = known.count()
-    if n <= BROADCAST_KNOWN:
-        held = F.broadcast(own.agg(F.collect_list(F.struct("k_id", "k_vec")).alias("held")))
-        met = asked.join(held, F.lit(True), "left")
-    else:
-        blocks = -(-n // BLOCK)
-        held = own.groupBy(F.pmod(F.xxhash64("k_id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("k_id", "k_vec")).alias("held"))
-        met = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))).join(held, "block", "left")
-    each = F.transform("held", lambda k: F.struct(dot(F.col("vec"), k["k_vec"]).alias("cosine"), (-k["k_id"]).alias("m")))
-    best = met.withColumn("best", F.array_max(each)).groupBy("id").agg(F.max("best").alias("best"))
-    fits = F.col("best.cosine") >= least
-    return best.select("id", F.when(fits, -F.col("best.m")).alias("k_id"), F.when(fits, F.col("best.cosine")).alias("cosine"))
+    ship(queries.sparkSession)
+    own = known.filter("k_vec IS NOT NULL").select("k_id", "k_vec")
+    asked = queries.select("id", "vec")
+    schema = f"id {dict(asked.dtypes)['id']}, k_id {dict(own.dtypes)['k_id']}, cosine double"
+    n, dims = own.agg(F.count(F.lit(1)), F.max(F.size("k_vec"))).first()
+    if n * (dims or 0) * 8 <= BROADCAST_BYTES:
+        few = own.orderBy("k_id").toArrow().combine_chunks()
+        held = queries.sparkSession.sparkContext.broadcast((few.column("k_id").combine_chunks(), matrix(few.column("k_vec").combine_chunks())))
+
+        def search(batches):
+            ids, rows = held.value
+            for whole in batches:
+                for at in range(0, whole.num_rows, BLOCK):
+                    part = whole.slice(at, BLOCK)
+                    some = part.filter(part.column("vec").is_valid())
+                    yield _best(some.column("id"), matrix(some.column("vec")), ids, rows, least)
+                    bare = part.filter(part.column("vec").is_null()).column("id")
+                    yield _best(bare, np.zeros((0, 0)), ids.slice(0, 0), rows, least)
+
+        return asked.mapInArrow(search, schema)
+    blocks = lambda k: -(-k // BLOCK)
+    here, there = packed(asked.filter("vec IS NOT NULL"), [], F.lit(blocks(asked.count())), "id", "vec"), packed(own, [], F.lit(blocks(n)), "k_id", "k_vec")
+    met = here.select("held", F.explode(F.sequence(F.lit(0), F.lit(blocks(n) - 1))).alias("block")).join(there.select("block", F.col("held").alias("held2")), "block").select("held", "held2")
+
+    def compare(batches):
+        for batch in batches:
+            for a, b in zip(batch.column("held"), batch.column("held2"), strict=True):
+                order = pc.sort_indices(b.values.field("k_id"))
+                ids = b.values.field("k_id").take(order)
+                yield _best(a.values.field("id"), matrix(a.values.field("vec")), ids, matrix(b.values.field("k_vec").take(order)), least)
+
+    each = met.mapInArrow(compare, schema).filter("k_id IS NOT NULL")
+    best = each.groupBy("id").agg(F.min(F.struct((-F.col("cosine")).alias("far"), "k_id")).alias("m"))
+    return asked.select("id").join(best, "id", "left").select("id", F.col("m.k_id").alias("k_id"), (-F.col("m.far")).alias("cosine"))
 
 
 def cosine_links(vectors: DataFrame, key: str, least: float) -> DataFrame:
-    """Pairs (a, b), a < b, of vectors (id, vec) of equal key whose cosine reaches least."""
-    u = vectors.select(key, "id", unit(F.col("vec")).alias("vec"))
-    left, right = u.select(key, F.col("id").alias("a"), F.col("vec").alias("va")), u.select(key, F.col("id").alias("b"), F.col("vec").alias("vb"))
-    return left.join(right, key).filter("a < b").withColumn("cosine", dot(F.col("va"), F.col("vb"))).filter(F.col("cosine") >= least).select(key, "a", "b", "cosine")
+    """(key, a, b, cosine) of pairs a < b of vectors (id, vec) of equal key whose cosine reaches least.
+
+    A key's vectors are dealt to blocks, and each pair of blocks is one product of matrices in some task.
+    """
+    ship(vectors.sparkSession)
+    own = vectors.filter("vec IS NOT NULL").select(key, "id", "vec")
+    sizes = saved(own.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
+    held = packed(own.join(sizes, key), [key, "blocks"], F.col("blocks"), "id", "vec")
+    left = held.select(key, "block", "held", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("other"))
+    met = left.join(held.select(key, F.col("block").alias("other"), F.col("held").alias("held2")), [key, "other"])
+
+    def compare(batches):
+        for batch in batches:
+            for k, own_block, a, b in zip(batch.column("k"), batch.column("same").to_pylist(), batch.column("held"), batch.column("held2"), strict=True):
+                cosine = matrix(a.values.field("vec")) @ matrix(b.values.field("vec")).T
+                i, j = np.nonzero(cosine >= least)
+                x, y = a.values.field("id").take(pa.array(i)), b.values.field("id").take(pa.array(j))
+                less = pc.less(x, y)
+                low, high = pc.if_else(less, x, y), pc.if_else(less, y, x)
+                keep = less if own_block else pc.not_equal(x, y)
+                names = pa.array([k.as_py()] * len(i), k.type)
+                yield pa.RecordBatch.from_arrays([names, low, high, pa.array(cosine[i, j])], [key, "a", "b", "cosine"]).filter(keep)
+
+    kinds = dict(own.dtypes)
+    met = met.select(F.col(key).alias("k"), (F.col("block") == F.col("other")).alias("same"), "held", "held2")
+    return met.mapInArrow(compare, f"`{key}` {kinds[key]}, a {kinds['id']}, b {kinds['id']}, cosine double")
 
 
 def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

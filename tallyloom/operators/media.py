@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, BinaryType, FloatType
 
 from tallyloom.functions.rules import noise_class
 from tallyloom.operators.ordered import carry_forward, interpolate
-from tallyloom.operators.tracks import gaussian, one_euro
+from tallyloom.operators.tracks import gaussian, gaussian_window, one_euro
 from tallyloom.session import ship
 
 
@@ -48,6 +48,11 @@ def zero_based(words: Column) -> Column:
     return F.struct(low.alias("shift"), F.transform(words, lambda w: w.withField("start", w["start"] - low).withField("end", w["end"] - low)).alias("words"))
 
 
+def from_zero_based(shifted: Column) -> Column:
+    """The words of zero_based with their own times again."""
+    return F.transform(shifted["words"], lambda w: w.withField("start", w["start"] + shifted["shift"]).withField("end", w["end"] + shifted["shift"]))
+
+
 def feature_rows(rows: Column, start: Column, end: Column, rate: int = 100) -> Column:
     """Rows of an array at rate a second between start and end, clamped."""
     first = F.least(F.greatest(F.floor(start * rate).cast("int"), F.lit(0)), F.size(rows))
@@ -98,6 +103,26 @@ def noise_tags(audio: DataFrame, key: str) -> DataFrame:
     return found.withColumn("noise", noise_class(F.col("flatness"), F.col("voice_ratio")))
 
 
+def nearest_landmarks(landmarks: DataFrame, clip: str = "clip", half: str = "width") -> DataFrame:
+    """landmarks with gaps taken from the frame nearest to them, the earlier of equals."""
+    back = Window.partitionBy(clip).orderBy("frame").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(clip).orderBy("frame").rowsBetween(0, Window.unboundedFollowing)
+    here = F.when(F.col(half).isNotNull(), F.struct("frame", "cx", "cy", half))
+    held = landmarks.withColumns({"_a": F.last(here, ignorenulls=True).over(back), "_b": F.first(here, ignorenulls=True).over(ahead)})
+    later = F.col("_a").isNull() | (F.col("_b.frame") - F.col("frame") < F.col("frame") - F.col("_a.frame"))
+    near = F.when(later & F.col("_b").isNotNull(), F.col("_b")).otherwise(F.col("_a"))
+    return held.withColumn("_near", near).withColumns({c: F.col(f"_near.{c}") for c in ("cx", "cy", half)}).drop("_a", "_b", "_near")
+
+
+def widest_mouth_trajectory(landmarks: DataFrame, clip: str = "clip", multiplier: float = 1.8, least_half: int = 20, sigma: float = 3.0) -> DataFrame:
+    """(clip, frame, x, y, half): centres of the nearest landmarks, Gaussian smoothed; the size follows the widest mouth."""
+    held = nearest_landmarks(landmarks, clip)
+    half = held.groupBy(clip).agg(F.greatest(F.lit(least_half), (F.max("width") * multiplier / 2).cast("int")).alias("half"))
+    x = gaussian_window(held.select(clip, "frame", "cx", "cy"), clip, "frame", "cx", sigma).withColumnRenamed("smoothed", "sx")
+    y = gaussian_window(x, clip, "frame", "cy", sigma)
+    return y.join(half, clip).select(clip, "frame", F.rint("sx").cast("int").alias("x"), F.rint("smoothed").cast("int").alias("y"), "half")
+
+
 def mouth_trajectory(landmarks: DataFrame, clip: str = "clip", multiplier: float = 1.8, least_half: int = 20, smoothing: str = "one_euro", **options) -> DataFrame:
     """(clip, frame, x, y, half, roll) of landmarks (clip, frame, cx, cy, width, roll), null where none was found.
 

@@ -197,6 +197,15 @@ def trim_words(words: Column, low: Column, high: Column) -> Column:
         w["word"].alias("word"), F.round(F.greatest(w["start"], low) - low, 2).alias("start"), F.round(F.least(w["end"], high) - low, 2).alias("end")))
 
 
+def trimmed(segments: DataFrame, low: str, high: str, words: str = "words", text: str = "text") -> DataFrame:
+    """segments cut to low..high: words, and from them text (kept if no word is left), num_words and duration."""
+    kept = segments.withColumn(words, trim_words(F.col(words), F.col(low), F.col(high)))
+    own = F.array_join(F.transform(words, lambda w: w["word"]), " ")
+    return kept.withColumns({
+        text: F.when(F.size(words) > 0, own).otherwise(F.col(text)), "num_words": F.size(words), "duration": F.round(F.col(high) - F.col(low), 3), "trimmed": F.lit(1),
+    })
+
+
 def score_by_ratio(scores: Column, i: Column, n: Column) -> Column:
     """The score of word i of n when the scores are spread over the words by index."""
     k = F.size(scores)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,11 +69,57 @@ def training_funnel(segments: DataFrame) -> DataFrame:
     return one.select(F.inline(rows))
 
 
-def quantiles(segments: DataFrame, column: str) -> DataFrame:
-    """p25, median, p75, p95 with linear interpolation."""
-    p = F.percentile(known(F.col(column)), F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75, 0.95)]))
-    one = segments.agg(p.alias("p"))
-    return one.select(*[F.round(F.get("p", F.lit(i)), 2).alias(n) for i, n in enumerate(("p25", "median", "p75", "p95"))])
+#: Bins of one step towards an order statistic.
+BINS = 4096
+
+
+def order_statistics(rows: DataFrame, column: str, ranks: Callable[[int], Sequence[int]]) -> tuple[int, dict[int, float]]:
+    """The number n of known values, and the values at ranks(n) of their sorted order, from 0.
+
+    Each pass counts the values of BINS bins around every rank that isn't decided yet and goes on in the bin that holds
+    it, until that bin has one value. What comes back to the driver is at most BINS rows of counts for each rank.
+    """
+    own = rows.select(known(F.col(column)).alias("v")).filter("v IS NOT NULL")
+    n, low, high = own.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    spans, found = {r: (low, high, 0) for r in ranks(n)} if n else {}, {}
+    while spans:
+        found |= {r: a for r, (a, b, _) in spans.items() if a == b}
+        spans = {r: s for r, s in spans.items() if r not in found}
+        each = sorted(set(spans.values()))
+        if not each:
+            break
+        place = F.lit(None).cast("struct<span:int,bin:bigint>")
+        for i, (a, b, _) in enumerate(each):
+            at = F.least(F.floor((F.col("v") - a) / (b - a) * BINS), F.lit(BINS - 1)).cast("bigint")
+            place = F.when(F.col("v").between(a, b), F.struct(F.lit(i).alias("span"), at.alias("bin"))).otherwise(place)
+        counts = own.select("v", place.alias("p")).filter("p IS NOT NULL").groupBy("p").agg(F.count("v").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+        by: dict[int, list] = {}
+        for c in sorted(counts.collect(), key=lambda c: (c.p.span, c.p.bin)):
+            by.setdefault(c.p.span, []).append(c)
+        for r, span in spans.items():
+            before = span[2]
+            for c in by[each.index(span)]:
+                if r < before + c.n:
+                    spans[r] = (c.a, c.b, before)
+                    break
+                before += c.n
+    return n, found
+
+
+def quantiles(segments: DataFrame, column: str, shares: Sequence[tuple[str, float]] = (("p25", 0.25), ("median", 0.5), ("p75", 0.75), ("p95", 0.95)), digits: int = 2) -> DataFrame:
+    """One row: p25, median, p75, p95 with linear interpolation; null without values."""
+    both = lambda n: sorted({int(f(p * (n - 1))) for _, p in shares for f in (math.floor, math.ceil)})
+    n, at = order_statistics(segments, column, both)
+
+    def value(p: float) -> float | None:
+        if not n:
+            return None
+        x = p * (n - 1)
+        low, high = at[math.floor(x)], at[math.ceil(x)]
+        return float(low + (high - low) * (x - math.floor(x)))
+
+    one = segments.sparkSession.createDataFrame([tuple(value(p) for _, p in shares)], ", ".join(f"{name} double" for name, _ in shares))
+    return one.select(*[F.round(name, digits).alias(name) for name, _ in shares])
 
 
 def duration_bands(segments: DataFrame) -> DataFrame:
@@ -144,3 +193,16 @@ def cumulative_hours(rows: DataFrame, at: str, seconds: str) -> DataFrame:
     day = rows.groupBy(F.to_date(at).alias("day")).agg(exact_sum(F.col(seconds)).alias("s"))
     total = F.sum("s").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0))
     return day.select("day", rounded(F.col("s").cast("double") / 3600, 4).alias("hours"), rounded(total.cast("double") / 3600, 4).alias("total_hours"))
+
+
+def tree_hash(rows: DataFrame, key: str, order: str, digest: str, fan: int = 1024, levels: int = 4) -> DataFrame:
+    """(key, digest): a hash over the digests of a key in order, by ranges of fan orders (0 and up), then of fan ranges.
+
+    No group holds more than fan digests while each order has one; levels of them reach orders below fan ** levels.
+    """
+    at = rows.select(key, F.col(order).alias("_k"), F.col(digest).alias("_h"))
+    for level in range(levels):
+        above = F.lit(0) if level == levels - 1 else F.floor(F.col("_k") / fan)
+        held = at.groupBy(key, above.alias("_up")).agg(F.array_sort(F.collect_list(F.struct("_k", "_h"))).alias("x"))
+        at = held.select(key, F.col("_up").alias("_k"), F.sha2(F.array_join(F.transform("x", lambda x: x["_h"]), "\n"), 256).alias("_h"))
+    return at.select(key, F.col("_h").alias(digest))

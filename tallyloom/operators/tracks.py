@@ -1,10 +1,12 @@
-"""Tracking and smoothing over frames; each works on one clip or track, whose length bounds its group."""
+"""Tracking and smoothing over frames, in order, with what a step needs of the past carried from piece to piece."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.session import ship
@@ -35,47 +37,93 @@ def assign(found: np.ndarray, held: np.ndarray, least: float) -> dict[int, int]:
     return taken
 
 
+def in_order(rows: DataFrame, key: str, order: Sequence[str], step: Callable, schema: str, finish: Callable | None = None) -> DataFrame:
+    """step(piece, state) -> (rows, state) over the rows of each key in order, a piece at a time.
+
+    A key's rows are never held together: what a step needs of those before is its state, None at first. finish(name,
+    state) gives the rows that are left when a key has ended.
+    """
+    ship(rows.sparkSession)
+
+    def work(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, state, begun = None, None, False
+        for pdf in pieces:
+            k = pdf[key]
+            fresh = k.ne(k.shift()) & ~(k.isna() & k.shift().isna())
+            for _, part in pdf.groupby(fresh.cumsum().to_numpy(), sort=True):
+                now = part[key].iloc[0]
+                if not (begun and (now == name or pd.isna(now) and pd.isna(name))):
+                    if begun and finish:
+                        yield finish(name, state)
+                    name, state, begun = now, None, True
+                out, state = step(part, state)
+                yield out
+        if begun and finish:
+            yield finish(name, state)
+
+    return rows.repartition(key).sortWithinPartitions(key, *order).mapInPandas(work, schema)
+
+
 def track_boxes(detections: DataFrame, key: str, least: float = 0.3, max_age: int = 30, min_hits: int = 3) -> DataFrame:
-    """(key, frame, det, track) of detections (key, frame, det, x, y, w, h) of tracks with enough hits."""
-    ship(detections.sparkSession)
-    kind = dict(detections.dtypes)[key]
+    """(key, frame, det, track) of detections (key, frame, det, x, y, w, h) of tracks with enough hits.
 
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        last: dict[int, tuple[int, np.ndarray]] = {}  # track: frame last seen, box
-        rows, fresh = [], 0
-        for frame, own in pdf.sort_values(["frame", "det"]).groupby("frame", sort=True):
-            last = {t: x for t, x in last.items() if frame - x[0] <= max_age}
-            live, boxes = list(last), own[["x", "y", "w", "h"]].to_numpy(float)
-            taken = assign(boxes, np.array([last[t][1] for t in live]).reshape(-1, 4), least)
-            refreshed = {}
-            for i in sorted(taken):
-                refreshed[live[taken[i]]] = (frame, boxes[i])
-            refreshed |= {t: x for t, x in last.items() if t not in refreshed}
-            ids = []
-            for i in range(len(boxes)):
-                if i in taken:
-                    ids.append(live[taken[i]])
-                else:
-                    refreshed[fresh] = (frame, boxes[i])
-                    ids.append(fresh)
-                    fresh += 1
-            last = refreshed
-            rows += zip([frame] * len(ids), own["det"], ids, strict=True)
-        out = pd.DataFrame(rows, columns=["frame", "det", "track"])
-        out.insert(0, key, pdf[key].iloc[0])
-        return out[out.groupby("track")["track"].transform("size") >= min_hits]
-
-    return detections.groupBy(key).applyInPandas(follow, f"{key} {kind}, frame int, det int, track int")
-
-
-def one_euro(values: np.ndarray, rate: float = 25.0, cutoff: float = 1.0, beta: float = 0.3, slope_cutoff: float = 1.0) -> np.ndarray:
-    """The One-Euro low-pass filter: its cutoff rises with speed."""
+    The state of a key is its live tracks, the next number, and the detections of the frame that may not be complete.
+    """
+    kind = dict(detections.dtypes)[key]
+    names = [key, "frame", "det", "track"]
+
+    def follow(frame: int, own: pd.DataFrame, last: dict, fresh: int) -> tuple[list, dict, int]:
+        last = {t: x for t, x in last.items() if frame - x[0] <= max_age}
+        live, boxes = list(last), own[["x", "y", "w", "h"]].to_numpy(float)
+        taken = assign(boxes, np.array([last[t][1] for t in live]).reshape(-1, 4), least)
+        refreshed = {live[taken[i]]: (frame, boxes[i]) for i in sorted(taken)}
+        refreshed |= {t: x for t, x in last.items() if t not in refreshed}
+        ids = []
+        for i in range(len(boxes)):
+            if i in taken:
+                ids.append(live[taken[i]])
+            else:
+                refreshed[fresh] = (frame, boxes[i])
+                ids.append(fresh)
+                fresh += 1
+        return list(zip([frame] * len(ids), own["det"], ids, strict=True)), refreshed, fresh
+
+    def told(name, rows: list) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=names[1:])
+        out.insert(0, key, name)
+        return out
+
+    def step(piece: pd.DataFrame, state):
+        open_, last, fresh = state or (None, {}, 0)
+        whole = piece if open_ is None else pd.concat([open_, piece])
+        newest, rows = whole["frame"].iloc[-1], []
+        for frame, own in whole[whole["frame"] != newest].groupby("frame", sort=True):
+            more, last, fresh = follow(frame, own, last, fresh)
+            rows += more
+        return told(piece[key].iloc[0], rows), (whole[whole["frame"] == newest], last, fresh)
+
+    def finish(name, state):
+        open_, last, fresh = state
+        return told(name, follow(open_["frame"].iloc[0], open_, last, fresh)[0])
+
+    found = in_order(detections, key, ["frame", "det"], step, f"{key} {kind}, frame int, det int, track int", finish)
+    hits = F.count(F.lit(1)).over(Window.partitionBy(key, "track"))
+    return found.withColumn("_hits", hits).filter(F.col("_hits") >= min_hits).drop("_hits")
+
+
+def one_euro_piece(values: np.ndarray, state: tuple[float, float] | None, rate: float = 25.0, cutoff: float = 1.0, beta: float = 0.3, slope_cutoff: float = 1.0) -> tuple[np.ndarray, tuple]:
+    """The One-Euro low-pass filter, whose cutoff rises with speed, from where state (last output, slope) left off."""
     share = lambda c: 1 / (1 + rate / (2 * np.pi * c))
-    out, slope = np.array(values, float), 0.0
-    for i in range(1, len(out)):
-        slope += share(slope_cutoff) * ((values[i] - out[i - 1]) * rate - slope)
-        out[i] = out[i - 1] + share(cutoff + beta * abs(slope)) * (values[i] - out[i - 1])
-    return out
+    out = np.array(values, float)
+    last, slope = state or (out[0], 0.0)
+    for i in range(0 if state else 1, len(out)):
+        slope += share(slope_cutoff) * ((values[i] - last) * rate - slope)
+        out[i] = last = last + share(cutoff + beta * abs(slope)) * (values[i] - last)
+    return out, (last, slope)
+
+
+def one_euro(values: np.ndarray, **options) -> np.ndarray:
+    return one_euro_piece(values, None, **options)[0]
 
 
 def gaussian(values: np.ndarray, sigma: float) -> np.ndarray:
@@ -86,33 +134,80 @@ def gaussian(values: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), "valid")
 
 
-def kalman(boxes: np.ndarray, process: float, measurement: float) -> np.ndarray:
-    """Constant-velocity filter over centre and size; rows of NaN are predicted only."""
+def kalman_piece(boxes: np.ndarray, state: tuple | None, process: float, measurement: float) -> tuple[np.ndarray, tuple]:
+    """Constant-velocity filter over centre and size; rows of NaN are predicted only; state: where the last piece ended."""
     step = np.eye(8) + np.eye(8, k=4)
     seen = np.eye(4, 8)
-    state, spread = np.r_[boxes[0], np.zeros(4)], np.eye(8)
-    out = [boxes[0]]
-    for box in boxes[1:]:
-        state, spread = step @ state, step @ spread @ step.T + process * np.eye(8)
+    out = []
+    for box in boxes:
+        if state is None:
+            state = (np.r_[box, np.zeros(4)], np.eye(8))
+            out.append(box)
+            continue
+        at, spread = step @ state[0], step @ state[1] @ step.T + process * np.eye(8)
         if not np.isnan(box).any():
             gain = np.linalg.solve(seen @ spread @ seen.T + measurement * np.eye(4), seen @ spread).T
-            state, spread = state + gain @ (box - seen @ state), (np.eye(8) - gain @ seen) @ spread
-        out.append(state[:4])
-    return np.array(out)
+            at, spread = at + gain @ (box - seen @ at), (np.eye(8) - gain @ seen) @ spread
+        state = (at, spread)
+        out.append(at[:4])
+    return np.array(out).reshape(-1, 4), state
+
+
+def kalman(boxes: np.ndarray, process: float, measurement: float) -> np.ndarray:
+    return kalman_piece(boxes, None, process, measurement)[0]
+
+
+def smooth_boxes(boxes: DataFrame, key: str, process: float = 0.03, measurement: float = 0.1) -> DataFrame:
+    """(key, frame, x, y, w, h) for every frame of a track from its first box to its last, by the Kalman filter.
+
+    boxes: (key, frame, x, y, w, h) where something was found; frames between are predicted. The first box stays.
+    """
+    kind, names = dict(boxes.dtypes)[key], ["x", "y", "w", "h"]
+    ends = boxes.groupBy(key).agg(F.min("frame").alias("a"), F.max("frame").alias("b"))
+    frames = ends.select(key, F.explode(F.sequence("a", "b")).alias("frame"))
+    whole = frames.join(boxes.select(key, "frame", *[F.col(c).cast("double").alias(c) for c in names]), [key, "frame"], "left")
+
+    def step(piece: pd.DataFrame, state):
+        x, y, w, h = (piece[c].to_numpy(float) for c in names)
+        out, after = kalman_piece(np.stack([x + w / 2, y + h / 2, w, h], 1), state, process, measurement)
+        cx, cy, w, h = out.T
+        found = {"x": np.rint(cx - w / 2), "y": np.rint(cy - h / 2), "w": np.rint(np.maximum(w, 1)), "h": np.rint(np.maximum(h, 1))}
+        return pd.DataFrame({key: piece[key].to_numpy(), "frame": piece["frame"].to_numpy()} | {c: v.astype(int) for c, v in found.items()}), after
+
+    return in_order(whole, key, ["frame"], step, f"{key} {kind}, frame int, x int, y int, w int, h int")
 
 
 def smooth(rows: DataFrame, key: str, at: str, column: str, how: str = "one_euro", **options) -> DataFrame:
-    """rows (key, at, column) with `smoothed`, in order of `at` within a key."""
-    ship(rows.sparkSession)
-    kinds = dict(rows.dtypes)
-    work = {"one_euro": one_euro, "gaussian": gaussian}[how]
+    """rows (key, at, column) with `smoothed`, in order of `at` within a key.
+
+    one_euro carries its state along; gaussian is a weighted sum over a window of rows, mirrored at the ends.
+    """
+    own, kinds = rows.select(key, at, column), dict(rows.dtypes)
+    if how == "gaussian":
+        return gaussian_window(own, key, at, column, **options)
+
+    def step(piece: pd.DataFrame, state):
+        out, after = one_euro_piece(piece[column].to_numpy(float), state, **options)
+        return piece.assign(smoothed=out), after
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf.sort_values(at)
-        return own.assign(smoothed=work(own[column].to_numpy(float), **options))
+    return in_order(own, key, [at], step, f"{key} {kinds[key]}, {at} {kinds[at]}, {column} {kinds[column]}, smoothed double")
 
-    own = rows.select(key, at, column)
-    return own.groupBy(key).applyInPandas(run, f"{key} {kinds[key]}, {at} {kinds[at]}, {column} {kinds[column]}, smoothed double")
+
+def gaussian_window(rows: DataFrame, key: str, at: str, column: str, sigma: float) -> DataFrame:
+    """rows with `smoothed`: the same as gaussian(), by window functions."""
+    reach = int(4 * sigma + 0.5)
+    kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    weights = F.array(*[F.lit(float(w)) for w in kernel / kernel.sum()])
+    w = Window.partitionBy(key).orderBy(at)
+    held = rows.withColumns({
+        "_i": F.row_number().over(w) - 1, "_n": F.count(F.lit(1)).over(Window.partitionBy(key)),
+        "_near": F.collect_list(F.col(column).cast("double")).over(w.rowsBetween(-reach, reach)),
+    })
+    j = lambda o: F.pmod(F.col("_i") + o - reach, 2 * F.col("_n"))
+    mirrored = lambda o: F.when(j(o) < F.col("_n"), j(o)).otherwise(2 * F.col("_n") - 1 - j(o))
+    low = F.greatest(F.col("_i") - reach, F.lit(0))
+    sums = F.aggregate(F.transform(weights, lambda x, o: x * F.get(F.col("_near"), (mirrored(o) - low).cast("int"))), F.lit(0.0), lambda a, x: a + x)
+    return held.withColumn("smoothed", sums).drop("_i", "_n", "_near")
 
 
 def winner(candidates: DataFrame, key: str) -> DataFrame:

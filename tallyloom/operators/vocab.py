@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import stat_tokens
+from tallyloom.functions.text import SPACE, stat_token, stat_token_count
 from tallyloom.operators.stats import exact_sum
 
 
@@ -18,8 +18,10 @@ def recorded(segments: DataFrame, key: str = "segment_id", words: str = "words")
 
 def fallback(segments: DataFrame, key: str, text: str, duration: str) -> DataFrame:
     """(word, key, n, duration) of segments without words: their cleaned tokens share the duration evenly."""
-    tokens = segments.select(key, F.col(duration).alias("d"), stat_tokens(F.col(text)).alias("t"))
-    each = tokens.select(key, (F.col("d") / F.size("t")).alias("s"), F.explode("t").alias("word"))
+    # an outer explode, since the filter that Spark infers from an inner one splits every text a second time
+    own = segments.select(key, (F.col(duration) / stat_token_count(F.col(text))).alias("s"), F.col(text).alias("text"))
+    each = own.select(key, "s", F.explode_outer(F.split("text", SPACE)).alias("raw"))
+    each = each.select(key, "s", stat_token(F.col("raw")).alias("word")).filter("word <> ''")
     return each.groupBy("word", key).agg(F.count(F.lit(1)).alias("n"), exact_sum(F.col("s")).alias("duration"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import joins
 from tallyloom.plans import binding as b
 from tallyloom.registry import query
-from tallyloom.session import table
+from tallyloom.session import fresh_path, table
 from tallyloom.streaming import streams
 
 
@@ -37,18 +37,11 @@ def session_windows(spark, d):
     return streams.sessions(events(spark, d), "at", "6 hours", "user_id").select("user_id", micros("start").alias("start"), micros("end").alias("stop"), "n")
 
 
-def scratch(spark, what):
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/tallyloom-checkpoints"
-    return f"{base.rstrip('/')}/tallyloom/{what}-{uuid.uuid4().hex}"
-
-
 @query("stream_windows", "SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start, event_type, count(*) n, sum(CAST(value AS DECIMAL(20,6)))::DOUBLE total FROM events GROUP BY 1, 2")
 def stream_windows(spark, d):
     """The tumbling windows, by a stream in complete mode."""
     s = streams.source(spark, f"{d}/events.parquet").withColumn("at", F.col("ts").cast("timestamp"))
-    out = streams.drained(streams.tumbling(s, "at", "1 hour", "event_type"), scratch(spark, "windows"), "complete")
+    out = streams.drained(streams.tumbling(s, "at", "1 hour", "event_type"), fresh_path(spark, "windows"), "complete")
     return out.select(micros("start").alias("start"), "event_type", "n", F.col("total").cast("double").alias("total"))
 
 
@@ -56,18 +49,23 @@ def stream_windows(spark, d):
 def stream_dedup(spark, d):
     """The first row of each user and event type, by a stream whose watermark outlasts the data."""
     s = streams.source(spark, f"{d}/events.parquet").withColumn("at", F.col("ts").cast("timestamp"))
-    out = streams.drained(streams.once(s, "at", "60 days", "user_id", "event_type").select("user_id", "event_type"), scratch(spark, "once"))
+    out = streams.drained(streams.once(s, "at", "60 days", "user_id", "event_type").select("user_id", "event_type"), fresh_path(spark, "once"))
     return out.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
 
 
-@query("stream_jobs")
+@query("stream_jobs", """WITH e AS (SELECT user_id AS job_id, ts, CASE WHEN event_type = 'view' THEN 'running' ELSE 'completed' END st FROM events), c AS (SELECT *, coalesce(lag(st) OVER (PARTITION BY job_id ORDER BY ts), '') <> st AS n FROM e),
+    l AS (SELECT job_id, arg_max(st, ts) AS status, max(ts) AS seen, count(*) FILTER (WHERE n) AS changes FROM c GROUP BY 1)
+    SELECT job_id, status, epoch_us(seen) AS seen, changes::INT AS changes FROM l UNION ALL SELECT job_id, 'interrupted', epoch_us(seen), changes::INT + 1 FROM l, (SELECT max(ts) AS m FROM events) WHERE status = 'running' AND seen + INTERVAL 60 SECOND <= m - INTERVAL 60 SECOND""")
 def stream_jobs(spark, d):
-    """Job states by keyed state with a timeout."""
+    """Job states by keyed state with a timeout: every job as it stands, and again those that fell silent."""
     s = streams.source(spark, f"{d}/events.parquet").select(F.col("user_id").alias("job_id"), F.col("ts").cast("timestamp").alias("at"), F.when(F.col("event_type") == "view", "running").otherwise("completed").alias("status"))
-    return streams.drained(streams.job_states(s), scratch(spark, "jobs"))
+    return streams.drained(streams.job_states(s), fresh_path(spark, "jobs")).select("job_id", "status", micros("seen").alias("seen"), "changes")
 
 
-@query("log_state")
+@query("log_state", """WITH e AS (SELECT user_id, event_id, event_type t, CASE WHEN event_type = 'signup' THEN 'v' || (event_id % 20) END v, CASE event_type WHEN 'click' THEN 'vad' WHEN 'purchase' THEN 'face' END g FROM events)
+    SELECT user_id, count(DISTINCT v) AS videos, arg_max(v, event_id) FILTER (WHERE v IS NOT NULL) AS current_video, CASE WHEN max(event_id) FILTER (WHERE g IS NOT NULL) >= coalesce(max(event_id) FILTER (WHERE v IS NOT NULL), -1)
+    THEN arg_max(g, event_id) FILTER (WHERE g IS NOT NULL) END AS stage, coalesce(arg_max(event_id % 9 + 1, event_id) FILTER (WHERE v IS NOT NULL), 0)::INT AS "position", CASE WHEN count(v) > 0 THEN 9 ELSE 0 END AS total,
+    count(*) FILTER (WHERE t = 'error') AS errors FROM e GROUP BY 1""")
 def log_state(spark, d):
     e = table(spark, d, "events")
     msg = F.when(F.col("event_type") == "signup", F.concat(F.lit("Processing video "), (F.col("event_id") % 9 + 1).cast("string"), F.lit("/9: v"), (F.col("event_id") % 20).cast("string"))) \

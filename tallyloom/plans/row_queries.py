@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import rules, text
 from tallyloom.functions.wer import wer
-from tallyloom.operators import changelog, identity, joins, ordered, tracks
+from tallyloom.operators import changelog, identity, joins, ordered, stats, tracks
 from tallyloom.plans import binding as b
 from tallyloom.plans.binding import SEG
 from tallyloom.registry import query
@@ -125,13 +125,39 @@ def unit_boundaries(spark, d):
     return ordered.boundaries(words, ["user_id"], ["start"], 36000).filter("end_type IS NOT NULL").groupBy(F.col("end_type").alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sentence_windows")
+#: One step of splitting runs of over 6 seconds at their largest gap, and ten of them: x are all runs that come up.
+SPLIT = """SELECT conv_id, CASE WHEN side = 0 THEN a ELSE -m.i + 1 END AS a, CASE WHEN side = 0 THEN -m.i ELSE z END AS z, CASE WHEN side = 0 THEN began ELSE 'word_gap' END AS began, CASE WHEN side = 0 THEN 'word_gap' ELSE ended END AS ended,
+    CASE WHEN side = 0 THEN s ELSE m.gs END AS s, CASE WHEN side = 0 THEN m.ge ELSE e END AS e FROM (SELECT x.conv_id, x.a, x.z, x.began, x.ended, x.s, x.e, max({{'g': gap.gap, 'm': -abs(gap.p - x.a - (x.z - x.a) / 2::DOUBLE), 'i': -gap.p, 'ge': gap.e, 'gs': gap.s}}) AS m
+    FROM x{n} x JOIN gap ON gap.conv_id = x.conv_id AND gap.p BETWEEN x.a AND x.z - 1 WHERE x.e - x.s > 6 AND x.z > x.a GROUP BY ALL), (VALUES (0), (1)) v(side)"""
+SPLITS = "    x0 AS (SELECT conv_id, a, z, began, ended, s, e FROM g), " + " ".join(f"x{n + 1} AS MATERIALIZED ({SPLIT.format(n=n)})," for n in range(10)) + " x AS (" + " UNION ALL ".join(f"SELECT * FROM x{n}" for n in range(11)) + "),"
+
+
+@query("sentence_windows", r"""WITH RECURSIVE w0 AS (SELECT conv_id, turn, role, unnest(string_split_regex(text, '\s+')) raw, generate_subscripts(string_split_regex(text, '\s+'), 1) - 1 AS i0 FROM conversations),
+    w1 AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY i0) - 1 i, row_number() OVER (PARTITION BY conv_id ORDER BY turn, i0) - 1 p FROM w0 WHERE raw <> ''),
+    w AS MATERIALIZED (SELECT *, turn * 400 + i * 0.4::DOUBLE s, turn * 400 + i * 0.4::DOUBLE + 0.35::DOUBLE e,
+    regexp_replace(upper(replace(translate(nfc_normalize(raw), 'şŞţŢ', 'șȘțȚ'), 'ß', 'SS')), '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g') c FROM w1),
+    b AS (SELECT *, CASE WHEN lead(s) OVER o IS NULL THEN 'media' WHEN right(rtrim(raw, '"''”„»’)]}'), 1) IN ('.', '?', '!', '…') THEN 'punctuation' WHEN lead(role) OVER o <> role THEN 'speaker_change'
+    WHEN lead(s) OVER o - e >= 0.5 THEN 'silence' END k FROM w WINDOW o AS (PARTITION BY conv_id ORDER BY p)),
+    n AS (SELECT *, coalesce(count(k) OVER (PARTITION BY conv_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) u FROM b),
+    u AS (SELECT conv_id, u, min(p) a, max(p) z, min(s) s, max(e) e, any_value(role) role, max(k) k FROM n GROUP BY 1, 2),
+    r AS (SELECT conv_id, u, u AS run, s AS rs, e AS re, role FROM u WHERE u = 0 UNION ALL
+    SELECT conv_id, u, CASE WHEN m THEN run ELSE u END, CASE WHEN m THEN rs ELSE s END, e, role FROM (SELECT u.conv_id, u.u, u.s, u.e, u.role, r.run, r.rs, r.re - r.rs < 2 AND u.s - r.re <= 1 AND u.e - r.rs <= 12 AND u.role = r.role AS m
+    FROM r JOIN u ON u.conv_id = r.conv_id AND u.u = r.u + 1)),
+    g AS MATERIALIZED (SELECT u.conv_id, run, min(a) a, max(z) z, min(s) s, max(e) e, min_by(coalesce(q.k, 'media'), u.u) began, max_by(u.k, u.u) ended FROM r JOIN u USING (conv_id, u) LEFT JOIN (SELECT conv_id, u + 1 AS u, k FROM u) q ON q.conv_id = u.conv_id AND q.u = u.u GROUP BY 1, 2),
+    gap AS MATERIALIZED (SELECT conv_id, p, e, lead(s) OVER o AS s, lead(s) OVER o - e AS gap FROM w WINDOW o AS (PARTITION BY conv_id ORDER BY p)),
+""" + SPLITS + r"""
+    y AS MATERIALIZED (SELECT * FROM x WHERE NOT (e - s > 6 AND z > a)),
+    t AS (SELECT *, greatest(0, s - CASE WHEN lag(e) OVER o IS NULL THEN 0.15::DOUBLE ELSE least(0.15::DOUBLE, greatest(0, (s - lag(e) OVER o) / 2)) END) s2, e + CASE WHEN lead(s) OVER o IS NULL THEN 0.15::DOUBLE ELSE least(0.15::DOUBLE, greatest(0, (lead(s) OVER o - e) / 2)) END e2 FROM y WINDOW o AS (PARTITION BY conv_id ORDER BY a)),
+    f AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY a) - 1 AS num FROM t WHERE e2 - s2 >= 1)
+    SELECT f.conv_id, num::INT AS number, round(s2, 6) AS starts, round(e2, 6) AS ends, count(*) AS n_words, coalesce(string_agg(c, ' ' ORDER BY p) FILTER (WHERE c <> ''), '') AS "text", any_value(role) AS voice, began, ended
+    FROM f JOIN w ON w.conv_id = f.conv_id AND w.p BETWEEN f.a AND f.z GROUP BY f.conv_id, num, s2, e2, began, ended""")
 def sentence_windows(spark, d):
     """Turns as words of about 0.4 s each; one recording for each conversation."""
     w = b.turns(spark, d).select("conv_id", "turn", "voice", F.posexplode(text.words(F.col("text"))).alias("i", "raw"))
     start = F.col("turn") * 400 + F.col("i") * 0.4
     words = w.select("conv_id", "turn", "i", start.alias("start"), (start + 0.35).alias("end"), "raw", text.clean_word(F.col("raw")).alias("clean"), F.col("voice").alias("speaker"))
-    return ordered.sentence_windows(words, "conv_id", ["turn", "i"])
+    found = ordered.sentence_windows(words, "conv_id", ["turn", "i"], ordered.Segmentation(hard_max=6.0))
+    return found.select("conv_id", F.col("window").alias("number"), F.round("start", 6).alias("starts"), F.round("end", 6).alias("ends"), F.col("n_words").cast("long").alias("n_words"), "text", "voice", F.col("start_type").alias("began"), F.col("end_type").alias("ended"))
 
 
 @query("interval_max_overlap", f"""WITH e AS ({EV}), w AS (SELECT event_id, user_id, tm AS s, tm + value * 100 AS t FROM e), r AS (SELECT user_id, event_id AS no, tm AS s, tm + 40000 AS t, event_type FROM e WHERE event_type IN ('purchase', 'signup')),
@@ -164,12 +190,12 @@ def track_overlap(spark, d):
     return met.filter(joins.overlap(*map(F.col, ("start", "end", "r_start", "r_end"))) >= 300).select("a", "b")
 
 
-@query("iou_pairs", """WITH x AS (SELECT l_orderkey k, l_linenumber n, l_quantity x, l_discount * 100 y, l_quantity + 5 w, l_tax * 100 + 5 h, l_partkey p FROM lineitem WHERE l_suppkey % 10 = 1),
+@query("iou_pairs", """WITH x AS (SELECT l_orderkey k, l_linenumber n, l_quantity x, l_discount * 100 y, l_quantity + 5 w, l_tax * 100 + 5 h, l_partkey p FROM lineitem),
     j AS (SELECT a.k, a.p d, b.p t, greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) i, a.w * a.h + b.w * b.h u FROM x a JOIN x b ON a.k = b.k AND a.p < b.p)
     SELECT k, d, t, round(i / (u - i), 6) iou FROM j WHERE i / (u - i) >= 0.3""")
 def iou_pairs(spark, d):
     box = F.struct(F.col("l_quantity").alias("x"), (F.col("l_discount") * 100).alias("y"), (F.col("l_quantity") + 5).alias("w"), (F.col("l_tax") * 100 + 5).alias("h"))
-    x = table(spark, d, "lineitem").filter("l_suppkey % 10 = 1").select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("d"), box.alias("box"))
+    x = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("d"), box.alias("box"))
     met = joins.box_pairs(x, x.select("k", F.col("d").alias("t"), F.col("box").alias("track_box")), ["k"], 0.3)
     return met.filter("d < t").select("k", "d", "t", F.round("iou", 6).alias("iou"))
 
@@ -203,16 +229,18 @@ def rolling_corr(spark, d):
     return ordered.rolling_corr(rows, ["user_id"], "at", "value", "x", 10).select("event_id", F.round("corr", 6).alias("c"))
 
 
-@query("best_lag")
+@query("best_lag", f"""WITH e AS (SELECT *, (event_id % 17)::DOUBLE x, row_number() OVER (PARTITION BY user_id ORDER BY tm) i FROM ({EV})),
+    j AS (SELECT a.user_id, b.i - a.i AS lag, corr(a.value, b.x) c, count(*) n FROM e a JOIN e b ON a.user_id = b.user_id AND b.i - a.i BETWEEN -15 AND 15 GROUP BY 1, 2),
+    r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(c, 9) DESC, abs(lag), lag) k FROM j WHERE n > 2 AND c IS NOT NULL AND NOT isnan(c)) SELECT user_id, lag, round(c, 6) AS corr FROM r WHERE k = 1""")
 def best_lag(spark, d):
     rows = events(spark, d).withColumn("x", (F.col("event_id") % 17).cast("double"))
-    return ordered.best_lag(rows, ["user_id"], "at", "value", "x", 15)
+    return ordered.best_lag(rows, ["user_id"], "at", "value", "x", 15).select("user_id", "lag", F.round("corr", 6).alias("corr"))
 
 
-@query("equal_chunks", """WITH x AS (SELECT l_orderkey k, l_partkey p, l_linenumber n, l_quantity q, greatest(1, ceil(l_quantity / 12))::INT c FROM lineitem WHERE l_suppkey % 20 = 3),
+@query("equal_chunks", """WITH x AS (SELECT l_orderkey k, l_partkey p, l_linenumber n, l_quantity q, greatest(1, ceil(l_quantity / 12))::INT c FROM lineitem),
     y AS (SELECT *, unnest(range(0, c)) i FROM x) SELECT k, p, i::INT part, round(q / c * i, 6) s, round(q / c * (i + 1), 6) t FROM y""")
 def equal_chunks(spark, d):
-    x = table(spark, d, "lineitem").filter("l_suppkey % 20 = 3").select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("p"), F.lit(0.0).alias("start"), F.col("l_quantity").alias("end"))
+    x = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_partkey").alias("p"), F.lit(0.0).alias("start"), F.col("l_quantity").alias("end"))
     return ordered.equal_chunks(x, 12.0).select("k", "p", "part", F.round("start", 6).alias("s"), F.round("end", 6).alias("t"))
 
 
@@ -272,29 +300,45 @@ def majority_region(spark, d):
     return identity.majority(table(spark, d, "lineitem"), "l_suppkey", "l_returnflag")
 
 
-@query("clean_words", r"""WITH w AS (SELECT unnest(string_split_regex(text, '\s+')) w FROM benchmark) SELECT regexp_replace(upper(replace(w, 'ß', 'SS')), '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g') c, count(*) n FROM w WHERE w <> '' GROUP BY 1""")
+@query("clean_words", r"""WITH w AS (SELECT unnest(string_split_regex(text, '\s+')) w FROM benchmark), m AS (SELECT unnest([w, '„' || w || 's' || chr(806) || 'i.', 'ş' || w || 'a' || chr(774) || '}']) w FROM w WHERE w <> '')
+    SELECT regexp_replace(upper(replace(translate(nfc_normalize(w), 'şŞţŢ', 'șȘțȚ'), 'ß', 'SS')), '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g') c, count(*) n FROM m GROUP BY 1""")
 def clean_words(spark, d):
+    """Each word as it is, and between marks with letters that are written as two characters or with a cedilla."""
     w = table(spark, d, "benchmark").select(F.explode(text.words(F.col("text"))).alias("w"))
-    return w.groupBy(text.clean_word(F.col("w")).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    marked = F.array("w", F.concat(F.lit("„"), "w", F.lit("s\u0326i.")), F.concat(F.lit("ş"), "w", F.lit("a\u0306}")))
+    return w.select(F.explode(marked).alias("w")).groupBy(text.clean_word(F.col("w")).alias("c")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sentence_ends", r"""WITH w AS (SELECT unnest(string_split_regex(text, '\s+')) w FROM documents) SELECT right(rtrim(w, '"''”’»)]'), 1) IN ('.', '?', '!', '…') e, count(*) n FROM w WHERE w <> '' GROUP BY 1""")
+@query("sentence_ends", r"""WITH w AS (SELECT unnest(string_split_regex(text, '\s+')) w FROM documents), m AS (SELECT unnest([w, w || '}', w || '„', w || '’)]']) w FROM w WHERE w <> '')
+    SELECT right(rtrim(w, '"''”„»’)]}'), 1) IN ('.', '?', '!', '…') e, count(*) n FROM m GROUP BY 1""")
 def sentence_ends(spark, d):
     w = table(spark, d, "documents").select(F.explode(text.words(F.col("text"))).alias("w"))
-    return w.groupBy(text.ends_sentence(F.col("w")).alias("e")).agg(F.count(F.lit(1)).alias("n"))
+    marked = F.array("w", *[F.concat("w", F.lit(mark)) for mark in ("}", "„", "’)]")])
+    return w.select(F.explode(marked).alias("w")).groupBy(text.ends_sentence(F.col("w")).alias("e")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("wer_turns")
+TURN_TOKENS = r"""SELECT conv_id, turn, list_filter(list_transform(string_split_regex(text, '\s+'), lambda x: upper(trim(replace(x, 'ß', 'SS'), '.,;:!?"''()[]'))), lambda x: x <> '') h FROM conversations"""
+
+
+@query("wer_turns", f"""WITH t AS (SELECT *, lag(h) OVER (PARTITION BY conv_id ORDER BY turn) r FROM ({TURN_TOKENS})),
+    x AS (SELECT *, list_reduce(list_transform(range(1, len(r) + 1), lambda i: [i]), lambda held, e: list_reduce(list_transform(range(1, len(h) + 1), lambda j: [j]),
+    lambda cells, f: list_append(cells, least(cells[-1] + 1, held[f[1] + 1] + 1, held[f[1]] + (h[f[1]] <> r[e[1]])::INT)), [held[1] + 1]), range(0, len(h) + 1)) row_ FROM t WHERE r IS NOT NULL)
+    SELECT t.conv_id, t.turn, CASE WHEN t.r IS NOT NULL THEN CASE WHEN len(t.r) = 0 THEN 0 ELSE round(x.row_[-1] / len(t.r), 4) END END AS wer FROM t LEFT JOIN x ON t.conv_id = x.conv_id AND t.turn = x.turn""")
 def wer_turns(spark, d):
     """The error rate of each turn against the one before it in its conversation."""
     w = Window.partitionBy("conv_id").orderBy("turn")
     return b.turns(spark, d).withColumn("before", F.lag("text").over(w)).select("conv_id", "turn", wer(F.col("before"), F.col("text")).alias("wer"))
 
 
-@query("url_ids", r"""SELECT page_id, nullif(regexp_extract('https://youtu.be/' || substr(md5(url), 1, 11), 'youtu\.be/([A-Za-z0-9_-]{11})', 1), '') id FROM pages""")
+@query("url_ids", r"""WITH u AS (SELECT page_id, substr(md5(url), 1, 11) x, url FROM pages), a AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN url WHEN 1 THEN 'https://youtu.be/' || x || '?t=1'
+    WHEN 2 THEN 'https://www.youtube.com/watch?v=' || x WHEN 3 THEN x ELSE 'https://youtube.com/embed/' || x END a FROM u)
+    SELECT page_id, coalesce(nullif(regexp_extract(a, '(?:youtube\.com/watch\?v=|youtu\.be/|youtube\.com/embed/)([A-Za-z0-9_-]{11})', 1), ''), nullif(regexp_extract(a, '^([A-Za-z0-9_-]{11})$', 1), '')) id FROM a""")
 def url_ids(spark, d):
-    link = F.concat(F.lit("https://youtu.be/"), F.substring(F.md5("url"), 1, 11))
-    return table(spark, d, "pages").select("page_id", text.video_id(link).alias("id"))
+    x = F.substring(F.md5("url"), 1, 11)
+    form = F.col("page_id") % 5
+    address = F.when(form == 0, F.col("url")).when(form == 1, F.concat(F.lit("https://youtu.be/"), x, F.lit("?t=1"))).when(form == 2, F.concat(F.lit("https://www.youtube.com/watch?v="), x)) \
+        .when(form == 3, x).otherwise(F.concat(F.lit("https://youtube.com/embed/"), x))
+    return table(spark, d, "pages").select("page_id", text.video_id(address).alias("id"))
 
 
 @query("json_props", """SELECT event_id, (json_extract_string(props, '$.k'))::BIGINT k FROM events""")
@@ -367,11 +411,12 @@ def stale_jobs(spark, d):
     return changelog.job_states(log, "2024-01-29 00:00:00", 60)
 
 
-@query("content_hash", "SELECT source, sha256(string_agg(sha256(text), chr(10) ORDER BY doc_id)) h FROM documents GROUP BY 1")
+@query("content_hash", """WITH a AS (SELECT source, doc_id // 1024 k, sha256(string_agg(sha256(text), chr(10) ORDER BY doc_id)) h FROM documents GROUP BY 1, 2),
+    b AS (SELECT source, k // 1024 k, sha256(string_agg(h, chr(10) ORDER BY a.k)) h FROM a GROUP BY 1, 2),
+    c AS (SELECT source, k // 1024 k, sha256(string_agg(h, chr(10) ORDER BY b.k)) h FROM b GROUP BY 1, 2) SELECT source, sha256(string_agg(h, chr(10) ORDER BY k)) h FROM c GROUP BY 1""")
 def content_hash(spark, d):
-    each = table(spark, d, "documents").select("source", "doc_id", F.sha2("text", 256).alias("h"))
-    whole = each.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", "h"))).alias("x"))
-    return whole.select("source", F.sha2(F.array_join(F.transform("x", lambda x: x["h"]), "\n"), 256).alias("h"))
+    each = table(spark, d, "documents").select("source", F.col("doc_id").alias("id"), F.sha2("text", 256).alias("h"))
+    return stats.tree_hash(each, "source", "id", "h")
 
 
 @query("tracker_greedy")
@@ -382,13 +427,40 @@ def tracker_greedy(spark, d):
     return tracks.track_boxes(boxes, "user_id")
 
 
-@query("one_euro")
+@query("one_euro", f"""WITH RECURSIVE e AS (SELECT user_id, tm, value v, row_number() OVER (PARTITION BY user_id ORDER BY tm) i FROM ({EV})),
+    o AS (SELECT user_id, tm, i, v AS y, 0::DOUBLE AS s FROM e WHERE i = 1 UNION ALL
+    SELECT user_id, tm, i, y + (v - y) / (1 + 25 / (2 * pi() * (1 + 0.3::DOUBLE * abs(s)))), s FROM (SELECT e.user_id, e.tm, e.i, e.v, o.y, o.s + ((e.v - o.y) * 25 - o.s) / (1 + 25 / (2 * pi())) AS s
+    FROM o JOIN e ON e.user_id = o.user_id AND e.i = o.i + 1)) SELECT user_id, tm AS moment, round(y, 6) AS smoothed FROM o""")
 def one_euro(spark, d):
-    return tracks.smooth(events(spark, d), "user_id", "at", "value")
+    return tracks.smooth(events(spark, d), "user_id", "at", "value").select("user_id", F.col("at").alias("moment"), F.round("smoothed", 6).alias("smoothed"))
+
+
+def kernel_sql(sigma):
+    """(o, k): offsets and weights of a Gaussian."""
+    reach = int(4 * sigma + 0.5)
+    return f"SELECT o, exp(-0.5::DOUBLE * (o / {sigma}::DOUBLE) ^ 2) / sum(exp(-0.5::DOUBLE * (o / {sigma}::DOUBLE) ^ 2)) OVER () AS k FROM range({-reach}, {reach + 1}) t(o)"
+
+
+@query("gaussian_smooth", f"""WITH e AS (SELECT user_id, event_id, value v, row_number() OVER (PARTITION BY user_id ORDER BY tm) - 1 i, count(*) OVER (PARTITION BY user_id) n FROM ({EV})), k AS ({kernel_sql(2.5)}),
+    j AS (SELECT user_id, event_id, k, (i + o + 8 * n) % (2 * n) AS m, n FROM e, k) SELECT j.user_id, j.event_id, round(sum(k * e.v), 6) AS smoothed FROM j JOIN e ON e.user_id = j.user_id AND e.i = CASE WHEN m < j.n THEN m ELSE 2 * j.n - 1 - m END GROUP BY 1, 2""")
+def gaussian_smooth(spark, d):
+    e = events(spark, d)
+    out = tracks.smooth(e, "user_id", "at", "value", "gaussian", sigma=2.5)
+    return e.select("event_id", "user_id", "at").join(out.drop("value"), ["user_id", "at"]).select("user_id", "event_id", F.round("smoothed", 6).alias("smoothed"))
+
+
+@query("hold_edges", f"""WITH e AS (SELECT *, CASE WHEN event_type IN ('purchase', 'view') THEN value END v FROM ({EV})),
+    n AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN tm END IGNORE NULLS) OVER b ax, last_value(v IGNORE NULLS) OVER b ay,
+    first_value(CASE WHEN v IS NOT NULL THEN tm END IGNORE NULLS) OVER f bx, first_value(v IGNORE NULLS) OVER f by_ FROM e
+    WINDOW b AS (PARTITION BY user_id ORDER BY tm ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), f AS (PARTITION BY user_id ORDER BY tm ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+    SELECT event_id, round(CASE WHEN v IS NOT NULL THEN v WHEN ay IS NULL OR by_ IS NULL THEN coalesce(ay, by_) ELSE ay + (by_ - ay) * (tm - ax) / (bx - ax) END, 6) v FROM n""")
+def hold_edges(spark, d):
+    rows = events(spark, d).withColumn("v", F.when(F.col("event_type").isin("purchase", "view"), F.col("value")))
+    return ordered.interpolate(rows, ["user_id"], "at", "v", hold_edges=True).select("event_id", F.round("v", 6).alias("v"))
 
 
-@query("active_speaker", """WITH c AS (SELECT l_orderkey k, l_linenumber t, l_quantity - 10 o, l_discount a, l_extendedprice z FROM lineitem WHERE l_suppkey % 5 = 0),
+@query("active_speaker", """WITH c AS (SELECT l_orderkey k, l_linenumber t, l_quantity - 10 o, l_discount a, l_extendedprice z FROM lineitem),
     r AS (SELECT k, t, o * a * z s, row_number() OVER (PARTITION BY k ORDER BY o * a * z DESC, t) n FROM c WHERE o * a * z > 0) SELECT k, t track, round(s, 4) score FROM r WHERE n = 1""")
 def active_speaker(spark, d):
-    c = table(spark, d, "lineitem").filter("l_suppkey % 5 = 0").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("track"), (F.col("l_quantity") - 10).alias("overlap"), F.col("l_discount").alias("asd"), F.col("l_extendedprice").alias("size"))
+    c = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("track"), (F.col("l_quantity") - 10).alias("overlap"), F.col("l_discount").alias("asd"), F.col("l_extendedprice").alias("size"))
     return tracks.winner(c, "k").select("k", "track", F.round("score", 4).alias("score"))

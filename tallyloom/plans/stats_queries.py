@@ -148,12 +148,12 @@ def cube_tiers(spark, d):
     return b.segments(spark, d).cube("tier", "review_status").agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("g"))
 
 
-@query("speakers_with_stats", """WITH t AS (SELECT l_suppkey, count(*) n FROM lineitem WHERE l_quantity > 45 GROUP BY 1)
-    SELECT s_suppkey speaker, coalesce(n, 0) total_segments FROM supplier LEFT JOIN t ON s_suppkey = l_suppkey""")
+@query("speakers_with_stats", """WITH t AS (SELECT o_custkey, count(*) n FROM orders GROUP BY 1)
+    SELECT c_custkey speaker, coalesce(n, 0) total_segments FROM customer LEFT JOIN t ON c_custkey = o_custkey""")
 def speakers_with_stats(spark, d):
-    n = b.segments(spark, d).filter("l_quantity > 45").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    return table(spark, d, "supplier").join(n, F.col("s_suppkey") == F.col("l_suppkey"), "left").select(
-        F.col("s_suppkey").alias("speaker"), F.coalesce("n", F.lit(0)).alias("total_segments"))
+    n = table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, d, "customer").join(n, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+        F.col("c_custkey").alias("speaker"), F.coalesce("n", F.lit(0)).alias("total_segments"))
 
 
 @query("interaction_types", f"""{S}, k AS (SELECT video_id, count(DISTINCT speaker_id) k FROM s GROUP BY 1)
@@ -259,10 +259,11 @@ def kpi_sql(spark, d):
         count(DISTINCT l_orderkey) FILTER (WHERE l_linestatus = 'F') finished FROM kpi_lineitem""")
 
 
-@query("region_balance", """WITH a AS (SELECT lang, count(*) n FROM documents WHERE n_chars > 3000 GROUP BY 1), v AS (SELECT lang, count(DISTINCT source) m FROM documents GROUP BY 1)
-    SELECT coalesce(a.lang, v.lang) lang, coalesce(n, m) n FROM a FULL JOIN v ON a.lang = v.lang""")
+@query("region_balance", """WITH a AS (SELECT n_regionkey k, count(*) n FROM customer JOIN nation ON c_nationkey = n_nationkey AND n_name = c_name GROUP BY 1), v AS (SELECT n_regionkey k, count(*) m FROM nation GROUP BY 1)
+    SELECT coalesce(a.k, v.k) k, coalesce(n, m) n FROM a FULL JOIN v ON a.k = v.k""")
 def region_balance(spark, d):
-    docs = table(spark, d, "documents")
-    a = docs.filter("n_chars > 3000").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    v = docs.groupBy("lang").agg(F.count_distinct("source").alias("m"))
-    return a.join(v, "lang", "full").select("lang", F.coalesce("n", "m").alias("n"))
+    """Where a region has rows of the finer breakdown these count, else those of the coarser one."""
+    nation = table(spark, d, "nation")
+    fine = table(spark, d, "customer").join(nation, (F.col("c_nationkey") == F.col("n_nationkey")) & (F.col("n_name") == F.col("c_name"))).groupBy(F.col("n_regionkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    coarse = nation.groupBy(F.col("n_regionkey").alias("k")).agg(F.count(F.lit(1)).alias("m"))
+    return fine.join(coarse, "k", "full").select("k", F.coalesce("n", "m").alias("n"))

@@ -26,6 +26,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's spark.checkpoint.dir.
+
+    Only where that is unset, and all runs in one process (as in tests), a folder of its own serves.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        import tempfile
+
+        base = f"file://{tempfile.mkdtemp(prefix='tallyloom-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def fresh_path(spark: SparkSession, what: str) -> str:
+    """A path below the shared folder that nothing has used."""
+    import uuid
+
+    return f"{shared_dir(spark)}/tallyloom/{what}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the session's checkpoint folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once a session; a session that has it is left alone."""
     import tempfile

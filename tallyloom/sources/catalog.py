@@ -92,6 +92,32 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
         "path", "length", F.col("modificationTime").alias("modified"))
 
 
+def log_chunks(spark: SparkSession, path: str, offsets: DataFrame, max_bytes: int = 512 << 10) -> DataFrame:
+    """(path, chunk, offset) of log files below path: the bytes from each file's offset on, at most max_bytes, and the new offset.
+
+    offsets: (path, offset); a file that isn't named is read from its begin. A chunk ends before a character that is cut.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    both = files.join(offsets.select("path", F.col("offset").alias("_at")), "path", "left").withColumn("_at", F.least(F.coalesce("_at", F.lit(0)), F.length("content")))
+    raw = F.expr(f"substring(content, cast(_at as int) + 1, {max_bytes})")
+    cut = both.select("path", "_at", raw.alias("raw"), (F.length("content") > F.col("_at") + max_bytes).alias("_more"))
+    # a UTF-8 character has up to three bytes after its first: the first prefix that is valid is the chunk
+    whole = F.coalesce(*[F.when(F.expr(f"is_valid_utf8(cast(substring(raw, 1, length(raw) - {n}) as string))"), F.expr(f"substring(raw, 1, length(raw) - {n})")) for n in range(4)], F.col("raw"))
+    told = cut.withColumn("raw", F.when(F.col("_more"), whole).otherwise(F.col("raw")))
+    return told.select("path", F.col("raw").cast("string").alias("chunk"), (F.col("_at") + F.length("raw")).alias("offset"))
+
+
+def merged(rows: DataFrame, words: DataFrame, key: str, order: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """rows with their words embedded in order (null without any), and the keys of words that no row has."""
+    held = embed_words(words, key, order, columns)
+    return rows.join(held, key, "left"), held.select(key).join(rows.select(key), key, "left_anti")
+
+
+def array_counts(documents: DataFrame, arrays: Sequence[str]) -> DataFrame:
+    """One row: documents and, for each array, how many items all of them hold."""
+    return documents.agg(F.count(F.lit(1)).alias("documents"), *[F.coalesce(F.sum(F.greatest(F.size(a), F.lit(0))), F.lit(0)).alias(a) for a in arrays])
+
+
 def import_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """(video_id, url) of lines 'URL' or 'id URL'; blank lines and comments give none."""
     parts = F.split(F.trim(column), r"\s+")
