@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import shared_dir
+
 #: The white space of the contracts: blank and tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    It is the session's spark.checkpoint.dir; only where that is unset (tests on one machine) a local folder serves.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='tallyloom-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 #: Scratch paths and tables that this driver has made and not yet removed.
 _MADE: dict[str, str] = {}
 
@@ -46,11 +33,19 @@ def clear_scratch(spark: SparkSession) -> int:
     return n
 
 
-def cut(df: DataFrame, what: str) -> DataFrame:
+def cut(df: DataFrame, what: str, codec: str = "zstd") -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends there and survives lost executors."""
     path = scratch(df.sparkSession, what)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", codec).parquet(path)
+    held = df.sparkSession.read.schema(df.schema).parquet(path)
+    held.scratch_path = path
+    return held
+
+
+def discard(held: DataFrame) -> None:
+    """Remove a table of cut() that nothing reads any more."""
+    remove(held.sparkSession, held.scratch_path)
+    _MADE.pop(held.scratch_path, None)
 
 
 def cut_in_buckets(df: DataFrame, what: str, key: str) -> DataFrame:
@@ -121,26 +116,53 @@ LEAST_BITS, MOST_BITS = 18, 28
 BITMAP_BITS = 32768
 
 
+def words_of_map(bitmap: Column) -> Column:
+    """A bitmap's bytes as numbers of 64 bits; bit i of the map is bit i % 64 of number i / 64."""
+    byte = lambda i, k: F.hex(F.substring(bitmap, i * 8 + (8 - k), F.lit(1)))
+    return F.transform(F.sequence(F.lit(0), F.lit(BITMAP_BITS // 64 - 1)), lambda i: F.conv(F.concat(*[byte(i, k) for k in range(8)]), 16, -10).cast("bigint"))
+
+
+def key_bits(keys: DataFrame) -> int | None:
+    """Bits of a bitmap for the keys, by their number up to a fixed bound; None if there are too many for it to tell much."""
+    n = keys.count()
+    return None if n > 1 << (MOST_BITS - 1) else min(max((FILTER_SHARE * n).bit_length(), LEAST_BITS), MOST_BITS)
+
+
+def bitmap_rows(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """(_part, _map): the bitmap of keys (64-bit hashes), 4 kB a row."""
+    bit = F.pmod(F.col(key), F.lit(1 << bits))
+    parts = keys.select(F.floor(bit / BITMAP_BITS).cast("int").alias("_part"), (bit % BITMAP_BITS).alias("_bit"))
+    return parts.groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+
+
 def may_be(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """rows with _may: false only if the key (a 64-bit hash) is surely not among keys.
 
-    The keys set bits of a bitmap, sized by their number up to a fixed bound, which is broadcast in rows of 4 kB. With
-    more keys than half of the bound's bits it would tell little and is left out: all rows then have a true _may, so that
-    the join behind it has more to do but finds the same.
+    The keys set bits of a bitmap, sized by their number up to a fixed bound, which is broadcast. With more keys than half
+    of the bound's bits it would tell little and is left out: all rows then have a true _may, so that the join behind it
+    has more to do but finds the same.
     """
-    n = keys.count()
-    bits = min(max((FILTER_SHARE * n).bit_length(), LEAST_BITS), MOST_BITS)
-    if n > 1 << (MOST_BITS - 1):
+    bits = key_bits(keys)
+    if bits is None:
         return rows.withColumn("_may", F.lit(True))
-    bit = lambda c: F.pmod(F.col(c), F.lit(1 << bits))
-    held = (
-        keys.select(F.floor(bit(key) / BITMAP_BITS).cast("int").alias("_part"), (bit(key) % BITMAP_BITS).alias("_bit"))
-        .groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_map"))
-    )
-    at = (bit(key) % BITMAP_BITS).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("_map"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    near = rows.join(F.broadcast(held), F.floor(bit(key) / BITMAP_BITS).cast("int") == F.col("_part"), "left")
-    return near.withColumn("_may", F.coalesce(F.getbit(byte, at % 8) == 1, F.lit(False))).drop("_part", "_map")
+    # each row of the bitmap as 512 numbers, so that a look-up is an index and a shift
+    held = bitmap_rows(keys, key, bits).select("_part", words_of_map(F.col("_map")).alias("_words"))
+    at = F.pmod(F.col(key), F.lit(BITMAP_BITS)).cast("int")
+    part = F.shiftright(F.pmod(F.col(key), F.lit(1 << bits)), BITMAP_BITS.bit_length() - 1).cast("int")
+    near = rows.join(F.broadcast(held), part == F.col("_part"), "left")
+    hit = F.getbit(F.get("_words", F.shiftright(at, 6)), at.bitwiseAND(63)) == 1
+    return near.withColumn("_may", F.coalesce(hit, F.lit(False))).drop("_part", "_words")
+
+
+def shared_bitmap(keys: DataFrame, key: str):
+    """The bitmap for Python tasks: a broadcast of (bits, bytes), at most 32 MB, or None if there are too many keys."""
+    bits = key_bits(keys)
+    if bits is None:
+        return None
+    whole = bytearray((1 << bits) // 8)
+    for part, held in bitmap_rows(keys, key, bits).toLocalIterator():
+        whole[part * BITMAP_BITS // 8 : (part + 1) * BITMAP_BITS // 8] = held
+    return keys.sparkSession.sparkContext.broadcast((bits, bytes(whole)))
 
 
 def may_be_among(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
