@@ -2,8 +2,8 @@
 
 Texts are split into pre-tokens. A block of documents lists its distinct pre-tokens, and for each position of each
 document the number of the pre-token in this list. The distinct words of all blocks are dealt out by a hash of the word,
-each is encoded once, its ids go back to the blocks that have it, and a join on the block puts every document together
-by position. Decoding joins the ids to the token-byte table. Words, numbers and ids travel packed and compressed,
+each is encoded once, its ids go back to the blocks that have it, and a join on the block's group puts every document
+together by position. Decoding joins the ids to the token-byte table. Words, numbers and ids travel packed and compressed,
 a row for each block and bucket of words; rows of single words took more than twice the disk.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes; rows with the same id stay separate rows;
@@ -28,6 +28,8 @@ from tallyloom.session import ship, table
 
 #: Bytes of text whose documents share one list of distinct words; bounds the memory of every Python step.
 BLOCK_BYTES = 16 << 20
+#: Blocks of a task that are put together by one call; the table of blocks has a file for each such group.
+BLOCKS_A_GROUP = 8
 #: Buckets of distinct words for each shuffle partition.
 BUCKETS_A_PARTITION = 2
 #: Documents of a block that are put together at a time.
@@ -114,11 +116,11 @@ def split_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int =
             lists = np.split(order, edges[1:]) if len(order) else []
             blobs = [pack([x, [len(own[i]) for i in x]], b"".join([own[i] for i in x])) for x in lists]
             texts = pack([[len(c) for c in codes], np.concatenate(codes)])
-            block = (task << 24) + seq
+            block, group = (task << 24) + seq, (task << 21) + seq // BLOCKS_A_GROUP
             n = len(blobs)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "block": pa.array([block] * (n + 1), pa.int64()),
+                    "group": pa.array([group] * (n + 1), pa.int64()), "block": pa.array([block] * (n + 1), pa.int64()),
                     "bucket": pa.array([*(int(bucket[x[0]]) for x in lists), None], pa.int32()),
                     "blob": pa.array([*blobs, texts], pa.binary()),
                     "ids": pa.array([*[None] * n, ids], pa.list_(kind)),
@@ -137,11 +139,11 @@ def split_blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int =
         if ids:
             yield from flush()
 
-    return docs.mapInArrow(split, f"block bigint, bucket int, blob binary, ids array<{id_type}>")
+    return docs.mapInArrow(split, f"group bigint, block bigint, bucket int, blob binary, ids array<{id_type}>")
 
 
 def encode_buckets(words: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(block, blob): the numbers of a block's words in one bucket, how many ids each has, and the ids.
+    """(group, block, blob): the numbers of a block's words in one bucket, how many ids each has, and the ids.
 
     All blocks' rows of a bucket come to one task, which encodes each of the bucket's distinct words once.
     """
@@ -163,10 +165,10 @@ def encode_buckets(words: DataFrame, ranks_path: str, pattern: str) -> DataFrame
                     ids.append(found)
                 flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64)
                 blobs.append(pack([number, [len(i) for i in ids], flat]))
-            yield pa.RecordBatch.from_pydict({"block": batch.column("block"), "blob": pa.array(blobs, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"group": batch.column("group"), "block": batch.column("block"), "blob": pa.array(blobs, pa.binary())})
 
     dealt = words.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(encode, "block bigint, blob binary")
+    return dealt.mapInArrow(encode, "group bigint, block bigint, blob binary")
 
 
 def decode_documents(encoded: DataFrame, ids_col: str = "ids", out_col: str = "decoded", ranks_path: str | None = None) -> DataFrame:
@@ -203,28 +205,36 @@ def decode_documents(encoded: DataFrame, ids_col: str = "ids", out_col: str = "d
 def reassemble(words: DataFrame, docs: DataFrame, id_type: str) -> DataFrame:
     """Per block: words (number, ids) joined to the documents' positions, to (id, ids)."""
 
-    def build(left: pa.Table, right: pa.Table) -> pa.Table:
-        held = [unpack(b, 3) for b in left.column("blob").to_pylist()]
+    def block_lists(blobs: list[bytes], docs_blob: bytes, keys: pa.Array) -> list[pa.Table]:
+        held = [unpack(b, 3) for b in blobs]
         number, size, flat = (np.concatenate([np.zeros(0, "<u4"), *x]) for x in (zip(*held, strict=True) if held else [[], [], []]))
         count, start = np.zeros(len(number), np.int32), np.zeros(len(number), np.int32)
         count[number] = size
         start[number] = np.cumsum(size, dtype=np.int32) - size.astype(np.int32)
         flat, out = flat.astype(np.int32), []
-        for keys, blob in zip(right.column("ids"), right.column("blob").to_pylist(), strict=True):
-            n_words, codes = unpack(blob, 2)
-            ends = np.concatenate([[0], np.cumsum(n_words, dtype=np.int64)])
-            for at in range(0, len(n_words), DOCS_A_STEP):
-                own = ends[at : at + DOCS_A_STEP + 1]
-                word = codes[own[0] : own[-1]]
-                n_ids = count[word]
-                stop = np.cumsum(n_ids, dtype=np.int32)
-                take = np.arange(stop[-1] if len(stop) else 0, dtype=np.int32) + np.repeat(start[word] - (stop - n_ids), n_ids)
-                edges = np.concatenate([np.zeros(1, np.int32), stop])[own - own[0]]
-                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat[take]))
-                out.append(pa.table({"id": keys.values.slice(at, len(own) - 1), "ids": lists}))
+        n_words, codes = unpack(docs_blob, 2)
+        ends = np.concatenate([[0], np.cumsum(n_words, dtype=np.int64)])
+        for at in range(0, len(n_words), DOCS_A_STEP):
+            own = ends[at : at + DOCS_A_STEP + 1]
+            word = codes[own[0] : own[-1]]
+            n_ids = count[word]
+            stop = np.cumsum(n_ids, dtype=np.int32)
+            take = np.arange(stop[-1] if len(stop) else 0, dtype=np.int32) + np.repeat(start[word] - (stop - n_ids), n_ids)
+            edges = np.concatenate([np.zeros(1, np.int32), stop])[own - own[0]]
+            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(flat[take]))
+            out.append(pa.table({"id": keys.slice(at, len(own) - 1), "ids": lists}))
+        return out
+
+    def build(left: pa.Table, right: pa.Table) -> pa.Table:
+        blobs: dict[int, list[bytes]] = {}
+        for block, blob in zip(left.column("block").to_pylist(), left.column("blob"), strict=True):
+            blobs.setdefault(block, []).append(blob.as_py())
+        out = []
+        for block, keys, blob in zip(right.column("block").to_pylist(), right.column("ids"), right.column("blob"), strict=True):
+            out += block_lists(blobs.pop(block, []), blob.as_py(), keys.values)
         return pa.concat_tables(out) if out else pa.table({"id": pa.array([], right.schema.field("ids").type.value_type), "ids": pa.array([], pa.list_(pa.int32()))})
 
-    return words.groupBy("block").cogroup(docs.groupBy("block")).applyInArrow(build, f"id {id_type}, ids array<int>")
+    return words.groupBy("group").cogroup(docs.groupBy("group")).applyInArrow(build, f"id {id_type}, ids array<int>")
 
 
 def encode_documents(
@@ -238,9 +248,9 @@ def encode_documents(
     own = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     id_type = own.schema["id"].dataType.simpleString()
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * BUCKETS_A_PARTITION
-    blocks = cut_in_buckets(split_blocks(own, pattern, buckets, block_bytes), "bpe_blocks", "block")
-    words = encode_buckets(blocks.filter("bucket IS NOT NULL").select("block", "bucket", "blob"), ranks_path, pattern)
-    texts = blocks.filter("bucket IS NULL").select(*[F.col(c).alias(c) for c in ("block", "ids", "blob")])
+    blocks = cut_in_buckets(split_blocks(own, pattern, buckets, block_bytes), "bpe_blocks", "group")
+    words = encode_buckets(blocks.filter("bucket IS NOT NULL").select("group", "block", "bucket", "blob"), ranks_path, pattern)
+    texts = blocks.filter("bucket IS NULL").select(*[F.col(c).alias(c) for c in ("group", "block", "ids", "blob")])
     return reassemble(words, texts, id_type).withColumnRenamed("id", id_col)
 
 
