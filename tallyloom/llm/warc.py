@@ -120,6 +120,8 @@ def normalise_file(source, sink, level: int = LEVEL) -> Iterator[tuple[int, int,
     while (header := stream.until(END)) is not None:
         fields, begin = fields_of(header), at
         engine = zlib.compressobj(level, zlib.DEFLATED, 31)
+        if not fields.get("content-length", "").isdigit():
+            raise ValueError(f"record without a length: {fields.get('warc-record-id', '')}")
         n = int(fields["content-length"]) + len(END)
         at += sink.write(engine.compress(header))
         for part in stream.pieces(n):

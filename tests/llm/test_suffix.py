@@ -56,8 +56,8 @@ def test_text_ids(spark):
 def test_text_of_over_a_million_bytes(spark):
     r = random.Random(6)
     block = prose(300, r)
-    long = "".join(prose(150, r) + block[a : a + 180] for a in (r.randrange(0, 800) for _ in range(900)))
-    assert len(long) > 1 << 20
+    long = "".join(prose(150, r) + block[a : a + 180] for a in (r.randrange(0, 800) for _ in range(1100)))
+    assert len(long.encode()) > 1 << 20
     rows = [(1, block, "y", 1, 2), (2, long, "y", 1, 2), (3, long[700_000:700_350], "y", 1, 2)]
     want = brute_suffix({1: block, 2: long, 3: rows[2][1]})
     assert got(spark, rows) == sorted((str(i), *v) for i, v in want.items())
