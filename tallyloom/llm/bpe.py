@@ -27,9 +27,10 @@ from tallyloom.llm.common import cut_in_buckets, text_of
 from tallyloom.session import ship, table
 
 #: Bytes of text whose documents share one list of distinct words; bounds the memory of every Python step.
-BLOCK_BYTES = 16 << 20
-#: Blocks of a task that are put together by one call; the table of blocks has a file for each such group.
-BLOCKS_A_GROUP = 8
+BLOCK_BYTES = 12 << 20
+#: Blocks of a task that are put together by one call; the table of blocks has a file for each such group. More of them, or
+#: larger blocks, mean fewer files where executors have more than 3 GB.
+BLOCKS_A_GROUP = 1
 #: Buckets of distinct words for each shuffle partition.
 BUCKETS_A_PARTITION = 2
 #: Documents of a block that are put together at a time.
