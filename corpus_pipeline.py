@@ -2,6 +2,10 @@
 
 Documents that the quality classifier rejects go; repeated chunks of lines go; one document of each near-duplicate
 class stays; sources are mixed to their target weights, documents of small ones several times; the rest is encoded.
+
+Defined cases: a null text counts as empty in every stage, and comes out as it went in; rows without an id are rows like
+others, after all those with one; rows that repeat are one document to the near-duplicate stage, which keeps one of them;
+very long texts go through whole; no rows give no rows; other columns go along untouched, whatever their names.
 """
 
 from __future__ import annotations
