@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,19 +53,17 @@ class Segmentation:
     pad: float = 0.15
 
 
-def _voice(run: pd.DataFrame) -> str | None:
-    named = run["speaker"].dropna()
-    if named.empty:
-        return None
-    n = named.value_counts(sort=False)
-    return n.index[n.to_numpy().argmax()]
+def _voice(speakers: Sequence[str | None]) -> str | None:
+    """The most frequent; the first seen of equals; None if all are missing."""
+    n = Counter(x for x in speakers if x is not None)
+    return max(n, key=n.get) if n else None
 
 
-def _largest_gap(run: pd.DataFrame) -> int:
+def _largest_gap(starts: np.ndarray, ends: np.ndarray) -> int:
     """Index of the word after which the longest pause lies; the one nearest the middle of equals."""
-    gap = run["start"].to_numpy()[1:] - run["end"].to_numpy()[:-1]
-    middle = (len(run) - 1) / 2
-    return max(range(len(gap)), key=lambda i: (gap[i], -abs(i - middle)))
+    gap, middle = starts[1:] - ends[:-1], (len(starts) - 1) / 2
+    widest = np.flatnonzero(gap == gap.max())
+    return int(widest[np.abs(widest - middle).argmin()])
 
 
 def sentence_windows(words: DataFrame, key: str, order: Sequence[str], limits: Segmentation = Segmentation()) -> DataFrame:
@@ -77,42 +78,45 @@ def sentence_windows(words: DataFrame, key: str, order: Sequence[str], limits: S
     by = list(order)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        name, runs, kind_before = pdf[key].iloc[0], [], "media"
-        for _, run in pdf.sort_values(by).groupby("unit", sort=True):
-            end_type = run["end_type"].iloc[-1]
-            item = (run, kind_before, end_type)
-            kind_before = end_type
+        own = pdf.sort_values(by)
+        starts, ends = own["start"].to_numpy(float), own["end"].to_numpy(float)
+        speakers = [None if pd.isna(x) else x for x in own["speaker"]]
+        kinds, clean = own["end_type"].tolist(), own["clean"].tolist()
+        edges = [0, *(np.flatnonzero(np.diff(own["unit"].to_numpy())) + 1).tolist(), len(own)]
+        runs, before = [], "media"  # (first word, last word + 1, what began it, what ended it)
+        for a, z in pairwise(edges):
+            began, before = before, kinds[z - 1]
             if runs:
-                last, began, _ = runs[-1]
-                span, voices = (last["start"].iloc[0], last["end"].iloc[-1]), (_voice(last), _voice(run))
-                short = span[1] - span[0] < limits.target_min and run["start"].iloc[0] - span[1] <= limits.merge_gap
-                if short and run["end"].iloc[-1] - span[0] <= limits.target_max and (None in voices or voices[0] == voices[1]):
-                    runs[-1] = (pd.concat([last, run]), began, end_type)
-                    continue
-            runs.append(item)
+                first, last, kind_first, _ = runs[-1]
+                short = ends[last - 1] - starts[first] < limits.target_min and starts[a] - ends[last - 1] <= limits.merge_gap
+                if short and ends[z - 1] - starts[first] <= limits.target_max:
+                    voices = _voice(speakers[first:last]), _voice(speakers[a:z])
+                    if None in voices or voices[0] == voices[1]:
+                        runs[-1] = (first, z, kind_first, before)
+                        continue
+            runs.append((a, z, began, before))
         whole = []
-        for item in runs:
-            todo = [item]
+        for run in runs:
+            todo = [run]
             while todo:
-                run, began, ended = todo.pop()
-                length = run["end"].iloc[-1] - run["start"].iloc[0]
-                if limits.hard_max is None or length <= limits.hard_max or len(run) < 2:
-                    whole.append((run, began, ended))
+                a, z, began, ended = todo.pop()
+                if limits.hard_max is None or ends[z - 1] - starts[a] <= limits.hard_max or z - a < 2:
+                    whole.append((a, z, began, ended))
                     continue
-                at = _largest_gap(run) + 1
-                todo += [(run.iloc[at:], "word_gap", ended), (run.iloc[:at], began, "word_gap")]
+                at = a + _largest_gap(starts[a:z], ends[a:z]) + 1
+                todo += [(at, z, "word_gap", ended), (a, at, began, "word_gap")]
         rows = []
-        for i, (run, began, ended) in enumerate(whole):
-            start, end = run["start"].iloc[0], run["end"].iloc[-1]
+        for i, (a, z, began, ended) in enumerate(whole):
+            start, end = starts[a], ends[z - 1]
             room = [limits.pad, limits.pad]
             if i:
-                room[0] = min(limits.pad, max(0.0, (start - whole[i - 1][0]["end"].iloc[-1]) / 2))
+                room[0] = min(limits.pad, max(0.0, (start - ends[whole[i - 1][1] - 1]) / 2))
             if i + 1 < len(whole):
-                room[1] = min(limits.pad, max(0.0, (whole[i + 1][0]["start"].iloc[0] - end) / 2))
+                room[1] = min(limits.pad, max(0.0, (starts[whole[i + 1][0]] - end) / 2))
             first, last = max(0.0, start - room[0]), end + room[1]
             if last - first >= limits.hard_min:
-                text = " ".join(w for w in run["clean"] if w)
-                rows.append((name, len(rows), first, last, len(run), text, _voice(run) or "", began, ended))
+                text = " ".join(w for w in clean[a:z] if w)
+                rows.append((pdf[key].iloc[0], len(rows), first, last, z - a, text, _voice(speakers[a:z]) or "", began, ended))
         return pd.DataFrame(rows, columns=[key, "window", "start", "end", "n_words", "text", "voice", "start_type", "end_type"])
 
     schema = f"{key} {kind}, window int, start double, end double, n_words int, text string, voice string, start_type string, end_type string"

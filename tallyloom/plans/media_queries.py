@@ -9,7 +9,8 @@ from tallyloom.operators.stats import rounded
 from tallyloom.plans import binding as b
 from tallyloom.plans import serving
 from tallyloom.plans.stats_queries import consensus
-from tallyloom.registry import query
+from tallyloom.plans.binding import SEG
+from tallyloom.registry import ORACLE, query
 from tallyloom.session import ship, table
 
 
@@ -73,6 +74,19 @@ def word_confidence(spark, d):
     return out.select("l_orderkey", F.round("mean", 6).alias("mean"), "least", F.round("p25", 6).alias("p25"), "low_quarter")
 
 
-@query("overview_payload")
+def fresh_sql(name):
+    """The reference SQL of a query over the segments that aren't rejected."""
+    return ORACLE[name].replace(f"WITH s AS ({SEG})", f"WITH s AS (SELECT * FROM ({SEG}) WHERE review_status <> 'rejected')")
+
+
+def unpivoted(name, part, counts, values):
+    each = [f"SELECT '{part}' AS part, '{c}' AS key, {c}::BIGINT AS n, NULL::DOUBLE AS value FROM x" for c in counts] + [f"SELECT '{part}', '{c}', NULL, {c}::DOUBLE FROM x" for c in values]
+    return f"SELECT * FROM (WITH x AS ({fresh_sql(name)}) {' UNION ALL '.join(each)})"
+
+
+@query("overview_payload", " UNION ALL ".join([
+    unpivoted("dataset_overview", "totals", ["segments", "videos", "speakers"], ["hours"]), unpivoted("duration_quantiles", "duration", [], ["p25", "median", "p75", "p95"]),
+    f"SELECT 'bands', band, n, duration FROM ({fresh_sql('duration_bands')})", unpivoted("speaker_balance", "balance", ["n_speakers", "with_10min", "under_1min"], ["top1_pct", "top10_pct"]),
+    f"SELECT 'funnel', step, n, duration FROM ({fresh_sql('training_funnel')})"]))
 def overview_payload(spark, d):
     return serving.overview(consensus(b.segments(spark, d)))

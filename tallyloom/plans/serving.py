@@ -45,17 +45,6 @@ def speaker_list(segments: DataFrame) -> DataFrame:
     return documents(stats.speaker_stats(segments), "speaker_id")
 
 
-def overview(segments: DataFrame) -> DataFrame:
-    """One document of totals, quantiles, bands, balance and funnel; each part is a small aggregate."""
-    fresh = segments.filter(not_rejected(F.col("review_status")))
-    rows = lambda df, name: df.agg(F.to_json(F.collect_list(F.struct("*"))).alias("json")).select(F.lit(name).alias("part"), "json")
-    parts = {"totals": stats.dataset_overview(fresh), "duration": stats.quantiles(fresh, "duration"), "bands": stats.duration_bands(fresh), "balance": stats.speaker_balance(fresh), "funnel": stats.training_funnel(fresh)}
-    out = None
-    for name, df in parts.items():
-        out = rows(df, name) if out is None else out.unionAll(rows(df, name))
-    return out
-
-
 def _part(rows: DataFrame, part: str, key: Column, n: Column, value: Column) -> DataFrame:
     return rows.select(F.lit(part).alias("part"), key.cast("string").alias("key"), n.cast("bigint").alias("n"), value.cast("double").alias("value"))
 
@@ -134,6 +123,23 @@ def segment_payload(segments: DataFrame) -> DataFrame:
     ])
 
 
+def overview(segments: DataFrame) -> DataFrame:
+    """(part, key, n, value) of totals, quantiles, bands, balance and funnel; each part is a small aggregate."""
+    fresh = segments.filter(not_rejected(F.col("review_status")))
+    quantiles, balance = stats.quantiles(fresh, "duration"), stats.speaker_balance(fresh)
+    return _union([
+        _single(stats.dataset_overview(fresh), "totals", ["hours"], ["segments", "videos", "speakers"]), _single(quantiles, "duration", quantiles.columns),
+        _part(stats.duration_bands(fresh), "bands", F.col("band"), F.col("n"), F.col("duration")), _single(balance, "balance", ["top1_pct", "top10_pct"], ["n_speakers", "with_10min", "under_1min"]),
+        _part(stats.training_funnel(fresh), "funnel", F.col("step"), F.col("n"), F.col("duration")),
+    ])
+
+
+def as_json(payload: DataFrame) -> DataFrame:
+    """(part, json): a payload's parts as documents of their keys."""
+    entry = F.struct("key", F.struct("n", "value"))
+    return payload.groupBy("part").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("json"))
+
+
 #: The goal of the corpus in hours.
 TARGET_HOURS = 200
 
