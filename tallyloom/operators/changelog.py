@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions.text import stat_tokens
+from tallyloom.functions.wer import wer
+
 
 def latest(log: DataFrame, key: str, version: str) -> DataFrame:
     """The newest row of each key; ties are broken by the whole row, so that reruns agree."""
@@ -154,6 +157,12 @@ def corrections(proposals: DataFrame, pairs: DataFrame, key: str, column: str, a
     return done, own.select(key).join(proposals, key, "left_anti")
 
 
+def recomputed_wer(segments: DataFrame, original: str = "original_text", text: str = "text", key: str = "segment_id") -> DataFrame:
+    """(key, wer, wer_words) of edited segments that have an original to compare with; others keep what they had."""
+    some = segments.filter(F.coalesce(F.trim(original), F.lit("")) != "")
+    return some.select(key, wer(F.col(original), F.col(text)).alias("wer"), F.size(stat_tokens(F.col(original))).alias("wer_words"))
+
+
 def newest_backups(files: DataFrame, name: str, keep: int = 5) -> DataFrame:
     """files with expired: true beyond the newest `keep` names."""
     newest = files.select(name).orderBy(F.desc(name)).limit(keep)

@@ -323,6 +323,18 @@ def distributions(spark, d):
     return serving.distributions(b.clips(spark, d), ["asd_score", "wer", "duration"])
 
 
+@query("region_rollup", f"""{C}, v AS (SELECT source AS video_id, any_value(lang) AS region FROM (SELECT source, lang, row_number() OVER (PARTITION BY source ORDER BY doc_id) r FROM documents) WHERE r = 1 GROUP BY 1)
+    SELECT v.region, count(DISTINCT v.video_id) AS videos, count(c.segment_id) AS segments, {half_up(dec('duration'), 1)} AS total_s, {half_up('100 * count(c.segment_id) / (SELECT count(*) FROM c WHERE review_status <> ' + chr(39) + 'rejected' + chr(39) + ')::DOUBLE', 1)} AS pct
+    FROM v LEFT JOIN (SELECT * FROM c WHERE review_status <> 'rejected') c ON c.video_id = v.video_id GROUP BY 1""")
+def region_rollup(spark, d):
+    """Per region of the videos: videos, segments that aren't rejected, their seconds and share."""
+    v = table(spark, d, "documents").groupBy(F.col("source").alias("video_id")).agg(F.min_by("lang", "doc_id").alias("region"))
+    own = b.clips(spark, d).filter(rules.not_rejected(F.col("review_status"))).groupBy("video_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("duration").cast("decimal(20,6)")).alias("s"))
+    each = v.join(own, "video_id", "left").groupBy("region").agg(F.count(F.lit(1)).alias("videos"), F.coalesce(F.sum("n"), F.lit(0)).alias("segments"), F.coalesce(F.sum("s").cast("double"), F.lit(0.0)).alias("s"))
+    total = F.sum("segments").over(Window.partitionBy())  # a row for each region
+    return each.select("region", "videos", "segments", serving.stats.rounded(F.col("s"), 1).alias("total_s"), serving.stats.rounded(100 * F.col("segments") / total, 1).alias("pct"))
+
+
 @query("transcript_progress", f"{C} SELECT count(*) FILTER (WHERE text <> '') AS standard, count(*) FILTER (WHERE transcript_source <> '') AS dialect, count(*) FILTER (WHERE needs_review <> '') AS large FROM c")
 def transcript_progress(spark, d):
     """How many segments each transcript variant has."""

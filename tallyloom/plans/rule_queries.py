@@ -9,8 +9,8 @@ from tallyloom.functions.wer import word_changes
 from tallyloom.operators import changelog, identity, media, ordered, tracks
 from tallyloom.plans import binding as b
 from tallyloom.plans.binding import CLIP
-from tallyloom.plans.row_queries import UNIT, events, vectors
-from tallyloom.registry import query
+from tallyloom.plans.row_queries import TURN_TOKENS, UNIT, events, vectors
+from tallyloom.registry import ORACLE, query
 from tallyloom.session import table
 from tallyloom.sources import catalog
 
@@ -350,6 +350,24 @@ def landmarks(spark, d):
     return e.select(F.col("user_id").alias("clip"), "frame", some(F.col("value")).alias("cx"), some(F.col("value") / 2).alias("cy"), some((F.col("event_id") % 90).cast("double")).alias("width"), some(F.lit(0.0)).alias("roll"))
 
 
+@query("recomputed_wer", f"""SELECT w.conv_id * 1000 + w.turn AS segment_id, wer, len(r)::INT AS wer_words FROM ({ORACLE["wer_turns"]}) w JOIN (SELECT conv_id, turn, lag(h) OVER (PARTITION BY conv_id ORDER BY turn) r FROM ({TURN_TOKENS})) t
+    ON w.conv_id = t.conv_id AND w.turn = t.turn WHERE r IS NOT NULL""")
+def recomputed_wer(spark, d):
+    """Each turn as an edit of the one before it; first turns have no original and are left alone."""
+    from pyspark.sql import Window
+
+    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    seg = b.turns(spark, d).select((F.col("conv_id") * 1000 + F.col("turn")).alias("segment_id"), before.alias("original_text"), "text")
+    return changelog.recomputed_wer(seg)
+
+
+@query("audio_tags")
+def audio_tags(spark, d):
+    """Loudness, flatness and noise class of the vectors taken as sound."""
+    sound = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("samples"), F.lit(8000).alias("rate"))
+    return media.noise_tags(sound, "vec_id")
+
+
 @query("mouth_windows")
 def mouth_windows(spark, d):
     """Both trajectories of the mouth: widest with nearest landmarks, and median with the One-Euro filter."""

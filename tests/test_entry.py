@@ -24,7 +24,11 @@ def test_nothing_else_imports_the_optional_subpackage():
 
 
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no tables")
-@pytest.mark.parametrize("name", ["video_stats", "training_funnel", "speaker_balance", "vocabulary", "interval_max_overlap", "cluster_components", "as_of", "review_state"])
+@pytest.mark.parametrize("name", [
+    "video_stats", "training_funnel", "speaker_balance", "vocabulary", "interval_max_overlap", "cluster_components", "as_of", "review_state", "review_queues", "explorer_sorts", "video_payload", "segment_payload",
+    "corpus_kpis", "overview_payload", "sentence_windows", "wer_turns", "best_lag", "one_euro", "gaussian_smooth", "stream_jobs", "log_state", "log_chunks", "annotation_files", "manifest_files", "csv_import", "recorded_drops",
+    "trimmed_words", "drop_reasons", "clean_words", "sentence_ends", "content_hash", "outlier_labels", "cosine_top1", "duration_quantiles",
+])
 def test_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     import __spark_entry__ as entry
