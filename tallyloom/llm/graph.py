@@ -5,40 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import cut, dealt_join
+from tallyloom.llm.common import cut, dealt_join, discard
 
 MOST_ROUNDS = 40
 
 
-def _stars(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
-    """edges with the least neighbour (m) of u; the edges of hubs are dealt out."""
+def _stars(edges: DataFrame, least: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """edges with the least neighbour (m) of u, and the table of these; the edges of hubs are dealt out."""
     least = cut(least, "stars")
-    return dealt_join(edges, least.drop("n"), "u", least.select("u", "n"), ["v"], total=total)
+    return dealt_join(edges, least.drop("n"), "u", least.select("u", "n"), ["v"], total=total), least
 
 
-def large_star(edges: DataFrame, total: int) -> DataFrame:
+def large_star(edges: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
     """Every neighbour larger than a node is joined to the smallest among the node and its neighbours; rows may repeat."""
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-    return _stars(both, least, 2 * total).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    met, least = _stars(both, least, 2 * total)
+    return met.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), least
 
 
-def small_star(edges: DataFrame, total: int) -> DataFrame:
+def small_star(edges: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
     """A node (u) and its smaller neighbours (v) are joined to the smallest of these."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    turned = _stars(edges, least, total).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return turned.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
+    met, least = _stars(edges, least, total)
+    turned = met.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return turned.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), least
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) of every node of links (a, b: bigint) but the roots; the root is its component's smallest node."""
-    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    """(node, root) of every node of links (a, b: bigint) but the roots; the root is its component's smallest node.
+
+    Each step's table takes the place of the one before it, which is removed.
+    """
     sign = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    edges = cut(edges, "edges")
+
+    def step(star, edges: DataFrame, total: int) -> DataFrame:
+        told, least = star(edges, total)
+        done = cut(told, "edges")
+        discard(edges)
+        discard(least)
+        return done
+
+    edges = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     mark = sign(edges)
     for _ in range(MOST_ROUNDS):
-        wide = cut(large_star(edges, mark[0]), "edges")
-        edges = cut(small_star(wide, mark[0]), "edges")
+        edges = step(small_star, step(large_star, edges, mark[0]), mark[0])
         now = sign(edges)
         if mark == now:
             break
