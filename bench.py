@@ -25,7 +25,9 @@ def main() -> None:
     sf_dir, cpus = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="bench")
     spark.sparkContext.setLogLevel("ERROR")
-    spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().write.format("noop").mode("overwrite").save()
+    small = Path(sf_dir).parent / "sf0.001"
+    for name in HEADLINE if small.is_dir() else HEADLINE[:1]:  # compiled and loaded once before the clock starts
+        QUERIES[name](spark, str(small) if small.is_dir() else sf_dir).write.format("noop").mode("overwrite").save()
     took = {}
     for name in HEADLINE:
         began = time.perf_counter()

@@ -19,7 +19,10 @@ def recorded(segments: DataFrame, key: str = "segment_id", words: str = "words")
 def fallback(segments: DataFrame, key: str, text: str, duration: str) -> DataFrame:
     """(word, key, n, duration) of segments without words: their cleaned tokens share the duration evenly."""
     # an outer explode, since the filter that Spark infers from an inner one splits every text a second time
-    own = segments.select(key, (F.col(duration) / stat_token_count(F.col(text))).alias("s"), F.col(text).alias("text"))
+    # dealt by key before they are split: the counts of a segment's words then need no shuffle, which would be a larger one
+    parts = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = segments.select(key, F.col(duration).alias("d"), F.col(text).alias("text")).repartition(parts, key)
+    own = own.select(key, (F.col("d") / stat_token_count(F.col("text"))).alias("s"), "text")
     each = own.select(key, "s", F.explode_outer(F.split("text", SPACE)).alias("raw"))
     each = each.select(key, "s", stat_token(F.col("raw")).alias("word")).filter("word <> ''")
     return each.groupBy("word", key).agg(F.count(F.lit(1)).alias("n"), exact_sum(F.col("s")).alias("duration"))
