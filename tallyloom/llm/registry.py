@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["url_filter", "suffix_dedup", "exact_dedup", "gif_media", "minhash_dedup", "warc", "quality", "bpe", "mixing", "line_dedup", "vector_codes", "token_alignment", "pipeline_query"]
+MODULES = ["url_filter", "suffix_dedup", "exact_dedup", "gif_media", "minhash_dedup", "warc", "quality", "bpe", "mixing", "line_dedup", "vector_codes", "token_alignment", "license_scan", "pipeline_query"]
 
 
 def _modules():
