@@ -35,8 +35,6 @@ PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 BLOCK, BLOCK_LENGTH = 4096, 256
 #: Points of a leaf, at most.
 LEAF = 8
-#: Pairs of a point and an entry whose distances are taken at a time.
-PAIRS_A_STEP = 1 << 18
 
 
 class Codes(NamedTuple):
@@ -125,19 +123,16 @@ def filter_entries(tree: Tree, book: np.ndarray, whole: Callable, single: Callab
             order = np.argsort(both, kind="stable")
             cand, node = np.concatenate([cand, cand])[order], both[order]
     edges, leaves = tree.starts(tree.levels() - 1), np.append(np.flatnonzero(np.diff(node, prepend=-1)), len(node))
-    done = 0
-    while done + 1 < len(leaves):  # as many whole leaves at a time as a step holds, one at least
-        ahead = max(done + 1, int(np.searchsorted(leaves, leaves[done] + PAIRS_A_STEP // LEAF, "right")) - 1)
-        a, b, done = leaves[done], leaves[ahead], ahead
-        leaf, entry = node[a:b], cand[a:b]
-        size = edges[leaf + 1] - edges[leaf]
-        stop = np.cumsum(size)
-        point = np.arange(stop[-1]) - np.repeat(stop - size - edges[leaf], size)
-        entry = np.repeat(entry, size)
-        far = ((tree.points[point] - book[entry]) ** 2).sum(1)
-        order = np.lexsort((entry, far, point))
-        took = order[np.flatnonzero(np.diff(point[order], prepend=-1))]
-        single(point[took], entry[took])
+    # products of this size are exact as doubles, which are multiplied much faster
+    exact = book.shape[1] * np.abs(book).max(initial=0) * np.abs(tree.points).max(initial=0) < 1 << 51
+    points, book = (x.astype(np.float64) if exact else x for x in (tree.points, book))
+    found, entries = [], []
+    for a, b in zip(leaves.tolist(), leaves[1:].tolist(), strict=False):
+        begin, end, own = edges[node[a]], edges[node[a] + 1], cand[a:b]
+        entries.append(own[(norm[own] - 2 * (points[begin:end] @ book[own].T)).argmin(1)])
+        found.append(np.arange(begin, end))
+    if found:
+        single(np.concatenate(found), np.concatenate(entries))
 
 
 def nearest(tree: Tree, book: np.ndarray) -> np.ndarray:

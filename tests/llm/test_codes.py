@@ -52,7 +52,6 @@ def vectors(n, d, seed, copies=0):
 @pytest.mark.parametrize(("d", "copies"), [(16, 0), (8, 400), (12, 30)])
 def test_codes_equal_brute_force(spark, d, copies, monkeypatch):
     monkeypatch.setattr(vector_codes, "BLOCK", 97)
-    monkeypatch.setattr(vector_codes, "PAIRS_A_STEP", 4096)
     rows = vectors(300, d, d, copies)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3).withColumns({"code": F.lit("x"), "error": F.lit(0), "id": F.lit(1), "x": F.lit(2)})
     codes = vector_codes.encode_vectors(df, entries=40)
@@ -70,7 +69,7 @@ def test_codes_equal_brute_force(spark, d, copies, monkeypatch):
 
 def test_trees_assign_like_all_pairs():
     rng = np.random.default_rng(3)
-    for n, width, k, span in [(1, 4, 5, 9), (9, 3, 1, 4), (500, 4, 60, 3), (1000, 16, 256, 300), (64, 0, 3, 2), (333, 2, 40, 1)]:
+    for n, width, k, span in [(1, 4, 5, 9), (9, 3, 1, 4), (500, 4, 60, 3), (1000, 16, 256, 300), (64, 0, 3, 2), (333, 2, 40, 1), (200, 4, 30, 1 << 27)]:
         points, book = rng.integers(-span, span + 1, (n, width)), rng.integers(-span, span + 1, (k, width))
         want = ((points[:, None] - book[None]) ** 2).sum(2).argmin(1)
         tree = vector_codes.build_tree(points)
