@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import struct
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.rules import DURATION_BANDS, DURATION_EDGES, band, histogram_bin, known, not_rejected
 from tallyloom.functions.text import digit_share
+from tallyloom.session import saved
 
 
 def exact_sum(c: Column) -> Column:
@@ -69,57 +72,153 @@ def training_funnel(segments: DataFrame) -> DataFrame:
     return one.select(F.inline(rows))
 
 
-#: Bins of one step towards an order statistic.
-BINS = 4096
+#: Bits below those that one pass towards an order statistic counts: sign and exponent first, then 13 of the fraction each.
+PASSES = (52, 39, 26, 13, 0)
 
 
-def order_statistics(rows: DataFrame, column: str, ranks: Callable[[int], Sequence[int]]) -> tuple[int, dict[int, float]]:
-    """The number n of known values, and the values at ranks(n) of their sorted order, from 0.
+def with_order_key(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """rows with a bigint that sorts like the doubles of a column: the bit pattern, negative for negative numbers; both zeros are 0.
 
-    Each pass counts the values of BINS bins around every rank that isn't decided yet and goes on in the bin that holds
-    it, until that bin has one value. What comes back to the driver is at most BINS rows of counts for each rank.
+    One step a projection, since each uses the one before several times.
     """
-    own = rows.select(known(F.col(column)).alias("v")).filter("v IS NOT NULL")
-    n, low, high = own.agg(F.count("v"), F.min("v"), F.max("v")).first()
-    spans, found = {r: (low, high, 0) for r in ranks(n)} if n else {}, {}
-    while spans:
-        found |= {r: a for r, (a, b, _) in spans.items() if a == b}
-        spans = {r: s for r, s in spans.items() if r not in found}
-        each = sorted(set(spans.values()))
-        if not each:
-            break
-        place = F.lit(None).cast("struct<span:int,bin:bigint>")
-        for i, (a, b, _) in enumerate(each):
-            at = F.least(F.floor((F.col("v") - a) / (b - a) * BINS), F.lit(BINS - 1)).cast("bigint")
-            place = F.when(F.col("v").between(a, b), F.struct(F.lit(i).alias("span"), at.alias("bin"))).otherwise(place)
-        counts = own.select("v", place.alias("p")).filter("p IS NOT NULL").groupBy("p").agg(F.count("v").alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
-        by: dict[int, list] = {}
-        for c in sorted(counts.collect(), key=lambda c: (c.p.span, c.p.bin)):
-            by.setdefault(c.p.span, []).append(c)
-        for r, span in spans.items():
-            before = span[2]
-            for c in by[each.index(span)]:
-                if r < before + c.n:
-                    spans[r] = (c.a, c.b, before)
+    v, (size, guess, exponent, scaled) = F.col(column), (f"{name}{i}" for i in range(4))
+    c, power = F.col, lambda e: F.pow(F.lit(2.0), e.cast("double"))
+    some = (c(size) > 0) & (c(size) < float("inf"))
+    # the logarithm may miss by one next to a power of two; powers of two and quotients by them are exact
+    low = F.when(power(c(guess)) > c(size), -1).when(power(c(guess) + 1) <= c(size), 1).otherwise(0)
+    bits = F.when(c(scaled) >= 1, (c(exponent) + 1022) * (1 << 52)).otherwise(0) + (c(scaled) * float(1 << 52)).cast("bigint")
+    bits = F.when(some, bits).when(c(size) == 0, 0).when(v.isNotNull(), 0x7FF << 52)
+    return (
+        rows.withColumn(size, F.abs(v))
+        .withColumn(guess, F.when(some, F.greatest(F.floor(F.log2(size)), F.lit(-1022))))
+        .withColumn(exponent, F.greatest(c(guess) + low, F.lit(-1022)))
+        .withColumn(scaled, c(size) / power(c(exponent)))  # 1 to 2, below 1 for subnormal numbers only
+        .withColumn(name, F.when(v < 0, -bits).otherwise(bits).cast("bigint"))
+        .drop(size, guess, exponent, scaled)
+    )
+
+
+def key_value(k: Column) -> Column:
+    """The double of a with_order_key."""
+    a = F.abs(k)
+    e, fraction = F.shiftright(a, 52), (a % (1 << 52)).cast("double") / float(1 << 52)
+    size = F.when(e == 0x7FF, F.lit(float("inf"))).when(e == 0, fraction * F.pow(F.lit(2.0), F.lit(-1022.0))).otherwise((fraction + 1) * F.pow(F.lit(2.0), (e - 1023).cast("double")))
+    return F.when(k < 0, -size).otherwise(size)
+
+
+def value_of_key(k: int) -> float:
+    return math.copysign(struct.unpack("<d", struct.pack("<q", abs(k)))[0], k)
+
+
+def order_statistics(rows: DataFrame, columns: Sequence[str], ranks: Callable[[int], Sequence[int]]) -> dict[str, tuple[int, dict[int, float]]]:
+    """For each column the number n of known values, and the values at ranks(n) of their sorted order, from 0.
+
+    Radix selection on the bit patterns: a pass over all columns at once counts the bins below every prefix that a rank
+    is still looked for in, and goes on in the bin that holds it, until that has one value. There are as many passes as
+    PASSES at most, for any values; a pass brings a few thousand rows of counts for each open prefix to the driver.
+    """
+    entry = lambda i, c: F.struct(F.lit(i).alias("c"), known(F.col(c)).alias("v"))
+    own = rows.select(F.inline(F.array(*[entry(i, c) for i, c in enumerate(columns)]))).filter("v IS NOT NULL")
+    own = with_order_key(own, "v", "k").select("c", "k")
+    found: dict[int, dict[int, float]] = {i: {} for i in range(len(columns))}
+    n, open_, before = dict.fromkeys(found, 0), None, None
+    for shift in PASSES:
+        near = own
+        if open_ is not None:
+            prefixes = own.sparkSession.createDataFrame(sorted({(i, p) for i, p, _, _ in open_}), "c int, p bigint")
+            near = own.withColumn("p", F.shiftright("k", before)).join(F.broadcast(prefixes), ["c", "p"])
+        counts = near.groupBy("c", F.shiftright("k", shift).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("low"), F.max("k").alias("high")).collect()
+        bins: dict[tuple, list] = {}
+        for r in sorted(counts, key=lambda r: (r.c, r.b)):
+            bins.setdefault((r.c, r.b >> (before - shift) if open_ is not None else None), []).append(r)
+        if open_ is None:
+            n |= {c: sum(r.n for r in own_bins) for (c, _), own_bins in bins.items()}
+            open_ = [(c, None, r, r) for c in found if n[c] for r in ranks(n[c])]
+        left = []
+        for c, prefix, rank, rest in open_:
+            for r in bins[c, prefix]:
+                if rest < r.n:
                     break
-                before += c.n
-    return n, found
+                rest -= r.n
+            if r.low == r.high:
+                found[c][rank] = value_of_key(r.low)
+            else:
+                left.append((c, r.b, rank, rest))
+        open_, before = left, shift
+        if not open_:
+            break
+    return {name: (n[i], found[i]) for i, name in enumerate(columns)}
+
+
+SHARES = (("p25", 0.25), ("median", 0.5), ("p75", 0.75), ("p95", 0.95))
 
 
-def quantiles(segments: DataFrame, column: str, shares: Sequence[tuple[str, float]] = (("p25", 0.25), ("median", 0.5), ("p75", 0.75), ("p95", 0.95)), digits: int = 2) -> DataFrame:
+def both_ranks(shares: Sequence[tuple[str, float]]) -> Callable[[int], list[int]]:
+    return lambda n: sorted({int(f(p * (n - 1))) for _, p in shares for f in (math.floor, math.ceil)})
+
+
+def between(low: float, high: float, share: float) -> float:
+    """Linear interpolation; equal ends are that value, infinite ones too."""
+    return low if low == high or share == 0 else low * (1 - share) + high * share if math.isinf(high - low) else low + (high - low) * share
+
+
+def column_quantiles(rows: DataFrame, columns: Sequence[str], shares: Sequence[tuple[str, float]] = SHARES, digits: int = 2) -> dict[str, DataFrame]:
+    """For each column one row of its quantiles with linear interpolation, null without values, by the same passes."""
+
+    def values(n: int, at: dict[int, float]) -> tuple:
+        place = lambda p: p * (n - 1)
+        return tuple(float(between(at[math.floor(place(p))], at[math.ceil(place(p))], place(p) % 1)) if n else None for _, p in shares)
+
+    told, schema = order_statistics(rows, columns, both_ranks(shares)), ", ".join(f"{name} double" for name, _ in shares)
+    return {c: rows.sparkSession.createDataFrame([values(*told[c])], schema).select(*[F.round(name, digits).alias(name) for name, _ in shares]) for c in columns}
+
+
+def quantiles(segments: DataFrame, column: str, shares: Sequence[tuple[str, float]] = SHARES, digits: int = 2) -> DataFrame:
     """One row: p25, median, p75, p95 with linear interpolation; null without values."""
-    both = lambda n: sorted({int(f(p * (n - 1))) for _, p in shares for f in (math.floor, math.ceil)})
-    n, at = order_statistics(segments, column, both)
-
-    def value(p: float) -> float | None:
-        if not n:
-            return None
-        x = p * (n - 1)
-        low, high = at[math.floor(x)], at[math.ceil(x)]
-        return float(low + (high - low) * (x - math.floor(x)))
-
-    one = segments.sparkSession.createDataFrame([tuple(value(p) for _, p in shares)], ", ".join(f"{name} double" for name, _ in shares))
-    return one.select(*[F.round(name, digits).alias(name) for name, _ in shares])
+    return column_quantiles(segments, [column], shares, digits)[column]
+
+
+def grouped_quantiles(rows: DataFrame, keys: Sequence[str], column: str, shares: Sequence[tuple[str, float]] = SHARES, digits: int = 2) -> DataFrame:
+    """(keys, n, quantiles) of every group, exact for any number and size of groups; groups without values have nulls.
+
+    The passes of order_statistics as joins: every pass counts the bins of each group's open prefixes, partly before the
+    shuffle, so that a group of most rows is a few thousand counts a task; running sums of these find each rank's bin.
+    """
+    keys = list(keys)
+    name = {k: f"_g{i}" for i, k in enumerate(keys)}
+    g = list(name.values())
+    base = with_order_key(rows.select(*[F.col(f"`{k}`").alias(a) for k, a in name.items()], known(F.col(column)).alias("_v")), "_v", "_k").drop("_v")
+    equal = lambda x, y: [F.col(f"{x}.{a}").eqNullSafe(F.col(f"{y}.{a}")) for a in g]
+    groups = base.groupBy(*g).agg(F.count("_k").alias("_n"))
+    wanted = F.array(*[f((F.col("_n") - 1) * p).cast("bigint") for _, p in shares for f in (F.floor, F.ceil)])
+    open_ = groups.filter("_n > 0").select(*g, F.explode(F.array_distinct(wanted)).alias("_rank")).withColumns({"_p": F.lit(0).cast("bigint"), "_rest": F.col("_rank")})
+    done = []
+    for shift, before in zip(PASSES, (None, *PASSES), strict=False):
+        near = base.filter("_k IS NOT NULL").withColumn("_p", F.lit(0).cast("bigint") if before is None else F.shiftright("_k", before)).alias("x")
+        if before is not None:
+            near = near.join(open_.select(*g, "_p").distinct().alias("o"), [*equal("x", "o"), F.col("x._p") == F.col("o._p")], "left_semi")
+        bins = near.groupBy(*g, "_p", F.shiftright("_k", shift).alias("_b")).agg(F.count(F.lit(1)).alias("_m"), F.min("_k").alias("_low"), F.max("_k").alias("_high"))
+        upto = F.sum("_m").over(Window.partitionBy(*g, "_p").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+        held = (F.col("o._rest") < F.col("b._upto")) & (F.col("o._rest") >= F.col("b._upto") - F.col("b._m"))
+        met = open_.alias("o").join(bins.withColumn("_upto", upto).alias("b"), [*equal("o", "b"), F.col("o._p") == F.col("b._p"), held])
+        rest = (F.col("o._rest") - F.col("b._upto") + F.col("b._m")).alias("_rest")
+        told = saved(met.select(*[F.col(f"o.{a}").alias(a) for a in g], F.col("o._rank").alias("_rank"), F.col("b._b").alias("_p"), rest, "_low", "_high"))  # a row a rank and group
+        done.append(told.filter("_low = _high").select(*g, "_rank", key_value(F.col("_low")).alias("_v")))
+        open_ = told.filter("_low < _high").drop("_low", "_high")
+        if open_.isEmpty():
+            break
+    found = functools.reduce(DataFrame.unionAll, done)
+    at = found.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
+    a, b = groups.alias("a"), at.alias("b")
+    told = a.join(b, equal("a", "b"), "left")
+
+    def value(p: float) -> Column:
+        place = (F.col("_n") - 1) * p
+        low, high = (F.try_element_at("_at", f(place).cast("bigint")) for f in (F.floor, F.ceil))
+        share, wide = place - F.floor(place), F.abs(high - low) == float("inf")
+        return F.when((low == high) | (share == 0), low).when(wide, low * (1 - share) + high * share).otherwise(low + (high - low) * share)
+
+    return told.select(*[F.col(f"a.{x}").alias(k) for k, x in name.items()], F.col("_n").alias("n"), *[F.round(value(p), digits).alias(c) for c, p in shares])
 
 
 def duration_bands(segments: DataFrame) -> DataFrame:

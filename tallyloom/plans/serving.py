@@ -173,12 +173,16 @@ def explorer_strip(segments: DataFrame) -> DataFrame:
 
 def distributions(segments: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(part, key, n, value): number, least, mean, median, p95 and largest value of each column, to three decimals."""
-    parts = []
-    for c in columns:
-        v = known(F.col(c))
-        one = segments.agg(F.count(v).alias("n"), F.round(F.min(v), 3).alias("min"), stats.exact_avg(v, 3).alias("mean"), F.round(F.max(v), 3).alias("max"))
-        parts += [_single(one, c, ["min", "mean", "max"], ["n"]), _single(stats.quantiles(segments, c, (("median", 0.5), ("p95", 0.95)), 3), c, ["median", "p95"])]
-    return _union(parts)
+    measures = {"n": F.count, "min": lambda v: F.round(F.min(v), 3), "mean": lambda v: stats.exact_avg(v, 3), "max": lambda v: F.round(F.max(v), 3)}
+    one = segments.agg(*[f(known(F.col(c))).alias(f"{c}.{k}") for c in columns for k, f in measures.items()])
+    nothing = F.lit(None)
+    entry = lambda c, k: F.struct(
+        F.lit(c).alias("part"), F.lit(k).alias("key"), (F.col(f"`{c}.n`") if k == "n" else nothing).cast("bigint").alias("n"),
+        (nothing if k == "n" else F.col(f"`{c}.{k}`")).cast("double").alias("value"),
+    )
+    rows = one.select(F.inline(F.array(*[entry(c, k) for c in columns for k in measures])))
+    ranked = stats.column_quantiles(segments, columns, (("median", 0.5), ("p95", 0.95)), 3)
+    return _union([rows, *[_single(q, c, ["median", "p95"]) for c, q in ranked.items()]])
 
 
 @dataclass

@@ -62,13 +62,56 @@ def test_order_statistics(spark):
     values = [round(r.gauss(0, 50), 2) for _ in range(3000)] + [7.0] * 500 + [float("nan"), None, -1e12, 1e12]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     known = sorted(v for v in values if v is not None and not math.isnan(v))
-    n, found = stats.order_statistics(df, "v", lambda n: [0, 1, n // 3, n // 2, n - 2, n - 1])
+    n, found = stats.order_statistics(df, ["v"], lambda n: [0, 1, n // 3, n // 2, n - 2, n - 1])["v"]
     assert n == len(known) and found == {k: known[k] for k in found} and len(found) == 6
     q = stats.quantiles(df, "v").first()
     assert [q.p25, q.median, q.p75, q.p95] == [round(float(np.quantile(known, p)), 2) for p in (0.25, 0.5, 0.75, 0.95)]
     assert stats.quantiles(df.filter("false"), "v").first().median is None
 
 
+WIDE = {
+    "infinite": [1.0, 2.0, math.inf], "both ends": [-math.inf, 3.0, math.inf, -math.inf], "widest": [1.0, -1e308, 1e308], "subnormal": [5e-324, 1e-310, -1e-320, 2.2250738585072014e-308, 0.0, -0.0],
+    "equal": [7.25] * 50, "powers": [2.0**e * f for e in range(-1074, 1024, 7) for f in (1, 1.9999999999999998, -1)], "neighbours": [1.0, math.nextafter(1.0, 2), math.nextafter(1.0, 0), math.nextafter(1024.0, 0)],
+    "one": [3.5], "none": [None, math.nan],
+}
+
+
+@pytest.mark.parametrize("name", WIDE)
+def test_order_statistics_end_on_any_doubles(spark, name):
+    values = WIDE[name]
+    df = spark.createDataFrame([(v, 1.0) for v in values], "v double, w double")
+    known = sorted(v for v in values if v is not None and not math.isnan(v))
+    told = stats.order_statistics(df, ["v", "w"], lambda n: range(n))
+    assert told["v"] == (len(known), dict(enumerate(known))) and told["w"][1] == dict.fromkeys(range(len(values)), 1.0)
+    keyed = stats.with_order_key(df.filter("v IS NOT NULL AND NOT isnan(v)"), "v", "k")
+    back = keyed.select("v", "k", stats.key_value(F.col("k")).alias("b")).orderBy("v").collect()
+    assert keyed.columns == ["v", "w", "k"] and all(r.v == r.b for r in back) and [r.k for r in back] == sorted(r.k for r in back)
+    q = stats.quantiles(df, "v", digits=300).first()
+    if known and math.isfinite(known[0]) and math.isfinite(known[-1]) and name not in ("widest", "subnormal"):
+        assert [q.p25, q.median, q.p75, q.p95] == pytest.approx([float(np.quantile(known, p)) for p in (0.25, 0.5, 0.75, 0.95)], rel=1e-12, abs=1e-320)
+
+
+def test_grouped_quantiles(spark):
+    r = random.Random(3)
+    rows = [(r.choice(["a", "b", None]), r.choice([1, 2]), r.choice([r.gauss(0, 5), float(r.randrange(5)), None, math.nan])) for _ in range(900)]
+    rows += [("wide", 1, v) for v in (math.inf, 1.0, -1e308, 5e-324)] + [("none", 1, None), ("one", 1, 4.5)]
+    df = spark.createDataFrame(rows, "k string, j int, v double")
+    got = {(x.k, x.j): x for x in stats.grouped_quantiles(df, ["k", "j"], "v", digits=9).collect()}
+    held: dict = {}
+    for k, j, v in rows:
+        held.setdefault((k, j), []).extend([v] if v is not None and not math.isnan(v) else [])
+    assert set(got) == set(held)
+    for key, values in held.items():
+        x, finite = got[key], all(map(math.isfinite, values))
+        assert x.n == len(values)
+        if not values:
+            assert x.median is None
+        elif finite:
+            assert [x.p25, x.median, x.p75, x.p95] == pytest.approx([float(np.quantile(values, p)) for p in (0.25, 0.5, 0.75, 0.95)], abs=1e-8)
+    assert got["wide", 1].p95 == math.inf
+    assert stats.grouped_quantiles(df.filter("false"), ["k"], "v").count() == 0
+
+
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
 def test_nearest_known_by_broadcast_and_by_blocks(spark, monkeypatch, limit):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
