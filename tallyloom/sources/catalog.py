@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyloom.session import ship
+from tallyloom.sources import byte_log
+
 MANIFEST = """video_id string, version int, clips array<struct<clip_id:string, clip_index:int, start:double, end:double, content_start:double,
     boundary_start_type:string, boundary_end_type:string, audio_speaker_label:string,
     words:array<struct<raw:string, clean:string, start:double, end:double, conf:double, spk:string>>>>"""
@@ -95,16 +98,11 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 def log_chunks(spark: SparkSession, path: str, offsets: DataFrame, max_bytes: int = 512 << 10) -> DataFrame:
     """(path, chunk, offset) of log files below path: the bytes from each file's offset on, at most max_bytes, and the new offset.
 
-    offsets: (path, offset); a file that isn't named is read from its begin. A chunk ends before a character that is cut.
+    offsets: (path, offset); a file that isn't named is read from its begin. Nothing before an offset is read.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    both = files.join(offsets.select("path", F.col("offset").alias("_at")), "path", "left").withColumn("_at", F.least(F.coalesce("_at", F.lit(0)), F.length("content")))
-    raw = F.expr(f"substring(content, cast(_at as int) + 1, {max_bytes})")
-    cut = both.select("path", "_at", raw.alias("raw"), (F.length("content") > F.col("_at") + max_bytes).alias("_more"))
-    # a UTF-8 character has up to three bytes after its first: the first prefix that is valid is the chunk
-    whole = F.coalesce(*[F.when(F.expr(f"is_valid_utf8(cast(substring(raw, 1, length(raw) - {n}) as string))"), F.expr(f"substring(raw, 1, length(raw) - {n})")) for n in range(4)], F.col("raw"))
-    told = cut.withColumn("raw", F.when(F.col("_more"), whole).otherwise(F.col("raw")))
-    return told.select("path", F.col("raw").cast("string").alias("chunk"), (F.col("_at") + F.length("raw")).alias("offset"))
+    ship(spark)
+    files = listing(spark, path).select("path", "length")
+    return byte_log.read_chunks(files.join(offsets.select("path", "offset"), "path", "left").withColumn("offset", F.coalesce("offset", F.lit(0))), max_bytes)
 
 
 def merged(rows: DataFrame, words: DataFrame, key: str, order: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:

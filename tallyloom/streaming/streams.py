@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyloom.functions.text import log_kind, log_parts
 from tallyloom.session import ship
+from tallyloom.sources.byte_log import follow_log
 
 
 def source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -86,11 +87,10 @@ def job_states(events: DataFrame, stale: str = "60 seconds") -> DataFrame:
         step, JOB, "status string, seen timestamp, changes int", "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines as they are appended: (file, ts, msg, kind). The source remembers which files it has read."""
-    lines = spark.readStream.text(path)
-    own = lines.select(F.col("_metadata.file_path").alias("file"), log_parts(F.col("value")).alias("p"))
-    return own.select("file", "p.ts", "p.msg", log_kind(F.col("p.msg")).alias("kind"))
+def log_lines(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """Lines as they are appended: (file, offset, ts, msg, kind). A file that has grown is read from where it ended."""
+    own = follow_log(spark, path, suffix).select("file", "offset", log_parts(F.col("line")).alias("p"))
+    return own.select("file", "offset", "p.ts", "p.msg", log_kind(F.col("p.msg")).alias("kind"))
 
 
 #: What a message that moves a job to the next stage contains.
