@@ -36,7 +36,7 @@ from tallyloom.llm.common import cut, text_of
 from tallyloom.session import ship, table
 
 #: Characters of the texts of a block, and its documents, at most (but for a single longer text).
-BLOCK_CHARS, BLOCK_DOCS = 4 << 20, 1 << 16
+BLOCK_CHARS, BLOCK_DOCS = 2 << 20, 1 << 16
 #: Buckets of A ids: the most rows that a block has for its postings.
 BUCKETS = 128
 #: Postings that one group of the cogroup reads; buckets with more are dealt out by salts.
