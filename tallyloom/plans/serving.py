@@ -1,10 +1,8 @@
-"""Payloads of the query entry points as DataFrames of one JSON column, and a cache of them by data version."""
+"""Payloads of the query entry points as DataFrames; streaming.live keeps them by version of the data."""
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +11,6 @@ from tallyloom.functions.rules import confidence_level, known, not_rejected
 from tallyloom.functions.text import SPACE, stat_token
 from tallyloom.operators import stats
 from tallyloom.operators.queues import tier_name
-from tallyloom.session import fresh_path
 
 
 def documents(rows: DataFrame, *order: str) -> DataFrame:
@@ -183,35 +180,3 @@ def distributions(segments: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = one.select(F.inline(F.array(*[entry(c, k) for c in columns for k in measures])))
     ranked = stats.column_quantiles(segments, columns, (("median", 0.5), ("p95", 0.95)), 3)
     return _union([rows, *[_single(q, c, ["median", "p95"]) for c, q in ranked.items()]])
-
-
-@dataclass
-class PayloadCache:
-    """Payloads by name and data version, each a table in the shared folder, so that none passes through the driver.
-
-    A stale one may be served for stale_seconds while the caller rebuilds it.
-    """
-
-    version: Callable[[], object]
-    stale_seconds: float = 120.0
-    clock: Callable[[], float] = time.monotonic
-    held: dict = field(default_factory=dict)
-
-    def get(self, name: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, bool]:
-        """(rows, fresh)."""
-        now, version = self.clock(), self.version()
-        if name in self.held:
-            seen, at, rows = self.held[name]
-            if seen == version:
-                return rows, True
-            if now - at <= self.stale_seconds:
-                return rows, False
-        return self.refresh(name, build), True
-
-    def refresh(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        version, rows = self.version(), build()
-        path = fresh_path(rows.sparkSession, f"payload-{name}")
-        rows.write.parquet(path)
-        kept = rows.sparkSession.read.schema(rows.schema).parquet(path)
-        self.held[name] = (version, self.clock(), kept)
-        return kept

@@ -42,14 +42,3 @@ def test_ids(spark):
     mapping = spark.createDataFrame([("md_001", "md_007")], "old string, new string")
     assert sorted(r.id for r in changelog.rewrite_ids(rows, mapping, "id").collect()) == ["md_0010_1", "md_002", "md_007_1"]
     assert changelog.next_index(spark.createDataFrame([("v_spk2",), ("v_spk10",)], "s string"), "s").first().next == 11
-
-
-def test_cache(spark):
-    now, version, built = [0.0], [1], []
-    cache = serving.PayloadCache(lambda: version[0], 120, lambda: now[0])
-    build = lambda: (built.append(1), spark.range(len(built)))[1]
-    assert cache.get("x", build)[1] and cache.get("x", build)[1] and len(built) == 1
-    version[0] = 2
-    assert cache.get("x", build) == (cache.held["x"][2], False)
-    now[0] = 500
-    assert cache.get("x", build)[0].count() == 2
