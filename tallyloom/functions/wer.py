@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +12,26 @@ from tallyloom.session import ship
 
 
 def distance(a: list[str], b: list[str]) -> int:
-    """Edits (insert, delete, substitute: 1) from a to b. A row of the table at a time: the running minimum over
-    insertions is a minimum of (value - position)."""
-    row, at = np.arange(len(b) + 1), np.arange(len(b) + 1)
-    numbers: dict[str, int] = {}
-    number = lambda words: [numbers.setdefault(w, len(numbers)) for w in words]
-    right = np.array(number(b), dtype=np.int64)
-    for i, word in enumerate(number(a), 1):
-        step = np.minimum(row[1:] + 1, row[:-1] + (right != word)) if len(b) else np.zeros(0, int)
-        row = np.minimum.accumulate(np.concatenate([[i], step]) - at) + at
-    return int(row[-1])
+    """Edits (insert, delete, substitute: 1) from a to b, by bit vectors.
+
+    A column of the table is two numbers of len(a) bits, which say where it rises and falls by one from row to row; a word
+    of b takes a dozen operations on them, each over 64 rows and more at a time.
+    """
+    if not a or not b:
+        return len(a) + len(b)
+    places: dict[str, int] = {}
+    for i, word in enumerate(a):
+        places[word] = places.get(word, 0) | 1 << i
+    whole, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, far = whole, 0, len(a)
+    for word in b:
+        equal = places.get(word, 0)
+        across = ((equal & up) + up ^ up) | equal
+        rises, falls = down | whole & ~(across | up), up & across
+        far += bool(rises & last) - bool(falls & last)
+        rises, falls, across = rises << 1 | 1, falls << 1, equal | down
+        up, down = (falls | ~(across | rises)) & whole, rises & across & whole
+    return far
 
 
 @F.pandas_udf(IntegerType())
@@ -71,16 +80,34 @@ def word_changes(current: Column, suggested: Column) -> Column:
     return word_diff_udf(current, suggested)
 
 
+def common_rows(a: list[str], b: list[str]) -> list[int]:
+    """For each number i of a's last words a bit vector over b's words from the last: bit j is 0 where one word more of b
+    makes the longest common subsequence longer by one."""
+    places: dict[str, int] = {}
+    for j, word in enumerate(reversed(b)):
+        places[word] = places.get(word, 0) | 1 << j
+    whole = row = (1 << len(b)) - 1
+    rows = [row]
+    for word in reversed(a):
+        both = row & places.get(word, 0)
+        row = (row + both | row - both) & whole
+        rows.append(row)
+    return rows
+
+
 def word_diff(a: str, b: str) -> list[tuple[str, str]]:
     """Words of b, in order, as (word, 'same' or 'changed') by a longest common subsequence, case aside."""
     left, right = a.lower().split(), b.lower().split()
-    best = np.zeros((len(left) + 1, len(right) + 1), int)
-    for i in range(len(left) - 1, -1, -1):
-        for j in range(len(right) - 1, -1, -1):
-            best[i, j] = best[i + 1, j + 1] + 1 if left[i] == right[j] else max(best[i + 1, j], best[i, j + 1])
+    rows = common_rows(left, right)
+
+    def best(i: int, j: int) -> int:
+        """Length of the longest common subsequence of left[i:] and right[j:]."""
+        n = len(right) - j
+        return n - (rows[len(left) - i] & (1 << n) - 1).bit_count()
+
     i, out = 0, []
     for j, word in enumerate(b.split()):
-        while i < len(left) and left[i] != right[j] and best[i + 1, j] >= best[i, j + 1]:
+        while i < len(left) and left[i] != right[j] and best(i + 1, j) >= best(i, j + 1):
             i += 1
         same = i < len(left) and left[i] == right[j]
         i += same

@@ -382,7 +382,10 @@ def kalman_boxes(spark, d):
     return tracks.smooth_boxes(boxes, "user_id")
 
 
-@query("turn_changes")
+@query("turn_changes", """WITH t AS (SELECT conv_id, turn, list_filter(string_split_regex(lower(coalesce(text, '')), '\\s+'), lambda x: x <> '') AS h FROM conversations),
+    u AS (SELECT conv_id, turn, h, coalesce(lag(h) OVER (PARTITION BY conv_id ORDER BY turn), []) AS r FROM t)
+    SELECT conv_id, turn, len(h)::INT AS n, CASE WHEN len(r) = 0 OR len(h) = 0 THEN 0 ELSE list_reduce(list_transform(range(1, len(r) + 1), lambda i: [i]), lambda held, e: list_reduce(list_transform(range(1, len(h) + 1), lambda j: [j]),
+    lambda cells, f: list_append(cells, CASE WHEN h[f[1]] = r[e[1]] THEN held[f[1]] + 1 ELSE greatest(cells[-1], held[f[1] + 1]) END), [0]), list_transform(range(0, len(h) + 1), lambda x: 0))[-1] END::INT AS same FROM u""")
 def turn_changes(spark, d):
     """Of each turn the words that the one before it lacks, by a longest common subsequence."""
     from pyspark.sql import Window

@@ -210,7 +210,7 @@ TOKENS = r"""SELECT doc_id, n_chars / 100 AS dur, list_filter(list_transform(str
     SELECT word, count(*) samples, sum(n)::BIGINT occurrences, round(sum(d), 2)::DOUBLE duration FROM g GROUP BY 1""")
 def vocab_fallback(spark, d):
     docs = table(spark, d, "documents").withColumn("dur", F.col("n_chars") / 100)
-    return vocab.vocabulary(vocab.fallback(docs, "doc_id", "text", "dur"))
+    return vocab.vocabulary(vocab.fallback(docs, "text", "dur"))
 
 
 def event_segments(spark, d):

@@ -27,7 +27,7 @@ def test_views(segments):
 def test_vocabulary(spark):
     rec = spark.sql("SELECT 's1' segment_id, array(named_struct('word','BUNĂ','start',0D,'end',.5D), named_struct('word','BUNĂ','start',1D,'end',.9D)) words")
     text = spark.createDataFrame([("s2", "Vremea, vremea! azi", 3.0)], "segment_id string, text string, d double")
-    got = {r.word: (r.samples, r.occurrences, r.duration) for r in vocab.vocabulary(vocab.recorded(rec), vocab.fallback(text, "segment_id", "text", "d")).collect()}
+    got = {r.word: (r.samples, r.occurrences, r.duration) for r in vocab.vocabulary(vocab.recorded(rec), vocab.fallback(text, "text", "d")).collect()}
     assert got == {"BUNĂ": (1, 2, 0.5), "VREMEA": (1, 2, 2.0), "AZI": (1, 1, 1.0)}
 
 
