@@ -88,16 +88,78 @@ def matrix(vectors: pa.ListArray) -> np.ndarray:
     return np.divide(rows, size, out=np.zeros_like(rows), where=size > 0)
 
 
-def _best(ids: pa.Array, rows: np.ndarray, known_ids: pa.Array, known_rows: np.ndarray, least: float) -> pa.RecordBatch:
-    """(id, k_id, cosine): for each row the known one (sorted by id) of highest cosine, null below least."""
-    if len(known_ids) and len(ids):
-        cosine = np.round(rows @ known_rows.T, 12)
-        at = cosine.argmax(1)
-        best = cosine[np.arange(len(at)), at]
-        none = best < least
-        names = known_ids.take(pa.array(at, mask=none))
-        return pa.RecordBatch.from_arrays([ids, names, pa.array(best, mask=none)], ["id", "k_id", "cosine"])
-    return pa.RecordBatch.from_arrays([ids, pa.nulls(len(ids), known_ids.type), pa.nulls(len(ids), pa.float64())], ["id", "k_id", "cosine"])
+#: Pivots of a key or of known vectors, at most (twice as many where a sample happens to be large).
+MOST_PIVOTS = 256
+#: What angles may be off by, in radians.
+SLACK = 1e-6
+
+
+def angles(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Angles between unit rows; they obey the triangle inequality, which cosines don't."""
+    return np.arccos(np.clip(rows @ pivots.T, -1.0, 1.0))
+
+
+def reach(least: float) -> float:
+    """The largest angle at which a cosine is enough."""
+    return float(np.arccos(np.clip(least, -1.0, 1.0))) + SLACK
+
+
+class Cells:
+    """Known unit rows (sorted by id) in cells around pivots, with the largest angle of each cell."""
+
+    def __init__(self, rows: np.ndarray):
+        n = len(rows)
+        self.pivots = rows[np.linspace(0, n - 1, min(n, MOST_PIVOTS, int(np.ceil(np.sqrt(n))))).astype(int)] if n else rows
+        near = [angles(rows[at : at + BLOCK], self.pivots) for at in range(0, n, BLOCK)]
+        cell = np.concatenate([x.argmin(1) for x in near]) if near else np.zeros(0, int)
+        angle = np.concatenate([x.min(1) for x in near]) if near else np.zeros(0)
+        self.order = np.argsort(cell, kind="stable")
+        self.rows, self.edges = rows[self.order], np.searchsorted(cell[self.order], np.arange(len(self.pivots) + 1))
+        self.radius = np.array([angle[self.order[a:b]].max(initial=0.0) for a, b in zip(self.edges, self.edges[1:], strict=False)])
+
+    def nearest(self, asked: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place or -1, cosine, products) of each asked row: the known row of highest cosine, the first of equals.
+
+        A cell is left out where no row in it can reach the best found so far, or the least that counts: all angles to its
+        rows are at least that to its pivot less its radius. Cells are looked at from the most promising on.
+        """
+        n = len(asked)
+        best, place, products = np.full(n, -np.inf), np.full(n, -1), np.zeros(n, np.int64)
+        if not n or not len(self.rows):
+            return place, best, products
+        far = angles(asked, self.pivots)
+        products += len(self.pivots)
+        bound = np.cos(np.clip(far - self.radius - SLACK, 0.0, np.pi))
+        # a row without direction is at no angle to anything: it has cosine 0 with all
+        flat = ~asked.any(1)
+        bound[flat] = np.inf
+        ranked = np.argsort(-bound, axis=1, kind="stable")
+        active = np.arange(n)
+        for step in range(len(self.pivots)):
+            cell = ranked[active, step]
+            hope = bound[active, cell]
+            open_ = hope >= np.maximum(best[active], least) - 1e-9
+            active, cell = active[open_], cell[open_]
+            if not len(active):
+                break
+            for c in np.unique(cell):
+                own, a, b = active[cell == c], self.edges[c], self.edges[c + 1]
+                if a == b:
+                    continue
+                cosine = np.round(asked[own] @ self.rows[a:b].T, 12)
+                at = cosine.argmax(1)  # rows of a cell are in order of their places
+                value, where = cosine[np.arange(len(own)), at], self.order[a + at]
+                better = (value > best[own]) | ((value == best[own]) & (where < place[own]))
+                best[own[better]], place[own[better]] = value[better], where[better]
+                products[own] += b - a
+        place[best < least] = -1
+        return place, best, products
+
+
+def _told(ids: pa.Array, known_ids: pa.Array, place: np.ndarray, best: np.ndarray, products: np.ndarray) -> pa.RecordBatch:
+    none = place < 0
+    names = known_ids.take(pa.array(np.where(none, 0, place), mask=none)) if len(known_ids) else pa.nulls(len(ids), known_ids.type)
+    return pa.RecordBatch.from_arrays([ids, names, pa.array(best, mask=none), pa.array(products)], ["id", "k_id", "cosine", "products"])
 
 
 def packed(rows: DataFrame, keys: Sequence[str], blocks: Column, *columns: str) -> DataFrame:
@@ -106,75 +168,165 @@ def packed(rows: DataFrame, keys: Sequence[str], blocks: Column, *columns: str)
     return dealt.groupBy(*keys, "block").agg(F.collect_list(F.struct(*columns)).alias("held"))
 
 
-def nearest_known(queries: DataFrame, known: DataFrame, least: float) -> DataFrame:
+def nearest_known(queries: DataFrame, known: DataFrame, least: float, with_products: bool = False) -> DataFrame:
     """queries (id, vec) with the known (k_id, k_vec) of highest cosine, if it reaches least; smallest k_id of equals.
 
-    Every query meets every known vector, as exact search must: known vectors of up to BROADCAST_BYTES go to all tasks,
-    more are joined block by block and each query's best of each block is kept before they are compared.
+    An exact search of an inverted file: known vectors lie in cells around pivots, and a query meets only cells that can
+    hold a better one by the triangle inequality of angles. Known vectors of up to BROADCAST_BYTES go to all tasks; more
+    stay dealt out by cells, and a query goes to those cells that can reach least. with_products adds how many products of
+    vectors each query took.
     """
     ship(queries.sparkSession)
     own = known.filter("k_vec IS NOT NULL").select("k_id", "k_vec")
     asked = queries.select("id", "vec")
-    schema = f"id {dict(asked.dtypes)['id']}, k_id {dict(own.dtypes)['k_id']}, cosine double"
+    schema = f"id {dict(asked.dtypes)['id']}, k_id {dict(own.dtypes)['k_id']}, cosine double, products bigint"
+    columns = ["id", "k_id", "cosine", *(["products"] if with_products else [])]
     n, dims = own.agg(F.count(F.lit(1)), F.max(F.size("k_vec"))).first()
     if n * (dims or 0) * 8 <= BROADCAST_BYTES:
         few = own.orderBy("k_id").toArrow().combine_chunks()
-        held = queries.sparkSession.sparkContext.broadcast((few.column("k_id").combine_chunks(), matrix(few.column("k_vec").combine_chunks())))
+        ids = few.column("k_id").combine_chunks()
+        held = queries.sparkSession.sparkContext.broadcast((ids, Cells(matrix(few.column("k_vec").combine_chunks()))))
 
         def search(batches):
-            ids, rows = held.value
+            ids, cells = held.value
             for whole in batches:
                 for at in range(0, whole.num_rows, BLOCK):
                     part = whole.slice(at, BLOCK)
                     some = part.filter(part.column("vec").is_valid())
-                    yield _best(some.column("id"), matrix(some.column("vec")), ids, rows, least)
+                    yield _told(some.column("id"), ids, *cells.nearest(matrix(some.column("vec")), least))
                     bare = part.filter(part.column("vec").is_null()).column("id")
-                    yield _best(bare, np.zeros((0, 0)), ids.slice(0, 0), rows, least)
+                    yield _told(bare, ids, np.full(len(bare), -1), np.zeros(len(bare)), np.zeros(len(bare), np.int64))
 
-        return asked.mapInArrow(search, schema)
-    blocks = lambda k: -(-k // BLOCK)
-    here, there = packed(asked.filter("vec IS NOT NULL"), [], F.lit(blocks(asked.count())), "id", "vec"), packed(own, [], F.lit(blocks(n)), "k_id", "k_vec")
-    met = here.select("held", F.explode(F.sequence(F.lit(0), F.lit(blocks(n) - 1))).alias("block")).join(there.select("block", F.col("held").alias("held2")), "block").select("held", "held2")
+        return asked.mapInArrow(search, schema).select(*columns)
+    return _nearest_by_cells(asked, own, n, least, schema).select(*columns)
+
+
+def _nearest_by_cells(asked: DataFrame, own: DataFrame, n: int, least: float, schema: str) -> DataFrame:
+    pivots = own.filter(F.pmod(F.xxhash64("k_id"), F.lit(n)) < min(MOST_PIVOTS, int(np.ceil(np.sqrt(n))))).orderBy("k_id").select("k_vec").limit(2 * MOST_PIVOTS).toArrow().combine_chunks()
+    pivots = matrix(pivots.column("k_vec").combine_chunks()) if pivots.num_rows else np.zeros((1, 1))
+    kinds = dict(own.dtypes)
+
+    def assign(batches):
+        for batch in batches:
+            near = angles(rows := matrix(batch.column("k_vec")), pivots) if pivots.any() else np.zeros((batch.num_rows, 1))
+            where = near.argmin(1)
+            yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int32)), pa.array(near[np.arange(len(where)), where]), batch.column("k_id"), batch.column("k_vec")], ["cell", "angle", "k_id", "k_vec"])
+
+    celled = saved(own.mapInArrow(assign, f"cell int, angle double, k_id {kinds['k_id']}, k_vec {kinds['k_vec']}"))
+    sizes = {r.cell: (r.n, r.r) for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("r")).collect()}  # a row a pivot
+    radius = np.array([sizes.get(c, (0, -np.inf))[1] for c in range(len(pivots))])
+
+    def send(batches):
+        for batch in batches:
+            rows = matrix(batch.column("vec"))
+            near = angles(rows, pivots) - radius <= reach(least) if pivots.any() else np.ones((len(rows), 1), bool)
+            near |= ~rows.any(1)[:, None]
+            i, c = np.nonzero(near)
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), *(batch.column(x).take(pa.array(i)) for x in ("id", "vec"))], ["cell", "id", "vec"])
+
+    some = asked.filter("vec IS NOT NULL")
+    sent = some.mapInArrow(send, f"cell int, id {dict(asked.dtypes)['id']}, vec {dict(asked.dtypes)['vec']}").filter(F.col("cell").isin(sorted(sizes)))
+    blocks = F.create_map(*[x for c, (m, _) in sorted(sizes.items()) for x in (F.lit(c), F.lit(-(-m // BLOCK)))])[F.col("cell")]
+    here = packed(sent, ["cell"], F.lit(max(1, -(-some.count() // BLOCK))), "id", "vec")
+    there = packed(celled, ["cell"], blocks, "k_id", "k_vec").withColumnRenamed("held", "held2")
+    met = here.select("cell", "held", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")).join(there, ["cell", "block"]).select("held", "held2")
 
     def compare(batches):
         for batch in batches:
             for a, b in zip(batch.column("held"), batch.column("held2"), strict=True):
                 order = pc.sort_indices(b.values.field("k_id"))
-                ids = b.values.field("k_id").take(order)
-                yield _best(a.values.field("id"), matrix(a.values.field("vec")), ids, matrix(b.values.field("k_vec").take(order)), least)
+                ids, asked_rows = b.values.field("k_id").take(order), matrix(a.values.field("vec"))
+                cosine = np.round(asked_rows @ matrix(b.values.field("k_vec").take(order)).T, 12)
+                at = cosine.argmax(1)
+                best = cosine[np.arange(len(at)), at]
+                yield _told(a.values.field("id"), ids, np.where(best >= least, at, -1), best, np.full(len(at), len(ids)))
 
-    each = met.mapInArrow(compare, schema).filter("k_id IS NOT NULL")
-    best = each.groupBy("id").agg(F.min(F.struct((-F.col("cosine")).alias("far"), "k_id")).alias("m"))
-    return asked.select("id").join(best, "id", "left").select("id", F.col("m.k_id").alias("k_id"), (-F.col("m.far")).alias("cosine"))
+    each = met.mapInArrow(compare, schema)
+    found = F.when(F.col("k_id").isNotNull(), F.struct((-F.col("cosine")).alias("far"), "k_id"))
+    best = each.groupBy("id").agg(F.min(found).alias("m"), F.sum("products").alias("products"))
+    return asked.select("id").join(best, "id", "left").select("id", F.col("m.k_id").alias("k_id"), (-F.col("m.far")).alias("cosine"), F.coalesce("products", F.lit(0)).alias("products"))
+
+
+def metric_cells(vectors: DataFrame, key: str, least: float) -> tuple[DataFrame, DataFrame]:
+    """Vectors (key, id, vec) in cells, and the pairs of cells that can hold links.
+
+    Pivots are a bounded sample of each key's vectors, a cell is what lies nearest to one of them. Two cells can hold a
+    link only if the angle between their pivots is at most their radii and the angle that least allows. Returns (key, cell,
+    n, id, vec) and (key, cell, other, n, n2), cell <= other.
+    """
+    own = vectors.filter("vec IS NOT NULL").select(key, "id", "vec")
+    kinds = dict(own.dtypes)
+    sizes = saved(own.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
+    if least <= 0 or (sizes.agg(F.max("n")).first()[0] or 0) <= BLOCK:  # a cell a key: nothing to leave out
+        pairs = sizes.select(key, F.lit(0).alias("cell"), F.lit(0).alias("other"), "n", F.col("n").alias("n2"))
+        return own.join(sizes, key).select(key, F.lit(0).alias("cell"), "n", "id", "vec"), pairs
+    some = own.filter(F.exists("vec", lambda x: x != 0)).join(sizes, key)  # without a direction nothing reaches least
+    wanted = F.least(F.lit(MOST_PIVOTS), F.ceil(F.col("n") * 2 / BLOCK))
+    sample = some.filter(F.pmod(F.xxhash64("id"), F.col("n")) < wanted)
+    pivots = saved(sample.groupBy(key).agg(F.slice(F.array_sort(F.collect_list("vec")), 1, 2 * MOST_PIVOTS).alias("pivots")))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    held = packed(some, [key, "n"], blocks, "id", "vec")
+    # the pivots of a key go to each of its blocks, so that a large key stays dealt out
+    copies = sizes.join(pivots, key, "left").select(key, "pivots", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+
+    def assign(batches):
+        for batch in batches:
+            for i, (rows, pivot) in enumerate(zip(batch.column("held"), batch.column("pivots"), strict=True)):
+                x = matrix(rows.values.field("vec"))
+                near = angles(x, matrix(pivot.values)) if pivot.is_valid else np.full((len(x), 1), np.pi)
+                where = near.argmin(1)
+                name = batch.column("k").slice(i, 1).take(pa.array(np.zeros(len(x), int)))
+                yield pa.RecordBatch.from_arrays([name, pa.array(where.astype(np.int32)), pa.array(near[np.arange(len(x)), where]), rows.values.field("id"), rows.values.field("vec")], [key, "cell", "angle", "id", "vec"])
+
+    met = held.join(copies, [key, "block"]).select(F.col(key).alias("k"), "held", "pivots")
+    celled = saved(met.mapInArrow(assign, f"`{key}` {kinds[key]}, cell int, angle double, id {kinds['id']}, vec {kinds['vec']}"))
+    cells = saved(celled.groupBy(key, "cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("r")))
+    each = cells.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("cell", "r", "n"))).alias("cells")).join(pivots, key, "left")
+    allowed = reach(least)
+
+    def meet(batches):
+        for batch in batches:
+            for i, (held, pivot) in enumerate(zip(batch.column("cells"), batch.column("pivots"), strict=True)):
+                cell, r, n = (held.values.field(c).to_numpy() for c in ("cell", "r", "n"))
+                between = angles(matrix(pivot.values), matrix(pivot.values))[np.ix_(cell, cell)] if pivot.is_valid else np.zeros((len(cell), len(cell)))
+                a, b = np.nonzero(np.triu(between <= r[:, None] + r[None] + allowed + SLACK) | np.eye(len(cell), dtype=bool))
+                name = batch.column("k").slice(i, 1).take(pa.array(np.zeros(len(a), int)))
+                yield pa.RecordBatch.from_arrays([name, *map(pa.array, (cell[a], cell[b], n[a], n[b]))], [key, "cell", "other", "n", "n2"])
+
+    pairs = each.select(F.col(key).alias("k"), "cells", "pivots").mapInArrow(meet, f"`{key}` {kinds[key]}, cell int, other int, n bigint, n2 bigint")
+    return celled.join(cells.select(key, "cell", "n"), [key, "cell"]).select(key, "cell", "n", "id", "vec"), pairs
 
 
 def cosine_links(vectors: DataFrame, key: str, least: float) -> DataFrame:
     """(key, a, b, cosine) of pairs a < b of vectors (id, vec) of equal key whose cosine reaches least.
 
-    A key's vectors are dealt to blocks, and each pair of blocks is one product of matrices in some task.
+    Only cells that can hold links meet (metric_cells). A cell's vectors are dealt to blocks, and each pair of blocks is one
+    product of matrices in some task.
     """
     ship(vectors.sparkSession)
-    own = vectors.filter("vec IS NOT NULL").select(key, "id", "vec")
-    sizes = saved(own.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
-    held = packed(own.join(sizes, key), [key, "blocks"], F.col("blocks"), "id", "vec")
-    left = held.select(key, "block", "held", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("other"))
-    met = left.join(held.select(key, F.col("block").alias("other"), F.col("held").alias("held2")), [key, "other"])
+    celled, pairs = metric_cells(vectors, key, least)
+    count = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    held = packed(celled, [key, "cell", "n"], count("n"), "id", "vec").drop("n")
+    met = pairs.select(key, "cell", "other", F.explode(F.sequence(F.lit(0), count("n") - 1)).alias("block"), count("n2").alias("blocks"))
+    first = F.when(F.col("cell") == F.col("other"), F.col("block")).otherwise(0)
+    met = met.select(key, "cell", "block", "other", F.explode(F.sequence(first, F.col("blocks") - 1)).alias("block2"))
+    met = met.join(held, [key, "cell", "block"]).join(held.select(key, F.col("cell").alias("other"), F.col("block").alias("block2"), F.col("held").alias("held2")), [key, "other", "block2"])
 
     def compare(batches):
         for batch in batches:
-            for k, own_block, a, b in zip(batch.column("k"), batch.column("same").to_pylist(), batch.column("held"), batch.column("held2"), strict=True):
+            for i, (own_block, a, b) in enumerate(zip(batch.column("same").to_pylist(), batch.column("held"), batch.column("held2"), strict=True)):
                 cosine = matrix(a.values.field("vec")) @ matrix(b.values.field("vec")).T
-                i, j = np.nonzero(cosine >= least)
-                x, y = a.values.field("id").take(pa.array(i)), b.values.field("id").take(pa.array(j))
+                x_at, y_at = np.nonzero(cosine >= least)
+                x, y = a.values.field("id").take(pa.array(x_at)), b.values.field("id").take(pa.array(y_at))
                 less = pc.less(x, y)
                 low, high = pc.if_else(less, x, y), pc.if_else(less, y, x)
                 keep = less if own_block else pc.not_equal(x, y)
-                names = pa.array([k.as_py()] * len(i), k.type)
-                yield pa.RecordBatch.from_arrays([names, low, high, pa.array(cosine[i, j])], [key, "a", "b", "cosine"]).filter(keep)
+                names = batch.column("k").slice(i, 1).take(pa.array(np.zeros(len(x_at), int)))
+                yield pa.RecordBatch.from_arrays([names, low, high, pa.array(cosine[x_at, y_at])], [key, "a", "b", "cosine"]).filter(keep)
 
-    kinds = dict(own.dtypes)
-    met = met.select(F.col(key).alias("k"), (F.col("block") == F.col("other")).alias("same"), "held", "held2")
-    return met.mapInArrow(compare, f"`{key}` {kinds[key]}, a {kinds['id']}, b {kinds['id']}, cosine double")
+    kinds = dict(vectors.dtypes)
+    same = (F.col("cell") == F.col("other")) & (F.col("block") == F.col("block2"))
+    return met.select(F.col(key).alias("k"), same.alias("same"), "held", "held2").mapInArrow(compare, f"`{key}` {kinds[key]}, a {kinds['id']}, b {kinds['id']}, cosine double")
 
 
 def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

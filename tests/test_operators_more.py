@@ -141,6 +141,47 @@ def test_cosine_links_by_blocks(spark, monkeypatch):
     assert got == {(k, i, j) for k, i, v in rows for q, j, w in rows if k == q and i < j and cos(v, w) >= 0.5} and got
 
 
+def clustered(n, seed, spread=0.08, dims=8, clusters=9):
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(clusters, dims))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    return centres[r.integers(0, clusters, n)] + r.normal(size=(n, dims)) * spread
+
+
+@pytest.mark.parametrize("least", [0.9, 0.6, 0.0])
+def test_metric_cells_lose_no_link(spark, monkeypatch, least):
+    monkeypatch.setattr(joins, "BLOCK", 16)
+    n = 300
+    rows = [(i % 2, i, v.tolist()) for i, v in enumerate(clustered(n, 3))] + [(0, 900, [0.0] * 8), (1, 901, None), (7, 902, [1.0] * 8)]
+    df = spark.createDataFrame(rows, "k int, id long, vec array<double>")
+    unit = np.array([np.array(v) / max(np.linalg.norm(v), 1e-300) if v else np.zeros(8) for _, _, v in rows])
+    cos, key, known = unit @ unit.T, [r[0] for r in rows], [r[2] is not None for r in rows]
+    want = {(key[i], rows[i][1], rows[j][1]) for i in range(len(rows)) for j in range(i + 1, len(rows)) if key[i] == key[j] and known[i] and known[j] and cos[i, j] >= least and abs(cos[i, j] - least) > 1e-12}
+    got = {(x.k, x.a, x.b) for x in joins.cosine_links(df, "k", least).collect()}
+    assert {g for g in got if 900 not in g or least > 0} == {w for w in want if 900 not in w or least > 0} and got
+    if least == 0.9:
+        compared = joins.metric_cells(df, "k", least)[1].agg(F.sum(F.col("n") * F.col("n2"))).first()[0]
+        assert compared < 0.35 * 2 * 150 * 151 / 2, compared
+
+
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
+def test_nearest_known_leaves_cells_out(spark, monkeypatch, limit):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+    known, asked = clustered(600, 4), np.concatenate([clustered(600, 4)[:40], np.random.default_rng(1).normal(size=(20, 8))])
+    k = spark.createDataFrame([(f"k{i:03d}", v.tolist()) for i, v in enumerate(known)], "k_id string, k_vec array<double>")
+    q = spark.createDataFrame([*[(i, v.tolist()) for i, v in enumerate(asked)], (98, [0.0] * 8)], "id long, vec array<double>")
+    for least in (0.7, -1.0):
+        got = {x.id: x for x in joins.nearest_known(q, k, least, with_products=True).collect()}
+        unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+        cosine = unit(asked) @ unit(known).T
+        assert len(got) == 61 and got[98].k_id == (None if least > 0 else "k000")
+        for i in range(60):
+            best = cosine[i].max()
+            assert (got[i].k_id is None) if best < least else (got[i].k_id == f"k{cosine[i].round(11).argmax():03d}" and abs(got[i].cosine - best) < 1e-9)
+        if least > 0:
+            assert sum(x.products for x in got.values()) < 0.6 * 61 * 600
+
+
 def lcs(a, b):
     if not a or not b:
         return 0
