@@ -9,8 +9,9 @@ of the task attempt that wrote it; only files named in the committed table of an
 may be repeated at any time.
 
 Defined cases: a null html is an empty payload, a null url an empty target; rows equal in id and payload are all
-responses; null ids come after all others and refer to the smallest id; an empty table gives an empty result; other
-columns are ignored.
+responses; null ids come after all others and refer to the smallest id, or are all responses where a payload has no other;
+a very long payload is one record, which the tasks that write and read it hold whole; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import cut, may_be, remove, scratch, text_of
+from tallyloom.llm.common import cut, dealt_join, may_be, remove, scratch, text_of
 from tallyloom.session import ship, table
 
 #: Bytes of records after which a writer starts another archive.
@@ -258,10 +259,11 @@ def revisits(pages: DataFrame, id_col: str, url_col: str, html_col: str, least_b
     firsts = rows.filter(F.octet_length("payload") >= least_bytes).groupBy("_key", "sha1").agg(
         F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n")
     )
-    firsts = cut(firsts.filter("_n > 1").drop("_n"), "warc-firsts")
+    firsts = cut(firsts.filter("_n > 1"), "warc-firsts")
     told = may_be(rows, "_key", firsts)
     alone = told.filter("NOT _may").withColumn("first", F.lit(None).cast(rows.schema["page_id"].dataType)).withColumn("revisit", F.lit(False))
-    known = told.filter("_may").join(firsts.select("sha1", "first"), "sha1", "left")
+    # the payload that most pages share (an empty one, an error page) is dealt out over many tasks
+    known = dealt_join(told.filter("_may"), firsts.select("sha1", "first"), "sha1", firsts.select("sha1", F.col("_n").alias("n")), ["page_id", "url"], "left")
     again = (F.octet_length("payload") >= least_bytes) & F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     names = ["page_id", "url", "payload", "sha1", "first", "revisit"]
     return alone.select(names).unionAll(known.withColumn("revisit", again).select(names))
