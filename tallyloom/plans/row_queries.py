@@ -381,19 +381,19 @@ def reassigned(spark, d):
     return changelog.reassigned(log, "user_id", "ts", "event_type")
 
 
-@query("upsert_rows", """WITH c AS (SELECT c_custkey k, c_name n, c_acctbal b FROM customer WHERE c_custkey % 4 <> 0), i AS (SELECT c_custkey k, upper(c_name) n, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal + 1 END b FROM customer WHERE c_custkey % 3 = 0)
+@query("upsert_rows", """WITH c AS (SELECT c_custkey k, c_name n, c_acctbal b FROM customer WHERE c_custkey % 4 <> 0), i AS (SELECT c_custkey k, upper(c_name) n, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal + 1 END b FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 4 = 0)
     SELECT coalesce(c.k, i.k) k, coalesce(i.n, c.n) n, coalesce(i.b, c.b) b FROM c FULL JOIN i ON c.k = i.k""")
 def upsert_rows(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("n"), F.col("c_acctbal").alias("b"))
-    new = c.filter("k % 3 = 0").select("k", F.upper("n").alias("n"), F.when(F.col("k") % 2 == 0, F.col("b") + 1).alias("b"))
+    new = c.filter("k % 3 = 0 OR k % 4 = 0").select("k", F.upper("n").alias("n"), F.when(F.col("k") % 2 == 0, F.col("b") + 1).alias("b"))
     return changelog.upsert(c.filter("k % 4 <> 0"), new, "k", keep=["b"])
 
 
-@query("curator_import", """WITH c AS (SELECT c_custkey k, c_name n, c_acctbal b FROM customer WHERE c_custkey % 4 <> 0), i AS (SELECT c_custkey k, upper(c_name) n, c_acctbal + 1 b FROM customer WHERE c_custkey % 3 = 0)
+@query("curator_import", """WITH c AS (SELECT c_custkey k, c_name n, c_acctbal b FROM customer WHERE c_custkey % 4 <> 0), i AS (SELECT c_custkey k, upper(c_name) n, c_acctbal + 1 b FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 4 = 0)
     SELECT coalesce(c.k, i.k) k, coalesce(i.n, c.n) n, coalesce(c.b, i.b) b FROM c FULL JOIN i ON c.k = i.k""")
 def curator_import(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("n"), F.col("c_acctbal").alias("b"))
-    return changelog.curator_import(c.filter("k % 4 <> 0"), c.filter("k % 3 = 0").select("k", F.upper("n").alias("n"), (F.col("b") + 1).alias("b")), "k", ["n"])
+    return changelog.curator_import(c.filter("k % 4 <> 0"), c.filter("k % 3 = 0 OR k % 4 = 0").select("k", F.upper("n").alias("n"), (F.col("b") + 1).alias("b")), "k", ["n"])
 
 
 @query("cascade_delete", "SELECT o_orderkey k, 'parent' side FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT l_orderkey, 'child' FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'")

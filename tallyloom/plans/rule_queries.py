@@ -236,10 +236,10 @@ def bulk_set(spark, d):
     return changelog.set_columns(c, updates, "k")
 
 
-@query("editable_upsert", "SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'edited' ELSE c_name END AS n, c_acctbal AS b FROM customer WHERE c_custkey % 7 > 0 UNION ALL SELECT c_custkey, 'edited', NULL FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 5 = 0")
+@query("editable_upsert", "SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'edited' ELSE c_name END AS n, c_acctbal AS b FROM customer WHERE c_custkey % 7 > 0 UNION ALL SELECT c_custkey, 'edited', NULL FROM customer WHERE c_custkey % 7 = 0")
 def editable_upsert(spark, d):
     c = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("n"), F.col("c_acctbal").alias("b"))
-    new = c.filter("k % 5 = 0").select("k", F.lit("edited").alias("n"), (F.col("b") * 0).alias("b"))
+    new = c.filter("k % 5 = 0 OR k % 7 = 0").select("k", F.lit("edited").alias("n"), (F.col("b") * 0).alias("b"))
     return changelog.editable_upsert(c.filter("k % 7 > 0"), new, "k", ["n"])
 
 
