@@ -66,14 +66,20 @@ def _largest_gap(starts: np.ndarray, ends: np.ndarray) -> int:
     return int(widest[np.abs(widest - middle).argmin()])
 
 
-def sentence_windows(words: DataFrame, key: str, order: Sequence[str], limits: Segmentation = Segmentation()) -> DataFrame:
+def sentence_windows(words: DataFrame, key: str, order: Sequence[str], limits: Segmentation = Segmentation(), pieces: bool = True) -> DataFrame:
     """(key, window, start, end, n_words, text, voice, start_type, end_type) of every recording's sentences.
 
     Boundaries are found by window functions; merging short units and splitting long ones depends on what was done
-    before, so it runs in Python for each recording, whose length bounds the group.
+    before, so it runs in Python. No rule looks across a unit's end behind which there is silence of more than the merge gap
+    and both paddings: recordings are cut there, each piece is decided in a group of its own, and prefix sums of the pieces'
+    numbers of windows number them. The longest stretch without such a silence bounds a group; without pieces a recording is one.
     """
     ship(words.sparkSession)
-    marked = boundaries(words, [key], order, limits.silence).select(key, "unit", "start", "end", "raw", "clean", "speaker", "end_type", *[c for c in order if c not in ("start", "end")])
+    marked = boundaries(words, [key], order, limits.silence)
+    w = Window.partitionBy(key).orderBy(*order)
+    ends = F.lit(pieces) & F.col("end_type").isNotNull() & (F.lead("start").over(w) - F.col("end") > max(limits.merge_gap, 2 * limits.pad))
+    marked = marked.withColumn("_ends", ends).withColumns({"_piece": F.coalesce(F.sum(F.col("_ends").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_began": F.coalesce(F.lag("end_type").over(w), F.lit("media"))})
+    marked = marked.select(key, "_piece", "_began", "unit", "start", "end", "raw", "clean", "speaker", "end_type", *[c for c in order if c not in ("start", "end")])
     kind = dict(words.dtypes)[key]
     by = list(order)
 
@@ -83,7 +89,7 @@ def sentence_windows(words: DataFrame, key: str, order: Sequence[str], limits: S
         speakers = [None if pd.isna(x) else x for x in own["speaker"]]
         kinds, clean = own["end_type"].tolist(), own["clean"].tolist()
         edges = [0, *(np.flatnonzero(np.diff(own["unit"].to_numpy())) + 1).tolist(), len(own)]
-        runs, before = [], "media"  # (first word, last word + 1, what began it, what ended it)
+        runs, before = [], own["_began"].iloc[0]  # (first word, last word + 1, what began it, what ended it)
         for a, z in pairwise(edges):
             began, before = before, kinds[z - 1]
             if runs:
@@ -116,11 +122,16 @@ def sentence_windows(words: DataFrame, key: str, order: Sequence[str], limits: S
             first, last = max(0.0, start - room[0]), end + room[1]
             if last - first >= limits.hard_min:
                 text = " ".join(w for w in clean[a:z] if w)
-                rows.append((pdf[key].iloc[0], len(rows), first, last, z - a, text, _voice(speakers[a:z]) or "", began, ended))
-        return pd.DataFrame(rows, columns=[key, "window", "start", "end", "n_words", "text", "voice", "start_type", "end_type"])
-
-    schema = f"{key} {kind}, window int, start double, end double, n_words int, text string, voice string, start_type string, end_type string"
-    return marked.groupBy(key).applyInPandas(build, schema)
+                rows.append((pdf[key].iloc[0], pdf["_piece"].iloc[0], len(rows), first, last, z - a, text, _voice(speakers[a:z]) or "", began, ended))
+        return pd.DataFrame(rows, columns=[key, "_piece", "window", "start", "end", "n_words", "text", "voice", "start_type", "end_type"])
+
+    schema = f"{key} {kind}, _piece bigint, window int, start double, end double, n_words int, text string, voice string, start_type string, end_type string"
+    found = marked.groupBy(key, "_piece").applyInPandas(build, schema)
+    # the windows of a piece follow those of all pieces before it; a row for each piece is what is summed
+    earlier = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, 0)
+    counted = found.groupBy(key, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    before = counted.select(key, "_piece", (F.sum("_n").over(earlier) - F.col("_n")).cast("int").alias("_before"))
+    return found.join(before, [key, "_piece"]).withColumn("window", F.col("window") + F.col("_before")).drop("_piece", "_before")
 
 
 def islands(rows: DataFrame, keys: Sequence[str], at: str, gap: Column) -> DataFrame:

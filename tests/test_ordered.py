@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -85,3 +86,18 @@ def test_consensus_and_identity(spark):
     assert {r.id: r.cluster for r in identity.clusters(frame, "video", min_members=2).collect()} == {0: 0, 1: 1, 2: 0, 3: 1, 4: None}
     known = spark.createDataFrame([(10, [1.0, 0.05])], "k_id int, k_vec array<double>")
     assert {r.id: (r.speaker, r.match) for r in identity.identities(frame.select("id", "vec"), known).collect()}[0] == (10, "auto")
+
+
+def test_cut_recordings_give_the_same_windows(spark):
+    """Pieces between long silences, decided alone, against one group for the whole recording."""
+    r = random.Random(11)
+    words, at = [], 0.0
+    for _ in range(700):
+        at += r.choice([0.0, 0.05, 0.3, 0.6, 0.95, 1.0, 1.05, 3.0, 9.0])
+        words.append((at, at + r.choice([0.1, 0.4, 1.5]), r.choice(["a", "b.", "c?"]), r.choice(["S0", "S0", "S1", None])))
+        at = words[-1][1]
+    rows = [(v, i, *w, w[2].upper()) for v in (1, 2) for i, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "video int, i int, start double, end double, raw string, speaker string, clean string")
+    for limits in ({}, {"hard_max": 4.0}, {"pad": 2.0, "hard_min": 0.2}, {"merge_gap": 0.2}):
+        told = [ordered.sentence_windows(df, "video", ["i"], ordered.Segmentation(**limits), pieces).filter("video = 1").orderBy("window").collect() for pieces in (True, False)]
+        assert told[0] == told[1] and [x.window for x in told[0]] == list(range(len(told[0]))) and len(told[0]) > 50
