@@ -42,11 +42,26 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Paths that this driver has handed out and not yet removed.
+_FRESH: list[str] = []
+
+
 def fresh_path(spark: SparkSession, what: str) -> str:
-    """A path below the shared folder that nothing has used."""
+    """A path below the shared folder that nothing has used; clear_fresh removes it."""
     import uuid
 
-    return f"{shared_dir(spark)}/tallyloom/{what}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tallyloom/{what}-{uuid.uuid4().hex}"
+    _FRESH.append(path)
+    return path
+
+
+def clear_fresh(spark: SparkSession) -> int:
+    """Remove all paths of fresh_path, once the results that read them have been written."""
+    n = len(_FRESH)
+    while _FRESH:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_FRESH.pop())
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return n
 
 
 def saved(df: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,3 +116,11 @@ def test_log_state(spark):
     lines = ["Processing video 1/2: md_001", "Step 1: Downloading video: md_001", "Step 2: splitting", "error: x", "Processing video 2/2: md_002"]
     got = streams.log_state(spark.createDataFrame([("j", i, m) for i, m in enumerate(lines)], "job string, i int, msg string"), "job", "i").first()
     assert (got.videos, got.current_video, got.stage, got.position, got.total, got.errors) == (2, "md_002", None, 2, 2, 1)
+
+
+def test_fresh_paths_are_cleared(spark):
+    from tallyloom import session
+
+    path = session.fresh_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert session.clear_fresh(spark) >= 1 and not Path(path.removeprefix("file://")).exists() and session.clear_fresh(spark) == 0

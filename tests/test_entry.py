@@ -28,6 +28,7 @@ def test_nothing_else_imports_the_optional_subpackage():
     "video_stats", "training_funnel", "speaker_balance", "vocabulary", "interval_max_overlap", "cluster_components", "as_of", "review_state", "review_queues", "explorer_sorts", "video_payload", "segment_payload",
     "corpus_kpis", "overview_payload", "sentence_windows", "wer_turns", "best_lag", "one_euro", "gaussian_smooth", "stream_jobs", "log_state", "log_chunks", "annotation_files", "manifest_files", "csv_import", "recorded_drops",
     "trimmed_words", "drop_reasons", "clean_words", "sentence_ends", "content_hash", "outlier_labels", "cosine_top1", "duration_quantiles",
+    "tier_quantiles", "region_balance", "distributions", "job_log_state", "job_log_feed", "import_state", "tail_lines", "turn_changes", "live_overview", "cosine_links", "vocab_fallback", "upsert_rows", "editable_upsert",
 ])
 def test_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
