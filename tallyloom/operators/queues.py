@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.rules import known, not_rejected
+from tallyloom.session import saved
 
 
 def with_words(segments: DataFrame, words: str = "words", present: bool = True) -> DataFrame:
@@ -87,6 +88,20 @@ def page(rows: DataFrame, order: Sequence[Column | str], first: int, last: int)
     return head.withColumn("pos", F.row_number().over(Window.orderBy(*order))).filter(F.col("pos") >= first)
 
 
+def numbered(rows: DataFrame, order: Sequence[Column | str], name: str = "pos") -> DataFrame:
+    """rows with their place (from 1) in an order that has no ties, for any number of rows.
+
+    Ranges of the order are sorted side by side; a range's places follow those of the ranges before it, of which only the
+    numbers of rows are added up. The ranges are written before they are counted, as they depend on samples.
+    """
+    at, low = F.monotonically_increasing_id(), 33  # the range, and below it the place within
+    held = saved(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at))
+    sizes = held.groupBy(F.shiftright("_at", low).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
+    placed = held.withColumn("_range", F.shiftright("_at", low)).join(F.broadcast(before), "_range")  # a row a range
+    return placed.withColumn(name, F.col("_before") + F.col("_at").bitwiseAND((1 << low) - 1) + 1).select(*rows.columns, name)
+
+
 def tagging_queue(videos: DataFrame, order: str, columns: Sequence[str], channel: str | None = None, start: str | None = None, key: str = "video_id", everything: bool = False) -> DataFrame:
     """Videos with a tag missing, of a channel if one is named, from video `start` on if the queue holds it."""
     blank = F.lit(everything)

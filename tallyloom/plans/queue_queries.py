@@ -62,7 +62,7 @@ def explorer_sorts(spark, d):
     UNION ALL SELECT 'text', speaker_id, row_number() OVER (ORDER BY lower(name) DESC, speaker_id) FROM s""")
 def speaker_sorts(spark, d):
     s = b.clips(spark, d).groupBy("speaker_id").agg(F.avg(F.when(F.col("segment_id") % 23 > 4, F.col("syncnet_conf"))).alias("v"), F.upper("speaker_id").alias("name"))
-    ranked = lambda name, order: s.select(F.lit(name).alias("sorting"), "speaker_id", F.row_number().over(Window.orderBy(*order, "speaker_id")).alias("pos"))
+    ranked = lambda name, order: queues.numbered(s, [*order, F.col("speaker_id")]).select(F.lit(name).alias("sorting"), "speaker_id", "pos")
     return ranked("number", queues.speaker_order("v", True, True)).unionByName(ranked("text", queues.speaker_order("name", False, False)))
 
 

@@ -317,12 +317,12 @@ def rounded_evidence(spark, d):
     n AS (SELECT id, sqrt(sum(x * x)) n FROM h GROUP BY 1) SELECT h.id, (h.i - 1)::INT AS i, round(CASE WHEN h.id % 3 = 1 THEN x / n ELSE x END, 6) AS x FROM h JOIN n ON h.id = n.id""")
 def rematched(spark, d):
     """Known centroids of two thirds of the ids; found ones of two thirds: those of both move half-way to the next vector."""
-    from pyspark.sql import Window
-
     from tallyloom.operators.joins import unit
+    from tallyloom.operators.queues import numbered
 
     u = vectors(spark, d).select("id", unit(F.col("vec")).alias("centroid"))
-    after = u.withColumn("after", F.lead("centroid").over(Window.orderBy("id")))
+    placed = numbered(u, ["id"])
+    after = placed.join(placed.select((F.col("pos") - 1).alias("pos"), F.col("centroid").alias("after")), "pos", "left")
     found = after.filter("id % 3 > 0").select("id", F.when(F.col("id") % 3 == 1, F.coalesce("after", "centroid")).otherwise(F.col("centroid")).alias("centroid"))
     return identity.rematched(u.filter("id % 3 < 2"), found).select("id", F.posexplode("centroid").alias("i", "x")).select("id", "i", F.round("x", 6).alias("x"))
 

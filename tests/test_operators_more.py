@@ -226,3 +226,14 @@ def test_corrections_and_drops(spark):
     done, missing = changelog.corrections(p, spark.createDataFrame([("x:Studio",), ("bad",), ("y:cave",)], "value string"), "id", "env", ("studio",))
     assert done.first().env is None and [r.id for r in missing.collect()] == ["x"]
     assert pd.isna(stats.quantiles(p.select(F.lit(None).cast("double").alias("v")), "v").toPandas()).all(axis=None)
+
+
+def test_places_by_ranges(spark):
+    r = random.Random(2)
+    rows = [(i, r.choice([None, 1.5, 2.5, r.random()])) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, v double").repartition(5)
+    order = [F.col("v").desc_nulls_last(), F.col("id")]
+    want = {i: k + 1 for k, (i, _) in enumerate(sorted(rows, key=lambda x: (x[1] is None, -(x[1] or 0), x[0])))}
+    got = queues.numbered(df, order)
+    assert got.columns == ["id", "v", "pos"] and {x.id: x.pos for x in got.collect()} == want
+    assert queues.numbered(df.filter("false"), order).count() == 0
