@@ -182,6 +182,28 @@ def next_claim(states: DataFrame) -> DataFrame:
     return one.filter("busy = 0 AND job_id IS NOT NULL").select("job_id")
 
 
+#: The kinds of jobs that may be asked for.
+JOB_TYPES = ("single", "batch", "resume", "resume_batch", "sync", "bulk_import")
+
+
+def admissions(log: DataFrame, queue: str, order: str, kind: str, job_type: str) -> DataFrame:
+    """(queue, order, answer, job_id) of every request in a queue's log, where one job at a time may be active.
+
+    log: rows of kind 'request' (with a type) and 'end' (of whatever is active). A request of an unknown type is answered
+    with 400, one while a job is active with 409 and that job's id, the others with 201 and the next id of the queue. An
+    end opens the queue again, so that the first good request behind each end is the one that is taken: no state is
+    carried from row to row but counts.
+    """
+    by = Window.partitionBy(queue).orderBy(order)
+    upto = by.rowsBetween(Window.unboundedPreceding, 0)
+    good = (F.col(kind) == "request") & F.coalesce(F.col(job_type).isin(*JOB_TYPES), F.lit(False))
+    own = log.select(queue, order, kind, good.alias("_good")).withColumn("_ends", F.sum((F.col(kind) == "end").cast("int")).over(upto))
+    before = F.sum(F.col("_good").cast("int")).over(Window.partitionBy(queue, "_ends").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    taken = own.withColumn("_taken", F.col("_good") & (before == 1)).withColumn("_id", F.sum(F.col("_taken").cast("int")).over(upto))
+    answer = F.when(~F.col("_good"), 400).when(F.col("_taken"), 201).otherwise(409)
+    return taken.filter(F.col(kind) == "request").select(queue, order, answer.alias("answer"), F.when(F.col("_good"), F.col("_id")).cast("bigint").alias("job_id"))
+
+
 def delete_prefixes(rows: DataFrame, gone: DataFrame, key: str, prefix: str) -> DataFrame:
     """rows without those whose key begins with one of gone's prefixes and '_'.
 

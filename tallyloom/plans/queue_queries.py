@@ -182,6 +182,18 @@ def next_claim(spark, d):
     return changelog.next_claim(jobs(spark, d))
 
 
+@query("job_admissions", """WITH e AS (SELECT user_id, event_id, event_type <> 'purchase' AS ask, event_type <> 'purchase' AND event_id % 7 < 6 AS good FROM events),
+    n AS (SELECT *, count(*) FILTER (WHERE NOT ask) OVER (PARTITION BY user_id ORDER BY event_id) AS ends FROM e),
+    t AS (SELECT *, good AND count(*) FILTER (WHERE good) OVER (PARTITION BY user_id, ends ORDER BY event_id) = 1 AS taken FROM n),
+    i AS (SELECT *, count(*) FILTER (WHERE taken) OVER (PARTITION BY user_id ORDER BY event_id) AS id FROM t)
+    SELECT user_id, event_id, CASE WHEN NOT good THEN 400 WHEN taken THEN 201 ELSE 409 END AS answer, CASE WHEN good THEN id END AS job_id FROM i WHERE ask""")
+def job_admissions(spark, d):
+    """Requests for jobs, a queue for each user: purchases end what is active, and a seventh of the rest asks for an unknown type."""
+    kind = F.when(F.col("event_type") == "purchase", "end").otherwise("request")
+    asked = F.get(F.array(*map(F.lit, [*changelog.JOB_TYPES, "other"])), (F.col("event_id") % 7).cast("int"))
+    return changelog.admissions(table(spark, d, "events").select("user_id", "event_id", kind.alias("kind"), asked.alias("type")), "user_id", "event_id", "kind", "type")
+
+
 @query("words_presence", """WITH w AS (SELECT doc_id, len(list_filter(string_split_regex(text, '\\s+'), lambda x: contains(x, '.'))) n FROM documents) SELECT doc_id, n > 0 AS present FROM w""")
 def words_presence(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.filter(F.split("text", r"\s+"), lambda w: w.contains(".")).alias("words"))

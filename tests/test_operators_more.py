@@ -237,3 +237,25 @@ def test_places_by_ranges(spark):
     got = queues.numbered(df, order)
     assert got.columns == ["id", "v", "pos"] and {x.id: x.pos for x in got.collect()} == want
     assert queues.numbered(df.filter("false"), order).count() == 0
+
+
+def test_admissions_one_job_at_a_time(spark):
+    r = random.Random(8)
+    rows = [(q, i, r.choice(["request", "request", "end"]), r.choice([*changelog.JOB_TYPES, "other", None])) for q in range(3) for i in range(60)]
+    want = {}
+    for q in range(3):
+        active, last = None, 0
+        for _, i, kind, job in [x for x in rows if x[0] == q]:
+            if kind == "end":
+                active = None
+            elif job not in changelog.JOB_TYPES:
+                want[q, i] = (400, None)
+            elif active is not None:
+                want[q, i] = (409, active)
+            else:
+                last += 1
+                active = last
+                want[q, i] = (201, active)
+    df = spark.createDataFrame(rows, "q int, i int, kind string, type string").repartition(3)
+    got = {(x.q, x.i): (x.answer, x.job_id) for x in changelog.admissions(df, "q", "i", "kind", "type").collect()}
+    assert got == want
