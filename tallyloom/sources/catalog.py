@@ -117,10 +117,10 @@ def array_counts(documents: DataFrame, arrays: Sequence[str]) -> DataFrame:
 
 
 def import_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """(video_id, url) of lines 'URL' or 'id URL'; blank lines and comments give none."""
+    """(video_id, url) of lines 'URL' or 'id URL', behind the other columns; blank lines and comments give none."""
     parts = F.split(F.trim(column), r"\s+")
     own = lines.filter(F.trim(column) != "").filter(~F.trim(column).startswith("#"))
-    return own.select(F.when(F.size(parts) > 1, F.get(parts, F.lit(0))).alias("video_id"), F.element_at(parts, -1).alias("url"))
+    return own.select(*[c for c in lines.columns if c != column], F.when(F.size(parts) > 1, F.get(parts, F.lit(0))).alias("video_id"), F.element_at(parts, -1).alias("url"))
 
 
 def backup(tables: Mapping[str, DataFrame], path: str) -> None:

@@ -124,3 +124,12 @@ def test_fresh_paths_are_cleared(spark):
     path = session.fresh_path(spark, "x")
     spark.range(3).write.parquet(path)
     assert session.clear_fresh(spark) >= 1 and not Path(path.removeprefix("file://")).exists() and session.clear_fresh(spark) == 0
+
+
+def test_import_lines_query_with_odd_addresses(spark, tmp_path):
+    from tallyloom.queries import QUERIES
+
+    pages = [(1, "http://x"), (3, "http://x"), (2, "http://y"), (4, "http://y"), (6, "a b+c%20"), (7, "# z"), (8, None), (9, ""), (5, "http://x"), (10, "http://y")]
+    spark.createDataFrame(pages, "page_id bigint, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(map(tuple, QUERIES["import_lines"](spark, str(tmp_path)).collect()))
+    assert got == sorted((i, f"md_{i}" if i % 2 == 0 else None, url) for i, url in pages if i % 5)
