@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -21,61 +22,88 @@ def _overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.divide(common, union, out=np.zeros_like(common), where=union > 0)
 
 
-def assign(found: np.ndarray, held: np.ndarray, least: float) -> dict[int, int]:
+def _share(a: tuple, b: tuple) -> float:
+    """_overlaps of two boxes."""
+    wide, high = min(a[0] + a[2], b[0] + b[2]) - max(a[0], b[0]), min(a[1] + a[3], b[1] + b[3]) - max(a[1], b[1])
+    common = max(wide, 0.0) * max(high, 0.0)
+    union = a[2] * a[3] + b[2] * b[3] - common
+    return common / union if union > 0 else 0.0
+
+
+def assign(found: Sequence, held: Sequence, least: float) -> dict[int, int]:
     """Which held box each found box continues: best overlap first, later indices first among equals, each once."""
     if not len(found) or not len(held):
         return {}
-    share = _overlaps(found, held)
-    order = np.lexsort((np.tile(np.arange(len(held)), len(found)), np.repeat(np.arange(len(found)), len(held)), share.reshape(-1)))[::-1]
+    if len(found) * len(held) <= 32 and not any(v != v for box in (*found, *held) for v in box):  # arrays don't pay for a few pairs
+        pairs = sorted(((s, i, j) for i, x in enumerate(found) for j, y in enumerate(held) if (s := _share(x, y)) >= least), reverse=True)
+    else:
+        share = _overlaps(np.array(found, float), np.array(held, float))
+        i, j = np.nonzero(~(share < least))
+        order = np.lexsort((j, i, share[i, j]))[::-1]
+        pairs = zip(order.tolist(), i[order].tolist(), j[order].tolist(), strict=True)
     taken: dict[int, int] = {}
-    for at in order.tolist():
-        i, j = divmod(at, len(held))
-        if share[i, j] < least:
-            break
-        if i not in taken and j not in taken.values():
+    used = set()
+    for _, i, j in pairs:
+        if i not in taken and j not in used:
             taken[i] = j
+            used.add(j)
     return taken
 
 
-def in_order(rows: DataFrame, key: str, order: Sequence[str], step: Callable, schema: str, finish: Callable | None = None) -> DataFrame:
-    """step(piece, state) -> (rows, state) over the rows of each key in order, a piece at a time.
+def in_order(rows: DataFrame, key: str | Sequence[str], order: Sequence[str], step: Callable, schema: str, finish: Callable | None = None) -> DataFrame:
+    """step(piece, state) -> (columns, state) over the rows of each key in order, a piece at a time.
 
     A key's rows are never held together: what a step needs of those before is its state, None at first. finish(name,
-    state) gives the rows that are left when a key has ended.
+    state) gives the rows that are left when a key has ended; with several keys its name is a tuple. Pieces and rows are
+    arrays or lists by column: a batch holds many keys, and a frame for each would take longer than the steps.
     """
     ship(rows.sparkSession)
+    keys = [key] if isinstance(key, str) else list(key)
+
+    def joined(outs: list) -> pd.DataFrame:
+        columns = outs[0] if outs else {}
+        return pd.DataFrame({c: np.concatenate([np.asarray(o[c], object if isinstance(o[c], list) else None) for o in outs]) for c in columns})
 
     def work(pieces: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name, state, begun = None, None, False
         for pdf in pieces:
-            k = pdf[key]
-            fresh = k.ne(k.shift()) & ~(k.isna() & k.shift().isna())
-            for _, part in pdf.groupby(fresh.cumsum().to_numpy(), sort=True):
-                now = part[key].iloc[0]
-                if not (begun and (now == name or pd.isna(now) and pd.isna(name))):
+            if pdf.empty:
+                continue
+            fresh = np.zeros(len(pdf), bool)
+            for c in keys:
+                k = pdf[c]
+                fresh |= (k.ne(k.shift()) & ~(k.isna() & k.shift().isna())).to_numpy(bool)
+            fresh[0] = True
+            columns, outs = {c: pdf[c].to_numpy() for c in pdf.columns}, []
+            for a, z in pairwise([*np.flatnonzero(fresh).tolist(), len(pdf)]):
+                now = tuple(columns[c][a] for c in keys)
+                if not (begun and all(x == y or pd.isna(x) and pd.isna(y) for x, y in zip(now, name, strict=True))):
                     if begun and finish:
-                        yield finish(name, state)
+                        outs.append(finish(name if len(keys) > 1 else name[0], state))
                     name, state, begun = now, None, True
-                out, state = step(part, state)
-                yield out
-        if begun and finish:
-            yield finish(name, state)
+                out, state = step({c: v[a:z] for c, v in columns.items()}, state)
+                outs.append(out)
+            outs = [o for o in outs if o]
+            if outs:
+                yield joined(outs)
+        if begun and finish and (last := finish(name if len(keys) > 1 else name[0], state)):
+            yield joined([last])
 
-    return rows.repartition(key).sortWithinPartitions(key, *order).mapInPandas(work, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(work, schema)
 
 
 def track_boxes(detections: DataFrame, key: str, least: float = 0.3, max_age: int = 30, min_hits: int = 3) -> DataFrame:
     """(key, frame, det, track) of detections (key, frame, det, x, y, w, h) of tracks with enough hits.
 
     The state of a key is its live tracks, the next number, and the detections of the frame that may not be complete.
+    A detection without a frame is in no track.
     """
     kind = dict(detections.dtypes)[key]
-    names = [key, "frame", "det", "track"]
 
-    def follow(frame: int, own: pd.DataFrame, last: dict, fresh: int) -> tuple[list, dict, int]:
+    def follow(frame: int, boxes: list, last: dict, fresh: int) -> tuple[list, dict, int]:
         last = {t: x for t, x in last.items() if frame - x[0] <= max_age}
-        live, boxes = list(last), own[["x", "y", "w", "h"]].to_numpy(float)
-        taken = assign(boxes, np.array([last[t][1] for t in live]).reshape(-1, 4), least)
+        live = list(last)
+        taken = assign(boxes, [last[t][1] for t in live], least)
         refreshed = {live[taken[i]]: (frame, boxes[i]) for i in sorted(taken)}
         refreshed |= {t: x for t, x in last.items() if t not in refreshed}
         ids = []
@@ -86,40 +114,42 @@ def track_boxes(detections: DataFrame, key: str, least: float = 0.3, max_age: in
                 refreshed[fresh] = (frame, boxes[i])
                 ids.append(fresh)
                 fresh += 1
-        return list(zip([frame] * len(ids), own["det"], ids, strict=True)), refreshed, fresh
-
-    def told(name, rows: list) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=names[1:])
-        out.insert(0, key, name)
-        return out
-
-    def step(piece: pd.DataFrame, state):
-        open_, last, fresh = state or (None, {}, 0)
-        whole = piece if open_ is None else pd.concat([open_, piece])
-        newest, rows = whole["frame"].iloc[-1], []
-        for frame, own in whole[whole["frame"] != newest].groupby("frame", sort=True):
-            more, last, fresh = follow(frame, own, last, fresh)
-            rows += more
-        return told(piece[key].iloc[0], rows), (whole[whole["frame"] == newest], last, fresh)
+        return ids, refreshed, fresh
+
+    def told(name, frames: list, dets: list, ids: list) -> dict:
+        return {key: [name] * len(ids), "frame": frames[: len(ids)], "det": dets[: len(ids)], "track": ids}
+
+    def step(piece: dict, state):
+        frames, dets, boxes, last, fresh = state or ([], [], [], {}, 0)
+        frames, dets = frames + piece["frame"].tolist(), dets + piece["det"].tolist()
+        boxes, ids, a = boxes + list(zip(*(piece[c].astype(float).tolist() for c in "xywh"), strict=True)), [], 0
+        for z in range(1, len(frames)):
+            if frames[z] != frames[a]:
+                more, last, fresh = follow(frames[a], boxes[a:z], last, fresh)
+                ids += more
+                a = z
+        return told(piece[key][0], frames, dets, ids), (frames[a:], dets[a:], boxes[a:], last, fresh)
 
     def finish(name, state):
-        open_, last, fresh = state
-        return told(name, follow(open_["frame"].iloc[0], open_, last, fresh)[0])
+        frames, dets, boxes, last, fresh = state
+        return told(name, frames, dets, follow(frames[0], boxes, last, fresh)[0])
 
-    found = in_order(detections, key, ["frame", "det"], step, f"{key} {kind}, frame int, det int, track int", finish)
+    found = in_order(detections.filter("frame IS NOT NULL"), key, ["frame", "det"], step, f"{key} {kind}, frame int, det int, track int", finish)
     hits = F.count(F.lit(1)).over(Window.partitionBy(key, "track"))
     return found.withColumn("_hits", hits).filter(F.col("_hits") >= min_hits).drop("_hits")
 
 
 def one_euro_piece(values: np.ndarray, state: tuple[float, float] | None, rate: float = 25.0, cutoff: float = 1.0, beta: float = 0.3, slope_cutoff: float = 1.0) -> tuple[np.ndarray, tuple]:
     """The One-Euro low-pass filter, whose cutoff rises with speed, from where state (last output, slope) left off."""
-    share = lambda c: 1 / (1 + rate / (2 * np.pi * c))
-    out = np.array(values, float)
-    last, slope = state or (out[0], 0.0)
-    for i in range(0 if state else 1, len(out)):
-        slope += share(slope_cutoff) * ((values[i] - last) * rate - slope)
-        out[i] = last = last + share(cutoff + beta * abs(slope)) * (values[i] - last)
-    return out, (last, slope)
+    turn = 2 * np.pi
+    steady, values = 1 / (1 + rate / (turn * slope_cutoff)), np.asarray(values, float).tolist()
+    last, slope = state or (values[0], 0.0)
+    out = [] if state else values[:1]
+    for v in values[len(out) :]:
+        slope += steady * ((v - last) * rate - slope)
+        last = last + 1 / (1 + rate / (turn * (cutoff + beta * abs(slope)))) * (v - last)
+        out.append(last)
+    return np.array(out), (last, slope)
 
 
 def one_euro(values: np.ndarray, **options) -> np.ndarray:
@@ -167,12 +197,12 @@ def smooth_boxes(boxes: DataFrame, key: str, process: float = 0.03, measurement:
     frames = ends.select(key, F.explode(F.sequence("a", "b")).alias("frame"))
     whole = frames.join(boxes.select(key, "frame", *[F.col(c).cast("double").alias(c) for c in names]), [key, "frame"], "left")
 
-    def step(piece: pd.DataFrame, state):
-        x, y, w, h = (piece[c].to_numpy(float) for c in names)
+    def step(piece: dict, state):
+        x, y, w, h = (piece[c].astype(float) for c in names)
         out, after = kalman_piece(np.stack([x + w / 2, y + h / 2, w, h], 1), state, process, measurement)
         cx, cy, w, h = out.T
         found = {"x": np.rint(cx - w / 2), "y": np.rint(cy - h / 2), "w": np.rint(np.maximum(w, 1)), "h": np.rint(np.maximum(h, 1))}
-        return pd.DataFrame({key: piece[key].to_numpy(), "frame": piece["frame"].to_numpy()} | {c: v.astype(int) for c, v in found.items()}), after
+        return {key: piece[key], "frame": piece["frame"]} | {c: v.astype(int) for c, v in found.items()}, after
 
     return in_order(whole, key, ["frame"], step, f"{key} {kind}, frame int, x int, y int, w int, h int")
 
@@ -186,9 +216,9 @@ def smooth(rows: DataFrame, key: str, at: str, column: str, how: str = "one_euro
     if how == "gaussian":
         return gaussian_window(own, key, at, column, **options)
 
-    def step(piece: pd.DataFrame, state):
-        out, after = one_euro_piece(piece[column].to_numpy(float), state, **options)
-        return piece.assign(smoothed=out), after
+    def step(piece: dict, state):
+        out, after = one_euro_piece(piece[column].astype(float), state, **options)
+        return piece | {"smoothed": out}, after
 
     return in_order(own, key, [at], step, f"{key} {kinds[key]}, {at} {kinds[at]}, {column} {kinds[column]}, smoothed double")
 
