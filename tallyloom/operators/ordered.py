@@ -190,11 +190,16 @@ def rolling_corr(rows: DataFrame, keys: Sequence[str], at: str, a: str, b: str,
 
 def best_lag(rows: DataFrame, keys: Sequence[str], at: str, a: str, b: str, most: int) -> DataFrame:
     """(keys, lag, corr): the shift of b against a, in rows, of the highest correlation; the smallest shift of equals."""
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(at))
-    one = rows.withColumn("_i", n)
-    left = one.select(*keys, F.col("_i"), F.col(a).alias("_a"))
-    right = one.select(*keys, F.col(b).alias("_b"), F.explode(F.sequence(F.lit(-most), F.lit(most))).alias("lag"), F.col("_i").alias("_j")).withColumn("_i", F.col("_j") - F.col("lag"))
-    each = left.join(right, [*keys, "_i"]).groupBy(*keys, "lag").agg(F.corr("_a", "_b").alias("corr"), F.count(F.lit(1)).alias("n")).filter("n > 2 AND corr IS NOT NULL AND NOT isnan(corr)")
+    by_key = Window.partitionBy(*keys)
+    shifted = lambda c, lag: F.lead(c, lag).over(by_key.orderBy(at)) if lag > 0 else F.lag(c, -lag).over(by_key.orderBy(at))
+    lags = [x for x in range(-most, most + 1) if x]
+    own = rows.select(*keys, F.col(at).alias("_at"), F.col(a).alias("_a"), F.col(b).alias("_b"))
+    at = "_at"
+    met = own.select(*keys, "_a", F.col("_b").alias("_b0"), *[shifted("_b", x).alias(f"_b{x}") for x in lags])
+    # rows stay where the windows have put them: no pairs are shuffled, and null behind an end is a missing value to corr
+    sums = met.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.corr("_a", F.col(f"_b{x}")).alias(f"_c{x}") for x in (0, *lags)])
+    each = sums.select(*keys, "_n", F.inline(F.array(*[F.struct(F.lit(x).alias("lag"), F.col(f"_c{x}").alias("corr")) for x in (0, *lags)])))
+    each = each.withColumn("n", F.col("_n") - F.abs("lag")).filter("n > 2 AND corr IS NOT NULL AND NOT isnan(corr)").dropna(subset=list(keys))
     best = F.max_by(F.struct("lag", "corr"), F.struct(F.round("corr", 9), -F.abs("lag"), -F.col("lag"))).alias("x")
     return each.groupBy(*keys).agg(best).select(*keys, "x.lag", "x.corr")
 

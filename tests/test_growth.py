@@ -30,3 +30,10 @@ def test_tracker_takes_arrays_and_equals_all_pairs(spark):
                 if s >= 0.3 and i not in taken and j not in taken.values():
                     taken[i] = j
             assert tracks.assign(list(map(tuple, found.tolist())), list(map(tuple, old.tolist())), 0.3) == taken
+
+
+def test_best_lag_forms_no_pairs(spark):
+    rows = [("k", i, float(i * i % 7), float((i - 2) * (i - 2) % 7)) for i in range(40)] + [(None, i, 1.0 * i, 1.0 * i) for i in range(9)] + [("few", 0, 1.0, 2.0)]
+    got = ordered.best_lag(spark.createDataFrame(rows, "k string, t int, a double, b double"), ["k"], "t", "a", "b", 5)
+    assert [(r.k, r.lag, round(r.corr, 6)) for r in got.collect()] == [("k", 2, 1.0)]
+    assert "Join" not in plan(got)
