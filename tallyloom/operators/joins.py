@@ -331,9 +331,11 @@ def cosine_links(vectors: DataFrame, key: str, least: float) -> DataFrame:
 
 def orphans(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(key, side) of rows that only one side has."""
-    a = left.select(key).distinct().join(right, key, "left_anti").withColumn("side", F.lit("left"))
-    b = right.select(key).distinct().join(left, key, "left_anti").withColumn("side", F.lit("right"))
-    return a.unionByName(b)
+    seen = lambda rows, right: rows.select(key, F.lit(right).alias("r"))
+    # one aggregate, partly before the shuffle: no side is sorted or held
+    sides = seen(left, False).unionByName(seen(right, True)).groupBy(key).agg(F.min("r").alias("a"), F.max("r").alias("b"))
+    none = F.col(key).isNull() | (F.col("a") == F.col("b"))  # a null equals none of the other side
+    return sides.filter(none).select(key, F.explode(F.array_distinct(F.array("a", "b"))).alias("r")).select(key, F.when(F.col("r"), "right").otherwise("left").alias("side"))
 
 
 def merge_proposals(current: DataFrame, proposed: DataFrame, key: str, columns: Sequence[str], overwrite: bool = False) -> DataFrame:

@@ -37,3 +37,10 @@ def test_best_lag_forms_no_pairs(spark):
     got = ordered.best_lag(spark.createDataFrame(rows, "k string, t int, a double, b double"), ["k"], "t", "a", "b", 5)
     assert [(r.k, r.lag, round(r.corr, 6)) for r in got.collect()] == [("k", 2, 1.0)]
     assert "Join" not in plan(got)
+
+
+def test_orphans_are_one_aggregate(spark):
+    a, b = (spark.createDataFrame(x, "k int") for x in ([(1,), (2,), (2,), (None,), (None,)], [(2,), (3,), (3,), (None,)]))
+    got = joins.orphans(a, b, "k")
+    assert sorted(map(str, got.collect())) == sorted(["Row(k=1, side='left')", "Row(k=3, side='right')", "Row(k=None, side='left')", "Row(k=None, side='right')"])
+    assert "Join" not in plan(got)
