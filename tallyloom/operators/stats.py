@@ -181,23 +181,27 @@ def quantiles(segments: DataFrame, column: str, shares: Sequence[tuple[str, floa
 def grouped_quantiles(rows: DataFrame, keys: Sequence[str], column: str, shares: Sequence[tuple[str, float]] = SHARES, digits: int = 2) -> DataFrame:
     """(keys, n, quantiles) of every group, exact for any number and size of groups; groups without values have nulls.
 
-    The passes of order_statistics as joins: every pass counts the bins of each group's open prefixes, partly before the
-    shuffle, so that a group of most rows is a few thousand counts a task; running sums of these find each rank's bin.
+    Rows of a group with equal values are counted first, partly before the shuffle, and only these counts are read again.
+    The passes of order_statistics as joins: every pass counts the bins of each group's open prefixes, so that a group of
+    most rows is a few thousand counts a task; running sums of these find each rank's bin. Open prefixes are broadcast up
+    to 65,536 of them and 32 MB: a few large groups would otherwise be a task each.
     """
     keys = list(keys)
     name = {k: f"_g{i}" for i, k in enumerate(keys)}
     g = list(name.values())
-    base = with_order_key(rows.select(*[F.col(f"`{k}`").alias(a) for k, a in name.items()], known(F.col(column)).alias("_v")), "_v", "_k").drop("_v")
+    base = with_order_key(rows.select(*[F.col(f"`{k}`").alias(a) for k, a in name.items()], known(F.col(column)).alias("_v")).groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_w")), "_v", "_k").drop("_v")
+    base = saved(base)
     equal = lambda x, y: [F.col(f"{x}.{a}").eqNullSafe(F.col(f"{y}.{a}")) for a in g]
-    groups = base.groupBy(*g).agg(F.count("_k").alias("_n"))
+    groups = base.groupBy(*g).agg(F.coalesce(F.sum(F.when(F.col("_k").isNotNull(), F.col("_w"))), F.lit(0)).alias("_n"))
     wanted = F.array(*[f((F.col("_n") - 1) * p).cast("bigint") for _, p in shares for f in (F.floor, F.ceil)])
     open_ = groups.filter("_n > 0").select(*g, F.explode(F.array_distinct(wanted)).alias("_rank")).withColumns({"_p": F.lit(0).cast("bigint"), "_rest": F.col("_rank")})
     done = []
     for shift, before in zip(PASSES, (None, *PASSES), strict=False):
         near = base.filter("_k IS NOT NULL").withColumn("_p", F.lit(0).cast("bigint") if before is None else F.shiftright("_k", before)).alias("x")
         if before is not None:
-            near = near.join(open_.select(*g, "_p").distinct().alias("o"), [*equal("x", "o"), F.col("x._p") == F.col("o._p")], "left_semi")
-        bins = near.groupBy(*g, "_p", F.shiftright("_k", shift).alias("_b")).agg(F.count(F.lit(1)).alias("_m"), F.min("_k").alias("_low"), F.max("_k").alias("_high"))
+            prefixes = open_.select(*g, "_p").distinct()
+            near = near.join((F.broadcast(prefixes) if few else prefixes).alias("o"), [*equal("x", "o"), F.col("x._p") == F.col("o._p")], "left_semi")
+        bins = near.groupBy(*g, "_p", F.shiftright("_k", shift).alias("_b")).agg(F.sum("_w").alias("_m"), F.min("_k").alias("_low"), F.max("_k").alias("_high"))
         upto = F.sum("_m").over(Window.partitionBy(*g, "_p").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
         held = (F.col("o._rest") < F.col("b._upto")) & (F.col("o._rest") >= F.col("b._upto") - F.col("b._m"))
         met = open_.alias("o").join(bins.withColumn("_upto", upto).alias("b"), [*equal("o", "b"), F.col("o._p") == F.col("b._p"), held])
@@ -208,6 +212,7 @@ def grouped_quantiles(rows: DataFrame, keys: Sequence[str], column: str, shares:
         if open_.isEmpty():
             break
     found = functools.reduce(DataFrame.unionAll, done)
+        few = n <= 1 << 16 and size <= 32 << 20
     at = found.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
     a, b = groups.alias("a"), at.alias("b")
     told = a.join(b, equal("a", "b"), "left")

@@ -44,3 +44,13 @@ def test_orphans_are_one_aggregate(spark):
     got = joins.orphans(a, b, "k")
     assert sorted(map(str, got.collect())) == sorted(["Row(k=1, side='left')", "Row(k=3, side='right')", "Row(k=None, side='left')", "Row(k=None, side='right')"])
     assert "Join" not in plan(got)
+
+
+def test_quantiles_of_few_large_groups_read_counts(spark, monkeypatch):
+    kept, saved = [], stats.saved
+    monkeypatch.setattr(stats, "saved", lambda df: kept.append(saved(df)) or kept[-1])
+    rows = spark.range(3000).select((F.col("id") % 2).alias("k"), F.when(F.col("id") % 10 > 0, (F.col("id") % 30) / 7).alias("v"))
+    got = {r.k: (r.n, r.p25, r.median) for r in stats.grouped_quantiles(rows, ["k"], "v", digits=9).collect()}
+    want = {k: sorted(i % 30 / 7 for i in range(3000) if i % 2 == k and i % 10) for k in (0, 1)}
+    assert got == {k: (len(x), *(round(float(np.quantile(x, p)), 9) for p in (0.25, 0.5))) for k, x in want.items()}
+    assert kept[0].count() == 28  # 27 values and the null of one group: not 3,000 rows
