@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, BinaryType, FloatType
 
 from tallyloom.functions.rules import noise_class
 from tallyloom.operators.ordered import carry_forward, interpolate
-from tallyloom.operators.tracks import gaussian, gaussian_window, one_euro
+from tallyloom.operators.tracks import gaussian_window, in_order, one_euro_piece
 from tallyloom.session import ship
 
 
@@ -136,13 +136,18 @@ def mouth_trajectory(landmarks: DataFrame, clip: str = "clip", multiplier: float
         held = carry_forward(held, [clip], "frame", c)
     for c in ("cx", "cy"):
         held = interpolate(held, [clip], "frame", c, hold_edges=True)
-    kind, work = dict(landmarks.dtypes)[clip], {"one_euro": one_euro, "gaussian": gaussian}[smoothing]
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf.sort_values("frame")
-        return own.assign(cx=work(own["cx"].to_numpy(float), **options), cy=work(own["cy"].to_numpy(float), **options))
-
-    done = held.select(clip, "frame", "cx", "cy", F.coalesce("roll", F.lit(0.0)).alias("roll")).groupBy(clip).applyInPandas(smooth, f"{clip} {kind}, frame int, cx double, cy double, roll double")
+    rows = held.select(clip, "frame", "cx", "cy", F.coalesce("roll", F.lit(0.0)).alias("roll"))
+    if smoothing == "gaussian":
+        x = gaussian_window(rows, clip, "frame", "cx", **options)
+        done = gaussian_window(x.drop("cx").withColumnRenamed("smoothed", "cx"), clip, "frame", "cy", **options).drop("cy").withColumnRenamed("smoothed", "cy")
+    else:
+        kind = dict(landmarks.dtypes)[clip]
+
+        def step(piece: dict, state):
+            both = [one_euro_piece(piece[c].astype(float), state and state[i], **options) for i, c in enumerate(("cx", "cy"))]
+            return piece | {"cx": both[0][0], "cy": both[1][0]}, [after for _, after in both]
+
+        done = in_order(rows, clip, ["frame"], step, f"{clip} {kind}, frame int, cx double, cy double, roll double")
     return done.join(half, clip).select(clip, "frame", F.rint("cx").cast("int").alias("x"), F.rint("cy").cast("int").alias("y"), "half", "roll")
 
 

@@ -8,12 +8,11 @@ from dataclasses import dataclass
 from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import ends_sentence
-from tallyloom.session import ship
+from tallyloom.operators.tracks import in_order
 
 
 def boundaries(words: DataFrame, keys: Sequence[str], order: Sequence[str], silence: float = 0.5) -> DataFrame:
@@ -71,25 +70,28 @@ def sentence_windows(words: DataFrame, key: str, order: Sequence[str], limits: S
 
     Boundaries are found by window functions; merging short units and splitting long ones depends on what was done
     before, so it runs in Python. No rule looks across a unit's end behind which there is silence of more than the merge gap
-    and both paddings: recordings are cut there, each piece is decided in a group of its own, and prefix sums of the pieces'
-    numbers of windows number them. The longest stretch without such a silence bounds a group; without pieces a recording is one.
+    and both paddings: recordings are cut there, each piece is decided by itself, and prefix sums of the pieces'
+    numbers of windows number them. The longest stretch without such a silence bounds what is held; without pieces a recording is one.
     """
-    ship(words.sparkSession)
     marked = boundaries(words, [key], order, limits.silence)
     w = Window.partitionBy(key).orderBy(*order)
     ends = F.lit(pieces) & F.col("end_type").isNotNull() & (F.lead("start").over(w) - F.col("end") > max(limits.merge_gap, 2 * limits.pad))
     marked = marked.withColumn("_ends", ends).withColumns({"_piece": F.coalesce(F.sum(F.col("_ends").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_began": F.coalesce(F.lag("end_type").over(w), F.lit("media"))})
-    marked = marked.select(key, "_piece", "_began", "unit", "start", "end", "raw", "clean", "speaker", "end_type", *[c for c in order if c not in ("start", "end")])
+    needed = ["_began", "unit", "start", "end", "clean", "speaker", "end_type"]
+    marked = marked.select(key, "_piece", *needed, *[c for c in order if c not in ("start", "end")])
     kind = dict(words.dtypes)[key]
-    by = list(order)
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf.sort_values(by)
-        starts, ends = own["start"].to_numpy(float), own["end"].to_numpy(float)
-        speakers = [None if pd.isna(x) else x for x in own["speaker"]]
+    def gather(piece: dict, state):
+        return None, [*(state or []), {c: piece[c] for c in needed}]
+
+    def build(name: tuple, state: list) -> dict:
+        own = {c: state[0][c] if len(state) == 1 else np.concatenate([s[c] for s in state]) for c in needed}
+        at, till = own["start"].astype(float), own["end"].astype(float)
+        starts, ends = at.tolist(), till.tolist()
+        speakers = [None if x is None or x != x else x for x in own["speaker"].tolist()]
         kinds, clean = own["end_type"].tolist(), own["clean"].tolist()
-        edges = [0, *(np.flatnonzero(np.diff(own["unit"].to_numpy())) + 1).tolist(), len(own)]
-        runs, before = [], own["_began"].iloc[0]  # (first word, last word + 1, what began it, what ended it)
+        edges = [0, *(np.flatnonzero(np.diff(own["unit"])) + 1).tolist(), len(starts)]
+        runs, before = [], own["_began"][0]  # (first word, last word + 1, what began it, what ended it)
         for a, z in pairwise(edges):
             began, before = before, kinds[z - 1]
             if runs:
@@ -109,8 +111,8 @@ def sentence_windows(words: DataFrame, key: str, order: Sequence[str], limits: S
                 if limits.hard_max is None or ends[z - 1] - starts[a] <= limits.hard_max or z - a < 2:
                     whole.append((a, z, began, ended))
                     continue
-                at = a + _largest_gap(starts[a:z], ends[a:z]) + 1
-                todo += [(at, z, "word_gap", ended), (a, at, began, "word_gap")]
+                middle = a + _largest_gap(at[a:z], till[a:z]) + 1
+                todo += [(middle, z, "word_gap", ended), (a, middle, began, "word_gap")]
         rows = []
         for i, (a, z, began, ended) in enumerate(whole):
             start, end = starts[a], ends[z - 1]
@@ -122,11 +124,13 @@ def sentence_windows(words: DataFrame, key: str, order: Sequence[str], limits: S
             first, last = max(0.0, start - room[0]), end + room[1]
             if last - first >= limits.hard_min:
                 text = " ".join(w for w in clean[a:z] if w)
-                rows.append((pdf[key].iloc[0], pdf["_piece"].iloc[0], len(rows), first, last, z - a, text, _voice(speakers[a:z]) or "", began, ended))
-        return pd.DataFrame(rows, columns=[key, "_piece", "window", "start", "end", "n_words", "text", "voice", "start_type", "end_type"])
+                rows.append((*name, len(rows), first, last, z - a, text, _voice(speakers[a:z]) or "", began, ended))
+        return {c: [r[i] for r in rows] for i, c in enumerate(names)} if rows else None
 
     schema = f"{key} {kind}, _piece bigint, window int, start double, end double, n_words int, text string, voice string, start_type string, end_type string"
-    found = marked.groupBy(key, "_piece").applyInPandas(build, schema)
+    names = [key, "_piece", "window", "start", "end", "n_words", "text", "voice", "start_type", "end_type"]
+    # a task walks through its pieces in order; a group each would cost more than what is decided in it
+    found = in_order(marked, [key, "_piece"], order, gather, schema, build)
     # the windows of a piece follow those of all pieces before it; a row for each piece is what is summed
     earlier = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, 0)
     counted = found.groupBy(key, "_piece").agg(F.count(F.lit(1)).alias("_n"))

@@ -54,3 +54,16 @@ def test_quantiles_of_few_large_groups_read_counts(spark, monkeypatch):
     want = {k: sorted(i % 30 / 7 for i in range(3000) if i % 2 == k and i % 10) for k in (0, 1)}
     assert got == {k: (len(x), *(round(float(np.quantile(x, p)), 9) for p in (0.25, 0.5))) for k, x in want.items()}
     assert kept[0].count() == 28  # 27 values and the null of one group: not 3,000 rows
+
+
+def test_sentences_and_mouths_take_no_group_each(spark):
+    words = spark.sql("SELECT id % 3 AS v, CAST(id AS INT) AS i, 20 * id + 0D AS start, 20 * id + 1.5D AS end, 'A.' AS raw, 'A' AS clean, CAST(NULL AS STRING) AS speaker FROM range(30)")
+    found = ordered.sentence_windows(words, "v", ["i"])
+    assert found.count() == 30 and [r.window for r in found.filter("v = 1").orderBy("start").collect()] == list(range(10))
+    marks = spark.sql("SELECT id % 2 AS clip, CAST(id DIV 2 AS INT) AS frame, 1D * id AS cx, 2D * id AS cy, 30D AS width, 0D AS roll FROM range(40)")
+    for how, options in (("one_euro", {}), ("gaussian", {"sigma": 1.0})):
+        got = media.mouth_trajectory(marks, smoothing=how, **options).filter("clip = 1").orderBy("frame").collect()
+        work = {"one_euro": tracks.one_euro, "gaussian": tracks.gaussian}[how]
+        assert [r.x for r in got] == np.rint(work(np.arange(1.0, 40, 2), **options)).astype(int).tolist()
+        assert "FlatMapGroups" not in plan(media.mouth_trajectory(marks, smoothing=how, **options))
+    assert "FlatMapGroups" not in plan(found)
