@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
@@ -68,10 +69,26 @@ def wer_native(reference: Column, hypothesis: Column) -> Column:
 DIFF = ArrayType(StructType().add("word", StringType()).add("type", StringType()))
 
 
-@F.pandas_udf(DIFF)
-def word_diff_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    told = lambda x, y: [{"word": w, "type": t} for w, t in word_diff(x or "", y or "")]
-    return pd.Series([told(x, y) for x, y in zip(a, b, strict=True)], dtype=object)
+@F.arrow_udf(DIFF)
+def word_diff_udf(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Built as Arrow columns some thousand words at a time: a batch's words are never Python objects all together."""
+    parts, words, marks, offsets = [], [], [], [0]
+
+    def close() -> None:
+        parts.append((pa.array(words, pa.string()), pa.array(["changed", "same"]).take(pa.array(marks, pa.int8()))))
+        words.clear()
+        marks.clear()
+
+    for x, y in zip(a, b, strict=True):
+        told = word_diff(x.as_py() or "", y.as_py() or "")
+        words += [w for w, _ in told]
+        marks += [int(t == "same") for _, t in told]
+        offsets.append(offsets[-1] + len(told))
+        if len(words) >= 1 << 15:
+            close()
+    close()
+    held = pa.StructArray.from_arrays([pa.concat_arrays([p[i] for p in parts]) for i in (0, 1)], names=["word", "type"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), held)
 
 
 def word_changes(current: Column, suggested: Column) -> Column:

@@ -56,6 +56,16 @@ def test_quantiles_of_few_large_groups_read_counts(spark, monkeypatch):
     assert kept[0].count() == 28  # 27 values and the null of one group: not 3,000 rows
 
 
+def test_word_changes_are_built_as_columns(spark):
+    import pyarrow as pa
+
+    a, b = ["a b c", None, "x " * 40000], ["A x c", "y z", "x q " * 20000]
+    df = spark.createDataFrame(list(zip(a, b, strict=True)), "a string, b string")
+    got = [[(w["word"], w["type"]) for w in r[0]] for r in df.coalesce(1).select(wer.word_changes(F.col("a"), F.col("b"))).collect()]
+    assert sorted(got) == sorted(wer.word_diff(x or "", y) for x, y in zip(a, b, strict=True))
+    assert isinstance(wer.word_diff_udf.func(pa.array(a), pa.array(b)), pa.ListArray)
+
+
 def test_sentences_and_mouths_take_no_group_each(spark):
     words = spark.sql("SELECT id % 3 AS v, CAST(id AS INT) AS i, 20 * id + 0D AS start, 20 * id + 1.5D AS end, 'A.' AS raw, 'A' AS clean, CAST(NULL AS STRING) AS speaker FROM range(30)")
     found = ordered.sentence_windows(words, "v", ["i"])
