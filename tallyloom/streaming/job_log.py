@@ -12,11 +12,12 @@ nothing; in a stream a line whose order isn't above the last one of its job is l
 from __future__ import annotations
 
 import contextlib
+import functools
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -156,14 +157,32 @@ def fold(lines: DataFrame, job: str, order: str, msg: str = "msg") -> DataFrame:
 
 
 _PATTERNS = {name: re.compile(p, re.I | re.A) for name, p in SAYS.items()}
-NOW = "stage string, video string, position int, total int, exported bigint, clip int, clips int, speakers bigint, last bigint, late bigint, over boolean"
+NOW = """stage string, video string, position int, total int, exported bigint, clip int, clips int, speakers bigint, last bigint, late bigint, over boolean,
+    videos int, finished int, failed int, done string, errors string, opened string""".replace("\n", "")
 NOW_NAMES = [x.split()[0] for x in NOW.split(", ")]
 OUT = f"job bigint, {STATE}, last bigint, late bigint, silent boolean".replace("\n", "")
 OUT_NAMES = [x.split()[0] for x in OUT.split(", ")]
+FLAGS = ("seen", "finished", "failed")
+
+
+@functools.lru_cache(4096)
+def _read(m: str) -> tuple[str, tuple]:
+    """What a line says, as (kind, (name, its groups)...); logs repeat many of their lines."""
+    for name in ("batch", "step1", "step2", "step3"):
+        if hit := _PATTERNS[name].search(m):
+            video = _PATTERNS["video"].search(m) if name == "step1" else None
+            return name, hit.groups() if name == "batch" else (video and video[1],)
+    return "other", tuple((name, hit.groups()) for name in _OTHERS if (hit := _PATTERNS[name].search(m)))
+
+
+_OTHERS = ("to_process", *SUBSTAGES, "speakers", "clip", "summary", "failed", "finished", "broken")
 
 
 class JobLog(StatefulProcessor):
-    """Keyed state of a job; emits the state after each batch of its lines, and once more if it falls silent before its end."""
+    """Keyed state of a job; emits the state after each batch of its lines, and once more if it falls silent before its end.
+
+    A batch reads and writes a job's scalars and stages once, and of its videos those that its lines name.
+    """
 
     def __init__(self, wait_ms: int):
         self.wait_ms = wait_ms
@@ -171,114 +190,110 @@ class JobLog(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.now = handle.getValueState("now", NOW)
-        self.errors = handle.getListState("errors", "stage string")
-        self.stages = handle.getMapState("stages", "stage string", "done boolean, opened boolean")
         self.videos = handle.getMapState("videos", "video string", "seen boolean, finished boolean, failed boolean")
 
     def close(self) -> None:
         pass
 
-    def _mark(self, stage: str, done: bool = False) -> None:
-        held = self.stages.getValue((stage,)) if self.stages.containsKey((stage,)) else (False, False)
-        self.stages.updateValue((stage,), (held[0] or done, held[1] or not done))
-
-    def _video(self, video: str, **flags: bool) -> None:
-        names = ("seen", "finished", "failed")
-        held = self.videos.getValue((video,)) if self.videos.containsKey((video,)) else (False, False, False)
-        self.videos.updateValue((video,), tuple(h or flags.get(n, False) for n, h in zip(names, held, strict=True)))
-
-    def _reset(self, s: dict, video: str | None) -> None:
-        self.errors.clear()
-        self.stages.clear()
-        s |= {"stage": None, "clip": 0, "clips": 0, "video": video}
-
-    def _error(self, stage: str) -> None:
-        if stage not in self._failed():
-            self.errors.appendValue((stage,))
-        self._mark(stage)
-
-    def _failed(self) -> list[str]:
-        return [e[0] for e in self.errors.get()] if self.errors.exists() else []
+    def _video(self, s: dict, video: str, flag: str) -> None:
+        """Set a flag of a video; named holds those of the batch as (stored, now)."""
+        named = s["named"]
+        if video not in named:
+            held = None if s["new"] else self.videos.getValue((video,))
+            named[video] = (held and tuple(held), tuple(held or (False, False, False)))
+        stored, flags = named[video]
+        i = FLAGS.index(flag)
+        if not flags[i]:
+            s["videos" if flag == "seen" else flag] += 1
+            named[video] = (stored, (*flags[:i], True, *flags[i + 1 :]))
+
+    @staticmethod
+    def _reset(s: dict, video: str | None) -> None:
+        s |= {"stage": None, "clip": 0, "clips": 0, "video": video, "done": set(), "errors": set(), "opened": set()}
+
+    @staticmethod
+    def _error(s: dict) -> None:
+        stage = s["stage"] or "download"
+        s["errors"].add(stage)
+        s["opened"].add(stage)
 
     def step(self, s: dict, m: str) -> None:
         """One line."""
-        hit = {name: p.search(m) for name, p in _PATTERNS.items()}
-        if b := hit["batch"]:
-            s |= {"position": int(b[1]), "total": int(b[2]), "over": False}
-            self._reset(s, b[3])
-            self._video(b[3], seen=True)
+        kind, said = _read(m)
+        if kind == "batch":
+            s |= {"position": int(said[0]), "total": int(said[1]), "over": False}
+            self._reset(s, said[2])
+            self._video(s, said[2], "seen")
             return
-        for name, stage in (("step1", "download"), ("step2", "vad"), ("step3", "face")):
-            if not hit[name]:
-                continue
-            if name == "step1" and hit["video"] and hit["video"][1] != s["video"]:
-                self._reset(s, hit["video"][1])
-                self._video(s["video"], seen=True)
-            if (name, s["stage"]) in (("step2", "download"), ("step3", "vad")):
-                self._mark(s["stage"], done=True)
-            s["stage"] = stage
-            for x in OPENED if name == "step3" else (stage,):
-                self._mark(x)
+        if kind != "other":
+            if kind == "step1" and said[0] and said[0] != s["video"]:
+                self._reset(s, said[0])
+                self._video(s, said[0], "seen")
+            if (kind, s["stage"]) in (("step2", "download"), ("step3", "vad")):
+                s["done"].add(s["stage"])
+            s["stage"] = {"step1": "download", "step2": "vad", "step3": "face"}[kind]
+            s["opened"].update(OPENED if kind == "step3" else (s["stage"],))
             return
-        if t := hit["to_process"]:
-            s["clips"] = int(t[1])
-        if sub := next((x for x in SUBSTAGES if hit[x]), None):
+        hit = dict(said)
+        if t := hit.get("to_process"):
+            s["clips"] = int(t[0])
+        if sub := next((x for x in SUBSTAGES if x in hit), None):
             s["stage"] = sub
-            self._mark(sub)
-            if sub == "quality" and hit["speakers"]:
-                s["speakers"] += int(hit["speakers"][1])
-        if c := hit["clip"]:
-            s |= {"clip": int(c[1]), "clips": int(c[2]), "exported": s["exported"] + (c[3].lower() == "exported")}
-        if x := hit["summary"]:
-            s["exported"] = s["exported"] or int(x[1])
-            for stage in EXPORTED:
-                self._mark(stage, done=True)
+            s["opened"].add(sub)
+            if sub == "quality" and "speakers" in hit:
+                s["speakers"] += int(hit["speakers"][0])
+        if c := hit.get("clip"):
+            s |= {"clip": int(c[0]), "clips": int(c[1]), "exported": s["exported"] + (c[2].lower() == "exported")}
+        if x := hit.get("summary"):
+            s["exported"] = s["exported"] or int(x[0])
+            s["done"].update(EXPORTED)
             if s["video"]:
-                self._video(s["video"], finished=True)
-        if f := hit["failed"]:
-            self._video(f[1], failed=True)
-            self._error(s["stage"] or "download")
-        if hit["finished"]:
-            failed = self._failed()
-            for stage in STAGES:
-                if stage not in failed:
-                    self._mark(stage, done=True)
-        if hit["broken"]:
-            self._error(s["stage"] or "download")
-        s["over"] = bool(hit["finished"] or hit["broken"])
-
-    def _told(self, key, s: dict, silent: bool) -> pd.DataFrame:
-        held = {k[0]: v for k, v in self.stages.iterator()}
-        videos = [tuple(v) for _, v in self.videos.iterator()]
-        failed = self._failed()
-        row = (
-            key, s["stage"], [x for x in STAGES if x in held and held[x][0]], [x for x in STAGES if x in failed], [x for x in STAGES if x in held and held[x][1]], s["video"], s["position"], s["total"],
-            sum(v[0] for v in videos), sum(v[1] for v in videos), sum(v[2] for v in videos), s["exported"], s["clip"], s["clips"], s["speakers"], s["last"], s["late"], silent,
-        )
-        return pd.DataFrame([row], columns=OUT_NAMES)
+                self._video(s, s["video"], "finished")
+        if f := hit.get("failed"):
+            self._video(s, f[0], "failed")
+            self._error(s)
+        if "finished" in hit:
+            s["done"].update(x for x in STAGES if x not in s["errors"])
+        if "broken" in hit:
+            self._error(s)
+        s["over"] = "finished" in hit or "broken" in hit
+
+    @staticmethod
+    def _told(key, s: dict, silent: bool) -> Row:
+        own = s | {"job": key, "silent": silent} | {c: [x for x in STAGES if x in s[c]] for c in ("done", "errors", "opened")}
+        return Row(**{c: own[c] for c in OUT_NAMES})
 
     def _held(self) -> dict:
-        if self.now.exists():
-            return dict(zip(NOW_NAMES, self.now.get(), strict=True))
-        return {n: None if n in ("stage", "video", "last") else False if n == "over" else 0 for n in NOW_NAMES}
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        s = self._held()
-        own = pd.concat(list(rows)).sort_values("order")
-        for order, m in zip(own["order"].tolist(), own["msg"].tolist(), strict=True):
+        held = self.now.get()
+        if held is None:
+            s = {n: None if n in ("stage", "video", "last") else False if n == "over" else 0 for n in NOW_NAMES} | {c: set() for c in ("done", "errors", "opened")}
+        else:
+            s = dict(zip(NOW_NAMES, held, strict=True))
+            s |= {c: set(s[c].split(",")) - {""} for c in ("done", "errors", "opened")}
+        return s | {"named": {}, "new": held is None}
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        s, newest = self._held(), None
+        for order, m, at in sorted(((r["order"], r["msg"], r["at_ms"]) for r in rows), key=lambda x: x[0]):
+            newest = at if newest is None else newest if at is None else max(at, newest)
             if s["last"] is not None and order <= s["last"]:
                 s["late"] += 1
                 continue
             s["last"] = order
             self.step(s, re.sub(r"^\s+|\s+$", "", m or "", flags=re.A))
-        self.now.update(tuple(s[n] for n in NOW_NAMES))
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        if not s["over"]:
-            self.handle.registerTimer(int(own["at"].max().timestamp() * 1000) + self.wait_ms)
+        for video, (stored, flags) in s["named"].items():
+            if flags != stored:
+                self.videos.updateValue((video,), flags)
+        own = s | {c: ",".join(sorted(s[c])) for c in ("done", "errors", "opened")}
+        self.now.update(tuple(own[n] for n in NOW_NAMES))
+        if not s["new"]:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+        if not s["over"] and newest is not None:
+            self.handle.registerTimer(newest + self.wait_ms)
         yield self._told(key[0], s, False)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         yield self._told(key[0], self._held(), True)
 
 
@@ -288,9 +303,9 @@ def follow(lines: DataFrame, silent: str = "60 seconds", late: str = "60 seconds
     A job that isn't over and whose lines stop for longer than silent, in event time, is told once more with silent set.
     """
     ship(lines.sparkSession)
-    own = lines.select(F.col("job").cast("bigint").alias("job"), F.col("order").cast("bigint").alias("order"), "at", "msg").withWatermark("at", late)
+    own = lines.select(F.col("job").cast("bigint").alias("job"), F.col("order").cast("bigint").alias("order"), "at", F.unix_millis("at").alias("at_ms"), "msg").withWatermark("at", late)
     wait = int(pd.Timedelta(silent).total_seconds() * 1000)
-    return own.groupBy("job").transformWithStateInPandas(JobLog(wait), OUT, "Update", "eventTime")
+    return own.groupBy("job").transformWithState(JobLog(wait), OUT, "Update", "eventTime")
 
 
 @contextlib.contextmanager

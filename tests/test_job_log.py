@@ -142,3 +142,44 @@ def test_bulk_import(spark):
     df = spark.createDataFrame([(1, i, m) for i, m in enumerate(lines)] + [(2, 0, "nothing yet")], "job long, n long, msg string")
     got = {r.job: tuple(r)[1:] for r in job_log.fold_imports(df, "job", "n").collect()}
     assert got == {1: (2, 4, 2, 3, 2, 7), 2: (0, 0, 0, 0, 0, 0)}
+
+
+def test_a_batch_reads_and_writes_a_jobs_state_once():
+    from pyspark.sql import Row
+
+    class State:
+        def __init__(self):
+            self.held, self.calls = {}, 0
+
+        def get(self):
+            self.calls += 1
+            return self.held.get(None)
+
+        def update(self, value):
+            self.calls += 1
+            self.held[None] = value
+
+        def getValue(self, key):  # noqa: N802
+            self.calls += 1
+            return self.held.get(key)
+
+        def updateValue(self, key, value):  # noqa: N802
+            self.calls += 1
+            self.held[key] = value
+
+    class Handle:
+        now, videos, timers = State(), State(), []
+        getValueState = lambda self, *a: self.now  # noqa: E731, N815
+        getMapState = lambda self, *a: self.videos  # noqa: E731, N815
+        listTimers = lambda self: self.timers  # noqa: E731, N815
+        deleteTimer = lambda self, t: self.timers.remove(t)  # noqa: E731, N815
+        registerTimer = lambda self, t: self.timers.append(t)  # noqa: E731, N815
+
+    handle, log = Handle(), job_log.JobLog(1000)
+    log.init(handle)
+    lines = ["Processing video 1/2: a", "Step 1: video: a", "Step 2:", "Step 3:", "Exported 4 segments", "Pipeline failed for b: x"] * 50
+    for start in (0, 300):
+        told = list(log.handleInputRows((7,), iter([Row(order=start + i, msg=m, at_ms=5) for i, m in enumerate(lines)]), None))
+        assert [(r.job, r.videos, r.finished, r.failed, r.exported, r.done, r.errors, r.late) for r in told] == [(7, 1, 1, 1, 4, ["download", "vad", "face", "asd", "asr", "export"], ["face"], 0)]
+        assert handle.timers == [1005]
+    assert handle.now.calls == 4 and handle.videos.calls == 4  # two videos written, then read and found the same
