@@ -209,10 +209,11 @@ def grouped_quantiles(rows: DataFrame, keys: Sequence[str], column: str, shares:
         told = saved(met.select(*[F.col(f"o.{a}").alias(a) for a in g], F.col("o._rank").alias("_rank"), F.col("b._b").alias("_p"), rest, "_low", "_high"))  # a row a rank and group
         done.append(told.filter("_low = _high").select(*g, "_rank", key_value(F.col("_low")).alias("_v")))
         open_ = told.filter("_low < _high").drop("_low", "_high")
-        if open_.isEmpty():
+        n, size = open_.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct(*g, "_p"))))).first()
+        if not n:
             break
-    found = functools.reduce(DataFrame.unionAll, done)
         few = n <= 1 << 16 and size <= 32 << 20
+    found = functools.reduce(DataFrame.unionAll, done)
     at = found.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
     a, b = groups.alias("a"), at.alias("b")
     told = a.join(b, equal("a", "b"), "left")
@@ -274,7 +275,7 @@ def interaction_types(segments: DataFrame) -> DataFrame:
 
 
 def digit_labels(rows: DataFrame, text: str) -> DataFrame:
-    share = F.coalesce(digit_share(F.col(text)), F.lit(0.0))
+    rows, share = rows.select(digit_share(F.col(text)).alias("share")), F.coalesce("share", F.lit(0.0))
     return rows.agg(F.count_if(share > 0).alias("with_digits"), F.count_if(share >= 0.5).alias("mostly_digits"), F.count(F.lit(1)).alias("n"))
 
 

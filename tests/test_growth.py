@@ -56,6 +56,15 @@ def test_quantiles_of_few_large_groups_read_counts(spark, monkeypatch):
     assert kept[0].count() == 28  # 27 values and the null of one group: not 3,000 rows
 
 
+def test_digit_share_by_patterns(spark):
+    texts = ["a1 b2 c", "", "  ", None, "12", "x y9　z \n7", "no digits here", "a" * 50000 + " 1"]
+    share = [None if not (t or "").split() else sum(any("0" <= c <= "9" for c in w) for w in t.split()) / len(t.split()) for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    told = df.select("i", text.digit_share(F.col("t")).alias("s"))
+    assert [r.s for r in told.orderBy("i").collect()] == share
+    assert "lambda" not in plan(told)  # no array of words
+
+
 def test_word_changes_are_built_as_columns(spark):
     import pyarrow as pa
 
