@@ -30,9 +30,14 @@ def changes(spark, d):
     return [draft, final.filter(F.col("video_id").cast("bigint") % 4 != 0), gone.unionByName(late)]
 
 
-def applied(spark, d) -> live.LiveViews:
-    """The views after all batches, the second of which comes twice."""
-    views, batches = live.LiveViews(spark, fresh_path(spark, "live"), int(spark.conf.get("spark.sql.shuffle.partitions"))), changes(spark, d)
+def opened(spark, d, view) -> live.LiveViews:
+    """A view without rows, with a bucket for each million of segments, and for each core."""
+    return live.LiveViews(spark, fresh_path(spark, "live"), max(spark.sparkContext.defaultParallelism, b.segments(spark, d).count() // 1_000_000), [view])
+
+
+def applied(spark, d, view) -> live.LiveViews:
+    """The view after all batches, the second of which comes twice."""
+    views, batches = opened(spark, d, view), changes(spark, d)
     for epoch in (0, 1, 1, 2):
         views.apply(batches[epoch], epoch)
     return views
@@ -41,25 +46,25 @@ def applied(spark, d) -> live.LiveViews:
 @query("live_video_stats", f"""{S} SELECT video_id::BIGINT video_id, count(*) total_segments, round(sum({DUR}), 2)::DOUBLE total_duration, floor(sum({ASD})::DOUBLE / count(*) * 1e3 + 0.5) / 1e3 avg_asd,
     count(*) FILTER (WHERE tier='A') tier_a, count(*) FILTER (WHERE tier='B') tier_b, count(*) FILTER (WHERE tier='C') tier_c FROM s GROUP BY 1""")
 def live_video_stats(spark, d):
-    return applied(spark, d).video_stats().withColumn("video_id", F.col("video_id").cast("bigint"))
+    return applied(spark, d, "videos").video_stats().withColumn("video_id", F.col("video_id").cast("bigint"))
 
 
 @query("live_fresh_video_stats", f"""{S} SELECT video_id::BIGINT video_id, count(*) total_segments, round(sum({DUR}), 2)::DOUBLE total_duration, floor(sum({ASD})::DOUBLE / count(*) * 1e3 + 0.5) / 1e3 avg_asd,
     count(*) FILTER (WHERE tier='A') tier_a, count(*) FILTER (WHERE tier='B') tier_b, count(*) FILTER (WHERE tier='C') tier_c FROM s WHERE review_status <> 'rejected' GROUP BY 1""")
 def live_fresh_video_stats(spark, d):
-    return applied(spark, d).video_stats(fresh=True).withColumn("video_id", F.col("video_id").cast("bigint"))
+    return applied(spark, d, "videos").video_stats(fresh=True).withColumn("video_id", F.col("video_id").cast("bigint"))
 
 
 @query("live_speaker_stats", f"""{S} SELECT speaker_id, count(DISTINCT video_id) video_count, count(*) total_segments, round(sum({DUR}), 2)::DOUBLE total_duration,
     floor(sum({ASD})::DOUBLE / count(*) * 1e3 + 0.5) / 1e3 avg_asd, floor(sum(CAST(coalesce(wer, 0) AS DECIMAL(20,6)))::DOUBLE / count(*) * 1e4 + 0.5) / 1e4 avg_wer FROM s WHERE speaker_id <> '' GROUP BY 1""")
 def live_speaker_stats(spark, d):
-    return applied(spark, d).speaker_stats()
+    return applied(spark, d, "speakers").speaker_stats()
 
 
 @query("live_overview", f"""{S} SELECT count(*) segments, count(DISTINCT video_id) videos, count(DISTINCT speaker_id) speakers, round((sum({DUR}) / 3600)::DECIMAL(20,6), 2)::DOUBLE AS hours FROM s""")
 def live_overview(spark, d):
     """The same by a stream over a log of changes, and read back from the payload of its last version."""
-    log, views = fresh_path(spark, "change-log"), live.LiveViews(spark, fresh_path(spark, "live"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    log, views = fresh_path(spark, "change-log"), opened(spark, d, "totals")
     payloads = live.Payloads(views, {"overview": lambda v, version: v.dataset_overview(version=version)})
     for batch in changes(spark, d):
         batch.write.mode("append").parquet(log)
