@@ -67,7 +67,7 @@ def live_overview(spark, d):
     log, views = fresh_path(spark, "change-log"), opened(spark, d, "totals")
     payloads = live.Payloads(views, {"overview": lambda v, version: v.dataset_overview(version=version)})
     for batch in changes(spark, d):
-        batch.write.mode("append").parquet(log)
+        batch.write.mode("append").option("compression", "zstd").parquet(log)
         views.follow(spark.readStream.schema(live.CHANGES).parquet(log), f"{views.path}/progress").trigger(availableNow=True).start().awaitTermination()
         payloads.refresh()
     rows, fresh = payloads.get("overview")
